@@ -208,3 +208,81 @@ FROM ({sets}) s,
   unnest(CASE WHEN len(s.ms) = 0 THEN [''] ELSE s.ms END) AS m(contact_mobile),
   unnest(CASE WHEN len(s.es) = 0 THEN [''] ELSE s.es END) AS e(contact_email)
 WHERE len(s.ms) + len(s.es) > 0"""
+
+
+# --- assembly over lineitem/orders/customer/supplier ------------------------------------------
+
+STATUS_SQL = (
+    "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'RETURNED'"
+    " WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'RETURN_EXPECTED'"
+    " WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'DELIVERED'"
+    " WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'SHIPPED'"
+    " WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'MANIFESTED'"
+    " WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'CREATED' ELSE 'PENDING' END"
+)
+ALIAS_SQL = (
+    "CASE WHEN substr(o_orderpriority, 1, 1) IN ('1', '2') THEN 'k' || substr(o_orderpriority, 1, 1)"
+    " WHEN substr(o_orderpriority, 1, 1) = '3' THEN '2' END"
+)
+KEY_FOR_ALIAS_SQL = "CASE {a} WHEN 'k1' THEN 'key-k1' WHEN 'k2' THEN rpad('key-k2', 40, 'z') END"
+
+
+def retired(x: str, alias: str = "_alias") -> str:
+    """Value as stored (and kept) under the retired alias 2."""
+    return f"(CASE WHEN {alias} = '2' AND {x} IS NOT NULL THEN 'cipher:2:' || to_base64(encode({x})) ELSE {x} END)"
+
+
+def assembly_ctes(cfg, with_district: bool = True) -> str:
+    district = "CASE o_orderkey % 4 WHEN 0 THEN ' North,' WHEN 1 THEN cast(null as string) ELSE 'Central' END"
+    return f"""sp AS (SELECT cast(l_orderkey as string)||'-'||cast(l_linenumber as string) AS code,
+  l_orderkey AS shipping_address_id, l_orderkey AS sale_order_id, l_suppkey AS facility_id,
+  {STATUS_SQL} AS status_code, l_shipdate AS created, l_shipdate AS updated FROM lineitem),
+ad AS (SELECT o_orderkey AS id, 'Customer#'||{lp('o_custkey', 9)} AS name, {phone_sql()} AS phone,
+  {email_sql()} AS email, ' Plot '||cast(o_orderkey % 500 as string)||', ' AS address_line1,
+  CASE o_orderkey % 3 WHEN 0 THEN 'nan' WHEN 1 THEN {BSN} ELSE o_orderpriority END AS address_line2,
+  'City'||chr(7)||cast(o_custkey % 97 as string) AS city,
+  {district if with_district else "''"} AS district, 'KA' AS state_code,
+  CASE o_orderkey % 10 WHEN 0 THEN 'US' WHEN 1 THEN 'in' ELSE 'IN' END AS country_code,
+  {pincode_sql()} AS pincode, {"o_orderpriority" if with_district else "''"} AS channel_source_code,
+  {ALIAS_SQL} AS _alias FROM orders),
+so AS (SELECT o_orderkey AS id, 'SO-'||cast(o_orderkey as string) AS code, o_custkey AS tenant_id,
+  o_orderstatus AS status_code, {notification_mobile_sql()} AS notification_mobile,
+  {notification_email_sql()} AS notification_email FROM orders),
+tn AS (SELECT c_custkey AS id, c_mktsegment AS code FROM customer)"""
+
+
+def assembly_select(cfg, encrypted: bool, decrypted: bool = True) -> str:
+    """Assembled canonical rows. ``encrypted``: source contact columns are ciphertext, so the raw
+    phone filters never drop an encrypted row; after decryption only alias-2 values differ."""
+
+    def v(x: str) -> str:
+        return f"coalesce({retired(x) if encrypted and decrypted else x}, '')"
+
+    phone_ok = f"(ad.phone NOT LIKE '*%' AND ad.phone NOT IN {in_list(cfg.placeholder_phones)})"
+    if encrypted:
+        phone_ok = f"(ad._alias IS NOT NULL OR {phone_ok})"
+    tenant_ok = "tn.code IS NOT NULL" + (
+        f" AND tn.code NOT IN {in_list(cfg.excluded_tenants)}" if cfg.excluded_tenants else ""
+    )
+    return f"""SELECT {v('ad.name')} AS name, {v('ad.phone')} AS mobile, {v('so.notification_mobile')} AS notification_mobile,
+  {v('ad.email')} AS email, {v('so.notification_email')} AS notification_email,
+  {v('ad.address_line1')} AS address_line1, {v('ad.address_line2')} AS address_line2,
+  coalesce(ad.city, '') AS city, coalesce(ad.district, '') AS district, coalesce(ad.state_code, '') AS state_code,
+  coalesce(ad.country_code, '') AS country_code, coalesce(ad.pincode, '') AS pincode,
+  {ts_text('sp.created')} AS sp_created, {ts_text('sp.updated')} AS sp_updated, tn.code AS tenant_code,
+  p.s_name AS facility_code, sp.code AS shipping_package_code, coalesce(ad.channel_source_code, '') AS channel_source_code,
+  sp.status_code AS shipping_package_status, so.code AS sale_order_code, so.status_code AS sale_order_status,
+  {lit(cfg.sync_status)} AS sale_order_sync_status, ad._alias AS _alias
+FROM sp JOIN ad ON ad.id = sp.shipping_address_id JOIN so ON sp.sale_order_id = so.id
+  JOIN tn ON tn.id = so.tenant_id JOIN supplier f ON f.s_suppkey = sp.facility_id
+  JOIN supplier p ON f.s_suppkey = p.s_suppkey
+WHERE sp.status_code IN {in_list(cfg.statuses)} AND {tenant_ok}
+  AND sp.created >= TIMESTAMP {lit(cfg.from_ts)} AND sp.created < TIMESTAMP {lit(cfg.till_ts)}
+  AND ad.country_code = {lit(cfg.country)} AND {phone_ok}"""
+
+
+SHIPMENT_COLS = (
+    "name, mobile, notification_mobile, email, notification_email, address_line1, address_line2, city, district, "
+    "state_code, country_code, pincode, sp_created, sp_updated, tenant_code, facility_code, shipping_package_code, "
+    "channel_source_code, shipping_package_status, sale_order_code, sale_order_status, sale_order_sync_status"
+)

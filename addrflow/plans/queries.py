@@ -83,3 +83,79 @@ register(
     "contact_pairs_no_recover",
     f"WITH {_fixture_window_sql(_NO_RECOVER)}\n{O.contacts_sql('rows', RUN_TS, recover=False)}",
 )(_contact_pairs(_NO_RECOVER))
+
+
+# --- assembly, decryption, end to end ------------------------------------------------------------
+
+from addrflow.operators.assemble import assemble_shipments  # noqa: E402
+from addrflow.operators.decrypt import decrypt_rows, distinct_key_pairs, key_table  # noqa: E402
+
+
+def assembled(spark: SparkSession, sf_dir: str, cfg: JobConfig, encrypted: bool, with_district: bool = True):
+    t = D.source_tables(spark, sf_dir, with_district=with_district, encrypted=encrypted)
+    return assemble_shipments(
+        t["shipping_package"], t["address_detail"], t["sale_order"], t["tenant"], t["facility"], t["party"], cfg
+    )
+
+
+def decrypted(spark: SparkSession, sf_dir: str, cfg: JobConfig, flag_failures: bool = False) -> DataFrame:
+    rows = assembled(spark, sf_dir, cfg, encrypted=True)
+    return decrypt_rows(rows, D.key_export(spark, sf_dir, cfg.key_path.prefix, cfg.key_path.version), cfg, flag_failures)
+
+
+def _asm_sql(encrypted: bool, decrypted_: bool = True, with_district: bool = True) -> str:
+    return f"{O.assembly_ctes(CFG, with_district)},\nasm AS ({O.assembly_select(CFG, encrypted, decrypted_)})"
+
+
+@register("shipment_assembly", f"WITH {_asm_sql(False)}\nSELECT {O.SHIPMENT_COLS} FROM asm")
+def q_shipment_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembled(spark, sf_dir, CFG, encrypted=False)
+
+
+@register("decrypted_rows", f"WITH {_asm_sql(True)}\nSELECT {O.SHIPMENT_COLS} FROM asm")
+def q_decrypted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decrypted(spark, sf_dir, CFG)
+
+
+@register(
+    "shipment_contacts",
+    f"WITH {_asm_sql(True)},\nlk AS ({O.PINCODE_LOOKUP_SQL}),\nrows AS (SELECT {O.SHIPMENT_COLS} FROM asm)\n"
+    f"{O.contacts_sql('rows', RUN_TS)}",
+)
+def q_shipment_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contact_rows(decrypted(spark, sf_dir, CFG), D.pincode_lookup(spark, sf_dir), CFG)
+
+
+@register(
+    "distinct_key_pairs",
+    f"WITH {_asm_sql(True, decrypted_=False)}\nSELECT DISTINCT tenant_code, _alias AS key_alias FROM asm "
+    "WHERE _alias IS NOT NULL",
+)
+def q_distinct_key_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_key_pairs(assembled(spark, sf_dir, CFG, encrypted=True))
+
+
+@register(
+    "key_table",
+    f"WITH {_asm_sql(True, decrypted_=False)}\nSELECT tenant_code, key_alias, "
+    f"{O.KEY_FOR_ALIAS_SQL.format(a='key_alias')} AS vault_key FROM "
+    "(SELECT DISTINCT tenant_code, _alias AS key_alias FROM asm WHERE _alias IS NOT NULL)",
+)
+def q_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = distinct_key_pairs(assembled(spark, sf_dir, CFG, encrypted=True))
+    return key_table(pairs, D.key_export(spark, sf_dir), CFG.key_path)
+
+
+@register(
+    "multi_source_union",
+    f"WITH {_asm_sql(False)},\n{_fixture_window_sql(CFG)},\n"
+    f"allrows AS (SELECT {O.SHIPMENT_COLS} FROM asm UNION ALL SELECT {O.SHIPMENT_COLS} FROM rows)\n"
+    f"{O.contacts_sql('allrows', RUN_TS)}",
+)
+def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from addrflow.operators.filters import union_sources
+
+    a = assembled(spark, sf_dir, CFG, encrypted=False)
+    # The fixture source has no district/channel columns: the union fills them with ''.
+    b = canonical_rows(D.fixture_rows(fixture_in_window(spark, sf_dir, CFG)), CFG.timestamp_format)
+    return contact_rows(union_sources([a, b]), D.pincode_lookup(spark, sf_dir), CFG)

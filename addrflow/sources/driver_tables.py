@@ -313,7 +313,7 @@ def _seal(c: Column, alias: Column) -> Column:
     """Store ``c`` as ciphertext under ``alias`` (NULL alias: plain)."""
     retired = F.concat(F.lit("cipher:2:"), F.base64(F.encode(c, "UTF-8")))
     return (
-        F.when(alias.isNull() | c.isNull() | (c == ""), c)
+        F.when(alias.isNull() | c.isNull(), c)
         .when(alias == "2", retired)
         .otherwise(encrypt_value(c, alias, key_for_alias(alias)))
     )
