@@ -159,3 +159,229 @@ def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The fixture source has no district/channel columns: the union fills them with ''.
     b = canonical_rows(D.fixture_rows(fixture_in_window(spark, sf_dir, CFG)), CFG.timestamp_format)
     return contact_rows(union_sources([a, b]), D.pincode_lookup(spark, sf_dir), CFG)
+
+
+# --- column functions over whole tables -------------------------------------------------------
+
+from addrflow.functions import cipher as C  # noqa: E402
+from addrflow.functions import email as EM  # noqa: E402
+from addrflow.functions import phone as PH  # noqa: E402
+from addrflow.functions import pincode as PC  # noqa: E402
+from addrflow.functions import text as TX  # noqa: E402
+from addrflow.operators.lookup import bounded_broadcast, pincode_lookup_set  # noqa: E402
+
+
+def _joined(arr) -> "F.Column":
+    return F.array_join(arr, "|")
+
+
+@register(
+    "text_cleanup",
+    f"""SELECT doc_id,
+  length({O.remove_space('text')}) AS space_free_len,
+  md5({O.remove_space('text')}) AS space_free_md5,
+  length({O.remove_control('text')}) AS control_free_len,
+  md5({O.clean_field('text')}) AS clean_md5,
+  length(replace(text, '-', '')) AS hyphen_free_len,
+  {O.is_missing('text')} AS is_missing,
+  upper({O.compact('lang')}) AS lang_norm,
+  coalesce(upper(lang) = 'EN', false) AS is_en
+FROM documents""",
+)
+def q_text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = D.read_table(spark, sf_dir, "documents")
+    t = F.col("text")
+    return d.select(
+        "doc_id",
+        F.length(TX.remove_space(t)).cast("long").alias("space_free_len"),
+        F.md5(TX.remove_space(t)).alias("space_free_md5"),
+        F.length(TX.remove_control(t)).cast("long").alias("control_free_len"),
+        F.md5(TX.clean_field(t)).alias("clean_md5"),
+        F.length(TX.remove_hyphen(t)).cast("long").alias("hyphen_free_len"),
+        TX.is_missing(t).alias("is_missing"),
+        TX.normalize_country(F.col("lang")).alias("lang_norm"),
+        TX.is_country(F.col("lang"), "EN").alias("is_en"),
+    )
+
+
+@register(
+    "field_cleanup",
+    f"""WITH fx AS ({O.FIXTURE_SQL})
+SELECT shipment_id, {O.clean_field('address_line1')} AS address_line1, {O.clean_field('address_line2')} AS address_line2,
+  {O.clean_field('city')} AS city, {O.remove_control('name')} AS name, {O.compact('mobile')} AS mobile,
+  {O.is_missing('mobile')} AS mobile_missing, {O.is_missing('email')} AS email_missing,
+  {O.is_missing('pincode')} AS pincode_missing, upper({O.compact("'in'")}) AS country_code
+FROM fx""",
+)
+def q_field_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = D.fixture_shipments(spark, sf_dir)
+    return fx.select(
+        "shipment_id",
+        TX.clean_field(F.col("address_line1")).alias("address_line1"),
+        TX.clean_field(F.col("address_line2")).alias("address_line2"),
+        TX.clean_field(F.col("city")).alias("city"),
+        TX.remove_control(F.col("name")).alias("name"),
+        TX.compact(F.col("mobile")).alias("mobile"),
+        TX.is_missing(F.col("mobile")).alias("mobile_missing"),
+        TX.is_missing(F.col("email")).alias("email_missing"),
+        TX.is_missing(F.col("pincode")).alias("pincode_missing"),
+        TX.normalize_country(F.lit("in")).alias("country_code"),
+    )
+
+
+@register(
+    "mobile_recovery",
+    f"""WITH fx AS ({O.FIXTURE_SQL}),
+c AS (SELECT shipment_id, {O.compact('mobile')} AS m, {O.compact('notification_mobile')} AS n FROM fx)
+SELECT shipment_id, {O.digit_count('m')} AS mobile_digits,
+  array_to_string({O.candidates('m')}, '|') AS mobile_candidates,
+  array_to_string({O.recover_mobiles('m')}, '|') AS mobile_recovered,
+  array_to_string({O.recover_mobiles('n')}, '|') AS notification_recovered,
+  {O.sorted_join(O.mobile_set('m', 'n'))} AS mobile_set,
+  {O.ten_digits(O.strip_prefix('m'))} AS mobile_ten
+FROM c""",
+)
+def q_mobile_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = D.fixture_shipments(spark, sf_dir)
+    m, n = TX.compact(F.col("mobile")), TX.compact(F.col("notification_mobile"))
+    c = fx.select("shipment_id", m.alias("m"), n.alias("n"))
+    m, n = F.col("m"), F.col("n")
+    return c.select(
+        "shipment_id",
+        PH.digit_count(m).cast("long").alias("mobile_digits"),
+        _joined(PH.candidates(m)).alias("mobile_candidates"),
+        _joined(PH.recover_mobiles(m)).alias("mobile_recovered"),
+        _joined(PH.recover_mobiles(n)).alias("notification_recovered"),
+        F.array_join(F.array_sort(PH.mobile_set(m, n)), ",").alias("mobile_set"),
+        PH.ten_digits(PH.strip_prefix(m)).alias("mobile_ten"),
+    )
+
+
+@register(
+    "documents_mobiles",
+    f"""WITH c AS (SELECT doc_id, {O.compact('text')} AS t FROM documents)
+SELECT doc_id, array_to_string({O.recover_mobiles('t')}, '|') AS mobiles, len({O.recover_mobiles('t')}) AS n_mobiles
+FROM c""",
+)
+def q_documents_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = D.read_table(spark, sf_dir, "documents").select("doc_id", TX.compact(F.col("text")).alias("t"))
+    rec = PH.recover_mobiles(F.col("t"))
+    return d.select("doc_id", _joined(rec).alias("mobiles"), F.size(rec).cast("long").alias("n_mobiles"))
+
+
+# Whitespace-delimited words that contain '@': the e-mail candidates of a free text.
+_AT_WORD = rf"{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*@{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*"
+
+
+@register(
+    "documents_emails",
+    f"""WITH c AS (SELECT doc_id, regexp_extract_all({O.remove_control('text')}, {O.lit(_AT_WORD)}) AS words FROM documents)
+SELECT DISTINCT doc_id, email FROM c, unnest(list_filter(words, lambda w: {O.email_ok('w')})) AS u(email)""",
+)
+def q_documents_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = D.read_table(spark, sf_dir, "documents")
+    words = F.regexp_extract_all(TX.remove_control(F.col("text")), F.lit(_AT_WORD), 0)
+    valid = F.filter(words, EM.is_valid_email)
+    return d.select("doc_id", F.explode(F.array_distinct(valid)).alias("email"))
+
+
+@register(
+    "email_checks",
+    f"""WITH fx AS ({O.FIXTURE_SQL}),
+c AS (SELECT shipment_id, {O.compact('email')} AS e, {O.compact('notification_email')} AS n FROM fx)
+SELECT shipment_id, e AS email, {O.email_ok('e')} AS email_ok, {O.email_ok('n')} AS notification_ok,
+  {O.sorted_join(O.email_set('e', 'n'))} AS emails FROM c""",
+)
+def q_email_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = D.fixture_shipments(spark, sf_dir)
+    c = fx.select(
+        "shipment_id",
+        TX.compact(F.col("email")).alias("e"),
+        TX.compact(F.col("notification_email")).alias("n"),
+    )
+    e, n = F.col("e"), F.col("n")
+    return c.select(
+        "shipment_id",
+        e.alias("email"),
+        EM.is_valid_email(e).alias("email_ok"),
+        EM.is_valid_email(n).alias("notification_ok"),
+        F.array_join(F.array_sort(EM.email_set(e, n)), ",").alias("emails"),
+    )
+
+
+@register(
+    "pincode_checks",
+    f"""WITH fx AS ({O.FIXTURE_SQL}), lk AS ({O.PINCODE_LOOKUP_SQL}),
+c AS (SELECT shipment_id, {O.compact('pincode')} AS pincode FROM fx)
+SELECT shipment_id, c.pincode, {O.pincode_rule('c.pincode')} AS rule_ok, l.pin_value IS NOT NULL AS in_lookup,
+  NOT {O.is_missing('c.pincode')} AND (l.pin_value IS NOT NULL OR {O.pincode_rule('c.pincode')}) AS pincode_ok
+FROM c LEFT JOIN (SELECT DISTINCT Pincode AS pin_value FROM lk WHERE Pincode IS NOT NULL) l ON c.pincode = l.pin_value""",
+)
+def q_pincode_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = D.fixture_shipments(spark, sf_dir).select("shipment_id", PC.clean_pincode(F.col("pincode")).alias("pincode"))
+    hits = pincode_lookup_set(D.pincode_lookup(spark, sf_dir)).withColumn("_hit", F.lit(True))
+    j = fx.join(bounded_broadcast(hits, CFG.broadcast_max_rows), F.col("pincode") == F.col("_pin_value"), "left")
+    p = F.col("pincode")
+    return j.select(
+        "shipment_id",
+        "pincode",
+        PC.matches_pincode_rule(p).alias("rule_ok"),
+        F.col("_hit").isNotNull().alias("in_lookup"),
+        PC.pincode_ok(p, F.col("_hit")).alias("pincode_ok"),
+    )
+
+
+@register(
+    "cipher_flags",
+    f"""WITH o AS (SELECT o_orderkey, {O.ALIAS_SQL} AS _alias, {O.phone_sql()} AS phone, {O.email_sql()} AS email FROM orders),
+s AS (SELECT o_orderkey AS id, _alias,
+  CASE WHEN _alias IS NULL THEN phone WHEN _alias = '2' THEN 'cipher:2:' || to_base64(encode(phone))
+       ELSE 'cipher:' || _alias || ':' END AS phone FROM o)
+SELECT id, starts_with(phone, 'cipher:') AS is_encrypted,
+  CASE WHEN starts_with(phone, 'cipher:') THEN string_split(phone, ':')[2] END AS key_alias,
+  starts_with(phone, 'cipher:') AND _alias NOT IN ('1', '2') AS is_pii_encrypted,
+  starts_with(phone, 'cipher:') AS is_cipher_row
+FROM s""",
+)
+def q_cipher_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from addrflow.operators.filters import is_cipher_row
+
+    ad = D.address_detail(spark, sf_dir, encrypted=True)
+    p = F.col("phone")
+    return ad.select(
+        "id",
+        C.is_encrypted(p).alias("is_encrypted"),
+        F.when(C.is_encrypted(p), C.key_alias(p)).alias("key_alias"),
+        C.is_pii_encrypted(p).alias("is_pii_encrypted"),
+        is_cipher_row(p).alias("is_cipher_row"),
+    )
+
+
+@register(
+    "key_json_first",
+    """SELECT event_id, json_extract_string(props, '$."' || json_keys(props)[1] || '"') AS first_value FROM events""",
+)
+def q_key_json_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = D.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", C.first_key(F.col("props")).alias("first_value"))
+
+
+@register(
+    "key_path",
+    f"""WITH a AS (SELECT DISTINCT c_mktsegment AS tenant_code, {O.ALIAS_SQL} AS key_alias
+  FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT tenant_code, key_alias, CASE WHEN key_alias = '2' THEN NULL
+  WHEN key_alias = '1' THEN {O.lit(CFG.key_path.prefix)} || tenant_code || {O.lit(CFG.key_path.tenant_suffix + '/1')}
+  ELSE {O.lit(CFG.key_path.prefix)} || key_alias || {O.lit('/' + CFG.key_path.version)} END AS key_path
+FROM (SELECT tenant_code, coalesce(key_alias, '1') AS key_alias FROM a)""",
+)
+def q_key_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = D.read_table(spark, sf_dir, "orders")
+    c = D.read_table(spark, sf_dir, "customer")
+    a = (
+        o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+        .select(F.col("c_mktsegment").alias("tenant_code"), D.alias_expr(F.col("o_orderpriority")).alias("key_alias"))
+        .distinct()
+        .withColumn("key_alias", F.coalesce("key_alias", F.lit("1")))
+    )
+    return a.select("tenant_code", "key_alias", C.key_path(F.col("key_alias"), F.col("tenant_code"), CFG.key_path).alias("key_path"))
