@@ -385,3 +385,115 @@ def q_key_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("key_alias", F.coalesce("key_alias", F.lit("1")))
     )
     return a.select("tenant_code", "key_alias", C.key_path(F.col("key_alias"), F.col("tenant_code"), CFG.key_path).alias("key_path"))
+
+
+# --- source selection: registry and closed tenant databases -------------------------------------
+
+from addrflow.operators import registry as R  # noqa: E402
+from addrflow.operators.metrics import id_bounds, stage_counts  # noqa: E402
+
+
+def server_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry entries, one per supplier: db named by nation; flags vary (one is upper-case)."""
+    s = D.read_table(spark, sf_dir, "supplier")
+    return s.select(
+        F.concat(F.lit("db-"), F.col("s_nationkey").cast("string")).alias("db"),
+        F.when(F.col("s_acctbal") > 0, "true").otherwise("false").alias("production"),
+        F.when(F.col("s_suppkey") % 4 == 0, "TRUE").otherwise("true").alias("active"),
+    )
+
+
+def excluded_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = D.read_table(spark, sf_dir, "nation")
+    return n.filter(F.col("n_regionkey") == 0).select(F.concat(F.lit("db-"), F.col("n_nationkey").cast("string")).alias("db"))
+
+
+_REGISTRY_SQL = """reg AS (SELECT 'db-' || cast(s_nationkey as string) AS db,
+  CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END AS production,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'TRUE' ELSE 'true' END AS active FROM supplier),
+exc AS (SELECT 'db-' || cast(n_nationkey as string) AS db FROM nation WHERE n_regionkey = 0)"""
+
+
+@register(
+    "active_servers",
+    f"""WITH {_REGISTRY_SQL}
+SELECT DISTINCT db FROM reg WHERE production = 'true' AND active = 'true' AND db NOT IN (SELECT db FROM exc)""",
+)
+def q_active_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.active_servers(server_registry(spark, sf_dir), excluded_servers(spark, sf_dir))
+
+
+def terminated_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One closure record per order: the tenant database, its type and closing time."""
+    o = D.read_table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("tenant_"), F.col("o_custkey").cast("string")).alias("terminated_server"),
+        F.when(F.col("o_orderstatus") == "F", "production").otherwise("staging").alias("type"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_orderdate")).alias("terminated_on"),
+    )
+
+
+def schemata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = D.read_table(spark, sf_dir, "customer")
+    return c.select(F.concat(F.lit("tenant_"), F.col("c_custkey").cast("string")).alias("SCHEMA_NAME"))
+
+
+def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables exist in the schemas of customers with an urgent order."""
+    o = D.read_table(spark, sf_dir, "orders")
+    return o.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.concat(F.lit("tenant_"), F.col("o_custkey").cast("string")).alias("TABLE_SCHEMA"),
+        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("TABLE_NAME"),
+    )
+
+
+@register(
+    "closed_databases",
+    f"""WITH ti AS (SELECT 'tenant_' || cast(o_custkey as string) AS terminated_server,
+  CASE WHEN o_orderstatus = 'F' THEN 'production' ELSE 'staging' END AS type,
+  CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS terminated_on FROM orders),
+sc AS (SELECT 'tenant_' || cast(c_custkey as string) AS SCHEMA_NAME FROM customer),
+tb AS (SELECT 'tenant_' || cast(o_custkey as string) AS TABLE_SCHEMA FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT DISTINCT terminated_server AS db FROM ti
+WHERE type = 'production'
+  AND terminated_server NOT IN (SELECT S.SCHEMA_NAME FROM sc S LEFT OUTER JOIN tb T ON S.SCHEMA_NAME = T.TABLE_SCHEMA
+                                WHERE T.TABLE_SCHEMA IS NULL)
+  AND (terminated_on IS NULL OR (terminated_on >= TIMESTAMP {O.lit(FROM_TS)} AND terminated_on < TIMESTAMP {O.lit(TILL_TS)}))
+  AND terminated_server NOT IN {O.in_list(CFG.system_schemas)}""",
+)
+def q_closed_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.closed_databases(
+        terminated_info(spark, sf_dir), schemata(spark, sf_dir), tables(spark, sf_dir), FROM_TS, TILL_TS, CFG.system_schemas
+    )
+
+
+@register(
+    "id_bounds",
+    "SELECT min(o_orderkey) AS min_id, max(o_orderkey) AS max_id FROM orders",
+)
+def q_id_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_bounds(D.address_detail(spark, sf_dir), "id")
+
+
+@register(
+    "stage_counts",
+    f"""WITH {_asm_sql(True)},
+lk AS ({O.PINCODE_LOOKUP_SQL}),
+rows AS (SELECT {O.SHIPMENT_COLS} FROM asm),
+ct AS ({O.contacts_sql('rows', RUN_TS)})
+SELECT stage, rows FROM (
+  SELECT 'rows_read' AS stage, count(*) AS rows FROM asm
+  UNION ALL SELECT 'rows_encrypted', count(*) FILTER (WHERE _alias IS NOT NULL) FROM asm
+  UNION ALL SELECT 'rows_plain', count(*) FILTER (WHERE _alias IS NULL) FROM asm
+  UNION ALL SELECT 'key_pairs', count(DISTINCT (tenant_code, _alias)) FILTER (WHERE _alias IS NOT NULL) FROM asm
+  UNION ALL SELECT 'rows_union', count(*) FROM asm
+  UNION ALL SELECT 'values_undecrypted', 0
+  UNION ALL SELECT 'contact_rows', count(*) FROM ct
+  UNION ALL SELECT 'with_mobile', count(*) FILTER (WHERE contact_mobile <> '') FROM ct
+  UNION ALL SELECT 'with_email', count(*) FILTER (WHERE contact_email <> '') FROM ct)""",
+)
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = assembled(spark, sf_dir, CFG, encrypted=True)
+    dec = decrypt_rows(rows, D.key_export(spark, sf_dir), CFG, flag_failures=True)
+    contacts = contact_rows(dec.drop("_undecrypted"), D.pincode_lookup(spark, sf_dir), CFG)
+    return stage_counts(rows, dec, contacts)
