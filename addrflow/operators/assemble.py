@@ -27,7 +27,7 @@ from addrflow.operators.filters import (
     status_kept,
     tenant_kept,
 )
-from addrflow.operators.lookup import bounded_broadcast
+from addrflow.operators.lookup import bounded_broadcasts
 
 
 def assemble_shipments(
@@ -81,13 +81,13 @@ def assemble_shipments(
     fc = facility.select(F.col("id").alias("_facility_key"))
     pt = party.select(F.col("id").alias("_party_id"), F.col("code").alias("facility_code"))
 
-    n = cfg.broadcast_max_rows
+    tn, fc, pt = bounded_broadcasts([tn, fc, pt], cfg.broadcast_max_rows)
     rows = (
         sp.join(ad, F.col("_ad_id") == F.col("_addr_id"), "inner")
         .join(so, F.col("_so_id") == F.col("_so_key"), "inner")
-        .join(bounded_broadcast(tn, n), F.col("_tenant_key") == F.col("_tenant_id"), "inner")
-        .join(bounded_broadcast(fc, n), F.col("_facility_key") == F.col("_facility_id"), "inner")
-        .join(bounded_broadcast(pt, n), F.col("_facility_key") == F.col("_party_id"), "inner")
+        .join(tn, F.col("_tenant_key") == F.col("_tenant_id"), "inner")
+        .join(fc, F.col("_facility_key") == F.col("_facility_id"), "inner")
+        .join(pt, F.col("_facility_key") == F.col("_party_id"), "inner")
         .withColumn("sale_order_sync_status", F.lit(cfg.sync_status))
     )
     return canonical_rows(rows, cfg.timestamp_format)

@@ -13,6 +13,23 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_broadcast_each(dfs: list[DataFrame], max_rows: int) -> list[bool]:
+    """``fits_broadcast`` for several tables with one Spark job (each reads at most max_rows + 1 rows)."""
+    if len(dfs) == 1:
+        return [fits_broadcast(dfs[0], max_rows)]
+    tagged = [df.limit(max_rows + 1).select(F.lit(i).alias("_table")) for i, df in enumerate(dfs)]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    counts = {r["_table"]: r["count"] for r in union.groupBy("_table").count().collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
+def bounded_broadcasts(dfs: list[DataFrame], max_rows: int) -> list[DataFrame]:
+    """``bounded_broadcast`` for several tables, checked together."""
+    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, fits_broadcast_each(dfs, max_rows))]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` when its row count is proven small, else ``df`` for a shuffle join.
 

@@ -16,6 +16,7 @@ from addrflow.operators.contacts import contact_rows
 from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import canonical_rows, union_sources
 from addrflow.operators.metrics import observed
+from addrflow.session import stage_table
 from addrflow.sources.jdbc import JdbcTarget, append, read_shipments
 
 
@@ -53,8 +54,15 @@ def run_jdbc_job(
     sink_target: JdbcTarget,
     sink_table: str,
     read_partitions: int = 20,
+    stage_name: str | None = None,
 ) -> RunResult:
-    """Read every source database, transform, and append to ``sink_table``."""
-    frames = [read_shipments(spark, t, cfg, read_partitions) for t in source_targets]
+    """Read every source database, transform, and append to ``sink_table``.
+
+    With ``stage_name`` the raw rows are first written once to the shared checkpoint folder, so
+    the transform and the write never go back to the databases, even when executors are lost.
+    """
+    frames = [canonical_rows(read_shipments(spark, t, cfg, read_partitions), cfg.timestamp_format) for t in source_targets]
+    if stage_name:
+        frames = [stage_table(union_sources(frames), stage_name, spark)]
     contacts = contacts_from_sources(frames, key_export, pincodes, cfg)
     return run(contacts, lambda df: append(df, sink_target, sink_table))

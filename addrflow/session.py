@@ -44,3 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="addrflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stage_table(df, name: str, spark: SparkSession | None = None):
+    """Write ``df`` as parquet under the session's checkpoint folder and read it back.
+
+    Cuts the lineage at a shared, durable copy: later stages (and retries after an executor loss)
+    read the staged files instead of recomputing from the sources.
+    """
+    spark = spark or df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/stage-{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

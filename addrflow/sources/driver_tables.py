@@ -9,6 +9,8 @@ Every frame here is a projection of whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from addrflow.functions.cipher import encrypt_value
 BACKSLASH_N = "\\N"
 
 
+@functools.lru_cache(maxsize=64)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One scan definition per (session, table): the file listing and footers are read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -128,3 +128,17 @@ def test_first_key(spark):
     assert [r.k for r in df.select(C.first_key(F.col("v")).alias("k")).collect()] == ["k1", "69"]
     with pytest.raises(Exception):
         one_col(spark, ["{}"]).select(C.first_key(F.col("v"))).collect()
+
+
+def test_country_collation_and_fingerprint(spark):
+    from addrflow.config import JobConfig
+    from addrflow.operators.filters import country_kept
+
+    strict = JobConfig(from_ts="a", till_ts="b", run_ts="r")
+    loose = JobConfig(from_ts="a", till_ts="b", run_ts="r", country_collation="UTF8_LCASE")
+    vals = ["IN", "in", "In ", None]
+    assert _map(spark, vals, lambda c: F.coalesce(country_kept(c, strict), F.lit(False))) == [True, False, False, False]
+    assert _map(spark, vals, lambda c: F.coalesce(country_kept(c, loose), F.lit(False))) == [True, True, False, False]
+    df = spark.createDataFrame([("+919876543210", "MG Road ", None, "Pune")], "m string, a string, b string, c string")
+    fp = df.select(TX.address_fingerprint(F.col("m"), F.col("a"), F.col("b"), F.col("c")).alias("f")).first().f
+    assert fp == "+919876543210mgroadpune"
