@@ -90,15 +90,16 @@ def decrypt_value(c: Column, key: Column) -> Column:
     )
 
 
-def undecryptable(c: Column, key: Column) -> Column:
-    """True when a ciphertext value comes out of ``decrypt_value`` still unreadable."""
+def undecryptable(c: Column, decrypted: Column) -> Column:
+    """True when ciphertext ``c`` came out of ``decrypt_value`` as ``decrypted`` still unreadable.
+
+    Unreadable = bare payload (legacy alias, no key, failed AES) or unchanged (no payload part);
+    values under the retired alias are unchanged by design and not counted.
+    """
     alias = F.get(_parts(c), 1)
     p = payload(c)
-    aes_failed = F.try_aes_decrypt(
-        F.try_to_binary(F.translate(p, "-_", "+/"), F.lit("base64")), aes_key_bytes(key), F.lit("ECB"), F.lit("PKCS")
-    ).isNull()
     return is_encrypted(c) & F.coalesce(
-        (alias != F.lit(RETIRED_ALIAS)) & (p.isNull() | (alias == F.lit(TENANT_KEY_ALIAS)) | key.isNull() | aes_failed),
+        (alias != F.lit(RETIRED_ALIAS)) & (p.isNull() | (decrypted == p)),
         F.lit(False),
     )
 

@@ -60,18 +60,22 @@ def attach_keys(df: DataFrame, key_export: DataFrame, cfg: JobConfig) -> DataFra
 def decrypt_rows(df: DataFrame, key_export: DataFrame, cfg: JobConfig, flag_failures: bool = False) -> DataFrame:
     """Decrypt the seven personal columns of encrypted rows (same columns out, same order).
 
-    With ``flag_failures`` an int column ``_undecrypted`` counts values left unreadable.
+    With ``flag_failures`` an int column ``_undecrypted`` counts the ciphertext values that came out
+    unreadable (bare payload or unchanged), read off the result rather than decrypting twice.
     """
     keyed = attach_keys(df, key_export, cfg)
     enc = is_cipher_row(F.col("mobile"))
     key = F.col("_key")
-    updates = {c: F.when(enc, decrypt_value(F.col(c), key)).otherwise(F.col(c)) for c in ENCRYPTED_FIELDS}
+    out = keyed.withColumns(
+        {f"_d_{c}": F.when(enc, decrypt_value(F.col(c), key)).otherwise(F.col(c)) for c in ENCRYPTED_FIELDS}
+    )
+    cols = [F.col(f"_d_{c}").alias(c) if c in ENCRYPTED_FIELDS else F.col(c) for c in df.columns]
     if flag_failures:
-        fails = [F.when(enc & undecryptable(F.col(c), key), 1).otherwise(0) for c in ENCRYPTED_FIELDS]
+        fails = [
+            F.when(enc & undecryptable(F.col(c), F.col(f"_d_{c}")), 1).otherwise(0) for c in ENCRYPTED_FIELDS
+        ]
         total = fails[0]
         for f in fails[1:]:
             total = total + f
-        updates["_undecrypted"] = total
-    out = keyed.withColumns(updates)
-    cols = list(df.columns) + (["_undecrypted"] if flag_failures else [])
+        cols.append(total.alias("_undecrypted"))
     return out.select(*cols)

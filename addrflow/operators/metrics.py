@@ -19,25 +19,42 @@ def _long(agg: DataFrame) -> DataFrame:
     return agg.select(*[F.col(c).cast("long").alias(c) for c in cols]).unpivot([], cols, "stage", "rows")
 
 
-def stage_counts(rows: DataFrame, decrypted: DataFrame, contacts: DataFrame) -> DataFrame:
-    """(stage, rows) for every stage; each input is aggregated once, then the rows are unioned."""
+def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cfg) -> DataFrame:
+    """(stage, rows) of a whole run from ONE pass over the rows (no explode, no re-reads).
+
+    Contact counts follow from the per-row set sizes: a row with m mobiles and e e-mails
+    (m + e > 0) yields max(m,1)*max(e,1) rows, m*max(e,1) of them with a mobile and
+    e*max(m,1) with an e-mail.
+    """
+    from addrflow.functions.email import email_set
+    from addrflow.functions.phone import mobile_set
+    from addrflow.operators.contacts import clean_rows
+    from addrflow.operators.decrypt import decrypt_rows
+    from addrflow.operators.lookup import with_pincode_check
+
     enc = is_cipher_row(F.col("mobile"))
-    read = rows.agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(enc).alias("rows_encrypted"),
-        F.count_if(~enc).alias("rows_plain"),
-        F.count_distinct(F.when(enc, F.struct(F.col("tenant_code"), key_alias(F.col("mobile"))))).alias("key_pairs"),
+    tagged = rows.withColumns(
+        {"_enc": enc, "_pair": F.when(enc, F.struct(F.col("tenant_code"), key_alias(F.col("mobile"))))}
     )
-    dec = decrypted.agg(
+    dec = decrypt_rows(tagged, key_export, cfg, flag_failures=True)
+    checked = with_pincode_check(clean_rows(dec), pincodes, cfg.broadcast_max_rows)
+    m = F.size(mobile_set(F.col("mobile"), F.col("notification_mobile"), cfg.recover_mobiles))
+    e = F.size(email_set(F.col("email"), F.col("notification_email")))
+    sized = checked.select("_enc", "_pair", "_undecrypted", "_pincode_ok", m.alias("_m"), e.alias("_e"))
+    live = F.col("_pincode_ok") & ((F.col("_m") + F.col("_e")) > 0)
+    m1, e1 = F.greatest(F.col("_m"), F.lit(1)), F.greatest(F.col("_e"), F.lit(1))
+    agg = sized.agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col("_enc")).alias("rows_encrypted"),
+        F.count_if(~F.col("_enc")).alias("rows_plain"),
+        F.count_distinct(F.col("_pair")).alias("key_pairs"),
         F.count(F.lit(1)).alias("rows_union"),
         F.coalesce(F.sum("_undecrypted"), F.lit(0)).alias("values_undecrypted"),
+        F.coalesce(F.sum(F.when(live, m1 * e1)), F.lit(0)).alias("contact_rows"),
+        F.coalesce(F.sum(F.when(live, F.col("_m") * e1)), F.lit(0)).alias("with_mobile"),
+        F.coalesce(F.sum(F.when(live, F.col("_e") * m1)), F.lit(0)).alias("with_email"),
     )
-    out = contacts.agg(
-        F.count(F.lit(1)).alias("contact_rows"),
-        F.count_if(F.col("contact_mobile") != "").alias("with_mobile"),
-        F.count_if(F.col("contact_email") != "").alias("with_email"),
-    )
-    return _long(read).unionByName(_long(dec)).unionByName(_long(out))
+    return _long(agg)
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

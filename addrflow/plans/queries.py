@@ -494,6 +494,4 @@ SELECT stage, rows FROM (
 )
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assembled(spark, sf_dir, CFG, encrypted=True)
-    dec = decrypt_rows(rows, D.key_export(spark, sf_dir), CFG, flag_failures=True)
-    contacts = contact_rows(dec.drop("_undecrypted"), D.pincode_lookup(spark, sf_dir), CFG)
-    return stage_counts(rows, dec, contacts)
+    return stage_counts(rows, D.key_export(spark, sf_dir), D.pincode_lookup(spark, sf_dir), CFG)

@@ -1,6 +1,7 @@
 """JDBC source and sink on embedded Derby (in-process database: no server, no port)."""
 
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def test_multi_source_job_end_to_end(spark, source_db):
     sink = _target("sink-job")
     keys, pins = D.key_export(spark, SF_SMALL), D.pincode_lookup(spark, SF_SMALL)
     res = run_jdbc_job(spark, CFG, [source_db, enc_db], keys, pins, sink, "contact_rows", read_partitions=3,
-                       stage_name="raw-test")
+                       stage_name=f"raw-test-{uuid.uuid4().hex}")
     written = read_query(spark, sink, "SELECT * FROM contact_rows")
     written = written.toDF(*[c.lower() for c in written.columns])
     assert res.rows == written.count() > 0

@@ -1,6 +1,7 @@
 """The transform on a stream: files processed once, same rows as the batch path."""
 
 import tempfile
+import uuid
 
 from addrflow.plans.queries import CFG, assembled
 from addrflow.sources import driver_tables as D
@@ -18,12 +19,13 @@ def test_incremental_run_matches_batch(spark):
     def sink(df, epoch):
         got.extend(tuple(r) for r in df.collect())
 
-    q = run_incremental(spark, src + "/batch1", keys, pins, CFG, sink, name="t1")
+    name = f"test-{uuid.uuid4().hex}"  # the checkpoint folder is shared and persists across runs
+    q = run_incremental(spark, src + "/batch1", keys, pins, CFG, sink, name=name)
     q.awaitTermination(120)
     want = [tuple(r) for r in contacts_stream(rows, keys, pins, CFG).collect()]
     assert sorted(got) == sorted(want) and len(got) > 0
     # a second run sees no new files and writes nothing
     before = len(got)
-    q2 = run_incremental(spark, src + "/batch1", keys, pins, CFG, sink, name="t1")
+    q2 = run_incremental(spark, src + "/batch1", keys, pins, CFG, sink, name=name)
     q2.awaitTermination(120)
     assert len(got) == before
