@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrflow.functions.cipher import encrypt_value
+from addrflow.sources.parallel import ensure_parallel
 
 BACKSLASH_N = "\\N"
 
 
 @functools.lru_cache(maxsize=64)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One scan definition per (session, table): the file listing and footers are read once."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One scan definition per (session, table), spread over the cores when it is a single split."""
+    return ensure_parallel(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _lp(c: Column, n: int) -> Column:

@@ -1,0 +1,17 @@
+"""Scan parallelism: spread an under-split input over the cluster's cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` when its scan yields fewer splits.
+
+    A small table stored as one file (or one row group) is a single task, so every per-row step
+    after it would run on one core. Counting the splits plans the files without running a job.
+    Inputs that already have enough splits (any large table) are returned unchanged, so this adds
+    no shuffle at scale; filters and column pruning still reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
