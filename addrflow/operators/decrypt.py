@@ -14,14 +14,9 @@ from pyspark.sql import functions as F
 from addrflow.config import JobConfig, KeyPathFormat
 from addrflow.functions.cipher import decrypt_value, first_key, key_alias, key_path, undecryptable
 from addrflow.operators.filters import is_cipher_row
-from addrflow.operators.lookup import fits_broadcast
+from addrflow.operators.lookup import fits_broadcast, spread_key
 from addrflow.schema import ENCRYPTED_FIELDS
 
-# Never a valid key path: used to spread rows without a key over a shuffle join.
-_NO_KEY = "\u0000"
-_SPREAD = 4096
-
-
 def export_keys(key_export: DataFrame) -> DataFrame:
     """(key_path, vault_key): one row per path, first value of its JSON key map."""
     return key_export.groupBy("key_path").agg(F.min(first_key(F.col("keys_json"))).alias("vault_key"))
@@ -52,8 +47,7 @@ def attach_keys(df: DataFrame, key_export: DataFrame, cfg: JobConfig) -> DataFra
         joined = df.withColumn("_path", path).join(F.broadcast(keys), F.col("_path") == F.col("_kp"), "left")
     else:
         # Rows without a path would all hash to one partition; give them distinct non-matching keys.
-        spread = F.concat(F.lit(_NO_KEY), F.pmod(F.xxhash64(*df.columns), F.lit(_SPREAD)).cast("string"))
-        joined = df.withColumn("_path", F.coalesce(path, spread)).join(keys, F.col("_path") == F.col("_kp"), "left")
+        joined = df.withColumn("_path", spread_key(path, df.columns)).join(keys, F.col("_path") == F.col("_kp"), "left")
     return joined.drop("_path", "_kp")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrflow.functions.pincode import clean_pincode, pincode_ok
+from addrflow.functions.pincode import clean_pincode, matches_pincode_rule, pincode_ok
+from addrflow.functions.text import is_missing
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
@@ -45,11 +46,30 @@ def pincode_lookup_set(pincodes: DataFrame, column: str = "Pincode") -> DataFram
     return pincodes.select(F.col(column).cast("string").alias("_pin_value")).dropna().distinct()
 
 
+def spread_key(key: Column, salt_cols: list[str], buckets: int = 4096) -> Column:
+    """``key``, or for NULL a deterministic never-matching value spread over ``buckets``.
+
+    Used on the probe side of a shuffle join whose NULL keys would otherwise all hash to one
+    partition (a skew hot spot); the value starts with U+0000, which no lookup key does.
+    """
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)).cast("string"))
+    return F.coalesce(key, spread)
+
+
 def with_pincode_check(df: DataFrame, lookup: DataFrame, max_rows: int, column: str = "pincode") -> DataFrame:
-    """Clean ``column`` in place and add boolean ``_pincode_ok`` (lookup hit OR rule, and present)."""
+    """Clean ``column`` in place and add boolean ``_pincode_ok`` (lookup hit OR rule, and present).
+
+    The lookup is broadcast when its size is proven small. Otherwise it is a shuffle join in which
+    only rows that need it (present, failing the rule) carry their pincode as the key; the rest get
+    spread keys, so neither the common valid pincodes nor '' can pile up in one partition.
+    """
     hits = pincode_lookup_set(lookup).withColumn("_pin_hit", F.lit(True))
     cleaned = df.withColumn(column, clean_pincode(F.col(column)))
-    joined = cleaned.join(bounded_broadcast(hits, max_rows), F.col(column) == F.col("_pin_value"), "left")
-    return joined.withColumn("_pincode_ok", pincode_ok(F.col(column), F.col("_pin_hit"))).drop(
-        "_pin_value", "_pin_hit"
-    )
+    pin = F.col(column)
+    if fits_broadcast(hits, max_rows):
+        joined = cleaned.join(F.broadcast(hits), pin == F.col("_pin_value"), "left")
+    else:
+        needs = F.when(~is_missing(pin) & ~matches_pincode_rule(pin), pin)
+        keyed = cleaned.withColumn("_pin_key", spread_key(needs, cleaned.columns))
+        joined = keyed.join(hits, F.col("_pin_key") == F.col("_pin_value"), "left").drop("_pin_key")
+    return joined.withColumn("_pincode_ok", pincode_ok(pin, F.col("_pin_hit"))).drop("_pin_value", "_pin_hit")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrflow.operators.filters import in_window
+from addrflow.operators.lookup import fits_broadcast
 
 
 def active_servers(registry: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
@@ -23,6 +24,22 @@ def empty_schemas(schemata: DataFrame, tables: DataFrame) -> DataFrame:
     ).select("SCHEMA_NAME")
 
 
+def not_in(df: DataFrame, c: str, values: DataFrame, max_rows: int) -> DataFrame:
+    """Rows of ``df`` whose ``c`` is NOT IN ``values`` (one column), with SQL's NULL semantics.
+
+    Small lists use Spark's null-aware anti join (a broadcast). Beyond ``max_rows`` the same
+    result comes from a plain anti join (shuffle) plus two tiny checks: a NULL in the list
+    empties the result, and a NULL value is dropped unless the list is empty.
+    """
+    name = values.columns[0]
+    if fits_broadcast(values, max_rows):
+        return df.filter(~F.col(c).isin(values))
+    if values.filter(F.col(name).isNull()).limit(1).count() > 0:
+        return df.limit(0)
+    out = df.join(values.select(F.col(name).alias("_v")).distinct(), F.col(c) == F.col("_v"), "left_anti")
+    return out.filter(F.col(c).isNotNull()) if values.limit(1).count() > 0 else out
+
+
 def closed_databases(
     terminated: DataFrame,
     schemata: DataFrame,
@@ -30,6 +47,7 @@ def closed_databases(
     from_ts: str,
     till_ts: str,
     system_schemas: tuple[str, ...],
+    max_rows: int = 500_000,
 ) -> DataFrame:
     """Databases of closed production tenants still worth reading.
 
@@ -39,7 +57,6 @@ def closed_databases(
     on = F.col("terminated_on")
     when_ok: Column = on.isNull() | in_window(on, terminated.schema["terminated_on"].dataType, from_ts, till_ts)
     server = F.col("terminated_server")
-    kept = terminated.filter(
-        (F.col("type") == "production") & ~server.isin(empty_schemas(schemata, tables)) & when_ok
-    )
+    live = terminated.filter((F.col("type") == "production") & when_ok)
+    kept = not_in(live, "terminated_server", empty_schemas(schemata, tables), max_rows)
     return kept.filter(~server.isin(*system_schemas)).select(server.alias("db")).distinct()

@@ -53,7 +53,7 @@ def run_jdbc_job(
     pincodes: DataFrame,
     sink_target: JdbcTarget,
     sink_table: str,
-    read_partitions: int = 20,
+    read_partitions: int | None = None,
     stage_name: str | None = None,
 ) -> RunResult:
     """Read every source database, transform, and append to ``sink_table``.

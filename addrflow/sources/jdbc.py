@@ -115,17 +115,41 @@ def has_column(spark: SparkSession, target: JdbcTarget, table: str, column: str)
     return column.lower() in {c.lower() for c in cols}
 
 
+def window_id_bounds(spark: SparkSession, target: JdbcTarget, cfg: JobConfig) -> tuple[int | None, int | None]:
+    """(min, max) address id of the window's shipments: the range the partitioned read splits.
+
+    Recent windows sit in a narrow slice of the whole id range; bounds of the whole table would
+    send nearly all rows to the last partition.
+    """
+    sql = (
+        "SELECT MIN(shipping_address_id) AS min_id, MAX(shipping_address_id) AS max_id FROM shipping_package "
+        f"WHERE created >= CAST({_sql_text(_checked_ts(cfg.from_ts))} AS TIMESTAMP) "
+        f"AND created < CAST({_sql_text(_checked_ts(cfg.till_ts))} AS TIMESTAMP)"
+    )
+    row = read_query(spark, target, sql).first()
+    return (row[0], row[1]) if row is not None else (None, None)
+
+
 def read_shipments(
-    spark: SparkSession, target: JdbcTarget, cfg: JobConfig, num_partitions: int = 20, fetch_size: int = FETCH_SIZE
+    spark: SparkSession,
+    target: JdbcTarget,
+    cfg: JobConfig,
+    num_partitions: int | None = None,
+    fetch_size: int = FETCH_SIZE,
+    ids_per_partition: int = 250_000,
+    max_partitions: int = 2_000,
 ) -> DataFrame:
     """One database's shipments of the window as raw rows (lower-case column names).
 
-    An empty address table gives an empty frame with the shipment schema; the read is split
-    over the address id range so a big tenant is not fetched by one task.
+    A window without shipments gives an empty frame with the shipment schema (no query). The
+    read is split into address-id ranges; unless ``num_partitions`` is given their number grows
+    with the window's id range, so a source holding a large share of all rows gets as many tasks.
     """
-    lo, hi = probe_bounds(spark, target, "address_detail", "id")
+    lo, hi = window_id_bounds(spark, target, cfg)
     if lo is None:
         return spark.createDataFrame([], SHIPMENT_SCHEMA)
+    if num_partitions is None:
+        num_partitions = max(1, min(max_partitions, -(-(hi - lo + 1) // ids_per_partition)))
     district = has_column(spark, target, "address_detail", "district")
     df = read_query(
         spark, target, shipment_query(cfg, district), fetch_size, "address_id", (lo, hi), num_partitions
@@ -133,6 +157,33 @@ def read_shipments(
     return df.toDF(*[c.lower() for c in df.columns]).drop("address_id")
 
 
+def read_closed_databases(
+    spark: SparkSession,
+    target: JdbcTarget,
+    cfg: JobConfig,
+    terminated_table: str = "terminated_info",
+    schemata_table: str = "INFORMATION_SCHEMA.SCHEMATA",
+    tables_table: str = "INFORMATION_SCHEMA.TABLES",
+) -> DataFrame:
+    """Closed tenant databases from a server's closure records and catalog (see ``closed_databases``)."""
+    from addrflow.operators.registry import closed_databases
+
+    for t in (terminated_table, schemata_table, tables_table):
+        if not _IDENT.match(t):
+            raise ValueError("table names must be plain identifiers")
+
+    def q(sql: str) -> DataFrame:
+        df = read_query(spark, target, sql)
+        return df.toDF(*[c.lower() for c in df.columns])
+
+    terminated = q(f"SELECT terminated_server, type, terminated_on FROM {terminated_table}")
+    schemata = q(f"SELECT SCHEMA_NAME FROM {schemata_table}").withColumnRenamed("schema_name", "SCHEMA_NAME")
+    tables = q(f"SELECT TABLE_SCHEMA FROM {tables_table}").withColumnRenamed("table_schema", "TABLE_SCHEMA")
+    return closed_databases(
+        terminated, schemata, tables, cfg.from_ts, cfg.till_ts, cfg.system_schemas, cfg.broadcast_max_rows
+    )
+
+
 def append(
     df: DataFrame, target: JdbcTarget, table: str, batch_size: int = WRITE_BATCH, isolation: str = "READ_COMMITTED"
 ) -> None:

@@ -78,3 +78,14 @@ def test_cleanup_is_idempotent(spark, values):
     once = df.select(TX.compact(F.col("v")).alias("v"))
     twice = once.select(TX.compact(F.col("v")).alias("v"))
     assert once.collect() == twice.collect()
+
+
+def test_pincode_shuffle_fallback_same_result(spark):
+    data = [{"shipping_package_code": str(i), "mobile": "9876543210", "pincode": p}
+            for i, p in enumerate(["560001", "PO1234", "", "x", "560 001", "\\N", "PO9"] * 5)]
+    lookup = spark.createDataFrame([("PO1234",), ("PO9",), ("AB",)], "Pincode string")
+    df = _rows(spark, data)
+    small = sorted(map(tuple, contact_rows(df, lookup, CFG).collect()))
+    cfg = JobConfig(from_ts="2000-01-01", till_ts="2001-01-01", run_ts=CFG.run_ts, broadcast_max_rows=1)
+    big = contact_rows(df, lookup, cfg)
+    assert sorted(map(tuple, big.collect())) == small and len(small) == 20

@@ -107,3 +107,32 @@ def test_multi_source_job_end_to_end(spark, source_db):
     cols = [c for c in want.columns if c != "enabled"]
     assert written.select(*cols).exceptAll(want.select(*cols)).count() == 0
     assert all(r.record_created == RUN_TS for r in written.select("record_created").distinct().collect())
+
+
+def test_window_bounds_and_adaptive_partitions(spark, source_db):
+    from addrflow.sources.jdbc import window_id_bounds
+
+    lo, hi = window_id_bounds(spark, source_db, CFG)
+    li = D.read_table(spark, SF_SMALL, "lineitem")
+    w = li.filter((F.col("l_shipdate") >= "1996-01-01") & (F.col("l_shipdate") < "1999-01-01"))
+    exp = w.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    assert (lo, hi) == (exp[0], exp[1])
+    df = read_shipments(spark, source_db, CFG, ids_per_partition=1000)
+    assert df.rdd.getNumPartitions() == -(-(hi - lo + 1) // 1000)
+
+
+def test_closed_databases_over_jdbc(spark):
+    import datetime as dt
+    from addrflow.config import JobConfig
+    from addrflow.sources.jdbc import read_closed_databases
+
+    t = _target("closed")
+    _store(spark.createDataFrame(
+        [("db1", "production", None), ("db2", "production", dt.datetime(2020, 1, 15)),
+         ("db3", "production", dt.datetime(2020, 3, 1)), ("empty", "production", None), ("mysql", "production", None)],
+        "terminated_server string, type string, terminated_on timestamp"), t, "terminated_info")
+    _store(spark.createDataFrame([("db1",), ("db2",), ("db3",), ("empty",), ("mysql",)], "SCHEMA_NAME string"), t, "schemata")
+    _store(spark.createDataFrame([("db1",), ("db2",), ("db3",), ("mysql",)], "TABLE_SCHEMA string"), t, "tables_list")
+    cfg = JobConfig(from_ts="2020-01-01 00:00:00", till_ts="2020-02-01 00:00:00", run_ts="r")
+    got = read_closed_databases(spark, t, cfg, "terminated_info", "schemata", "tables_list")
+    assert sorted(r.db for r in got.collect()) == ["db1", "db2"]

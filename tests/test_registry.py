@@ -41,3 +41,18 @@ def test_closed_databases(spark):
 
 def test_null_in_not_in_list_empties_result(spark):
     assert _closed(spark, [("db1",), ("empty",), (None,)]).count() == 0
+
+
+def test_not_in_without_broadcast_matches_sql_semantics(spark):
+    from addrflow.operators.registry import not_in
+
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    for values, want in (
+        ([("a",)], ["b"]),
+        ([("a",), (None,)], []),
+        ([], ["a", "b", None]),
+    ):
+        lst = spark.createDataFrame(values, "w string")
+        for limit in (0, 100):  # 0 forces the shuffle form, 100 the null-aware broadcast
+            got = sorted((r.v for r in not_in(df, "v", lst, limit).collect()), key=lambda x: (x is None, x))
+            assert got == want, (values, limit, got)
