@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from addrflow.functions.text import compact, is_missing
 
-# Fixed value: the pincode pattern (whole text).
-PINCODE = r"^[1-9][0-9]{2}\s?[0-9]{3}\z"
+# Fixed value: the pincode pattern, matched against the whole (space-free) pincode text.
+PINCODE = r"^[1-9]{1}[0-9]{2}\s{0,1}[0-9]{3}$"
 
 
 def clean_pincode(c: Column) -> Column:
