@@ -72,8 +72,9 @@ class JobConfig:
     broadcast_max_rows: int = 500_000
     # Optional explicit partition count before the row transform (None: leave it to AQE).
     transform_partitions: int | None = None
-    # Format of timestamp columns rendered as text.
-    timestamp_format: str = "yyyy-MM-dd HH:mm:ss"
+    # Format of timestamp columns rendered as text; None = Spark's own rendering
+    # ("yyyy-MM-dd HH:mm:ss" plus a fraction only when there is one), as a typed decode gives.
+    timestamp_format: str | None = None
     system_schemas: tuple[str, ...] = SYSTEM_SCHEMAS
 
 

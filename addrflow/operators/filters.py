@@ -48,11 +48,11 @@ def with_optional_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit("") for c in OPTIONAL_FIELDS})
 
 
-def as_text(df: DataFrame, fmt: str) -> DataFrame:
-    """Every column as a string; timestamps rendered with ``fmt``."""
+def as_text(df: DataFrame, fmt: str | None = None) -> DataFrame:
+    """Every column as a string; timestamps rendered with ``fmt`` (None: Spark's cast to string)."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        if fmt and isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             cols.append(F.date_format(F.col(f.name), fmt).alias(f.name))
         elif isinstance(f.dataType, T.StringType):
             cols.append(F.col(f.name))
@@ -66,7 +66,7 @@ def fill_missing_text(df: DataFrame) -> DataFrame:
     return df.na.fill("")
 
 
-def canonical_rows(df: DataFrame, fmt: str) -> DataFrame:
+def canonical_rows(df: DataFrame, fmt: str | None = None) -> DataFrame:
     """Canonical shipment rows: optional columns added, text typed, NULLs filled, fields ordered."""
     return fill_missing_text(as_text(with_optional_columns(df), fmt)).select(*SHIPMENT_FIELDS)
 
