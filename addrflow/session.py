@@ -16,6 +16,22 @@ RECOMMENDED_CONF = {
 }
 
 
+def suggested_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run reading ``input_bytes`` (e.g. 100 TB -> ~400k partitions).
+
+    The shuffle partition count is an upper bound sized for ~256 MB partitions; AQE coalesces
+    small ones and splits skewed ones at run time.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "addrflow") -> SparkSession:
     """A local session for tests and benchmarks (UI off, session time zone UTC)."""
     b = (
