@@ -53,12 +53,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a scratch folder is set only when none is configured."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current) if not spark.sparkContext.getCheckpointDir() else None
         return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    # Nothing configured (local tests only): a scratch folder of this machine.
     path = tempfile.mkdtemp(prefix="addrflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 

@@ -13,5 +13,9 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     Inputs that already have enough splits (any large table) are returned unchanged, so this adds
     no shuffle at scale; filters and column pruning still reach the scan below the repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session exposes no RDDs: leave the plan as it is
+        return df
+    return df.repartition(want) if have < want else df
