@@ -17,6 +17,7 @@ from addrflow.operators.filters import is_cipher_row
 from addrflow.operators.lookup import fits_broadcast, spread_key
 from addrflow.schema import ENCRYPTED_FIELDS
 
+
 def export_keys(key_export: DataFrame) -> DataFrame:
     """(key_path, vault_key): one row per path, first value of its JSON key map."""
     return key_export.groupBy("key_path").agg(F.min(first_key(F.col("keys_json"))).alias("vault_key"))

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from addrflow.config import JobConfig
 from addrflow.functions.cipher import key_alias
+from addrflow.functions.email import email_set
+from addrflow.functions.phone import mobile_set
+from addrflow.operators.contacts import clean_rows
+from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import is_cipher_row
+from addrflow.operators.lookup import with_pincode_check
 
 
 def id_bounds(df: DataFrame, column: str = "id") -> DataFrame:
@@ -19,19 +25,13 @@ def _long(agg: DataFrame) -> DataFrame:
     return agg.select(*[F.col(c).cast("long").alias(c) for c in cols]).unpivot([], cols, "stage", "rows")
 
 
-def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cfg) -> DataFrame:
+def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cfg: JobConfig) -> DataFrame:
     """(stage, rows) of a whole run from ONE pass over the rows (no explode, no re-reads).
 
     Contact counts follow from the per-row set sizes: a row with m mobiles and e e-mails
     (m + e > 0) yields max(m,1)*max(e,1) rows, m*max(e,1) of them with a mobile and
     e*max(m,1) with an e-mail.
     """
-    from addrflow.functions.email import email_set
-    from addrflow.functions.phone import mobile_set
-    from addrflow.operators.contacts import clean_rows
-    from addrflow.operators.decrypt import decrypt_rows
-    from addrflow.operators.lookup import with_pincode_check
-
     enc = is_cipher_row(F.col("mobile"))
     tagged = rows.withColumns(
         {"_enc": enc, "_pair": F.when(enc, F.struct(F.col("tenant_code"), key_alias(F.col("mobile"))))}

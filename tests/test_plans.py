@@ -1,6 +1,6 @@
 """Plan shape: built-in expressions only, no cartesian products, bounded broadcasts, pushdown."""
 
-from addrflow.plans.queries import CFG, q_shipment_contacts, q_stage_counts
+from addrflow.plans.queries import q_shipment_contacts, q_stage_counts
 from tests.conftest import SF_SMALL
 
 
