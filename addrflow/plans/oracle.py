@@ -261,6 +261,9 @@ def assembly_select(cfg, encrypted: bool, decrypted: bool = True) -> str:
     phone_ok = f"(ad.phone NOT LIKE '*%' AND ad.phone NOT IN {in_list(cfg.placeholder_phones)})"
     if encrypted:
         phone_ok = f"(ad._alias IS NOT NULL OR {phone_ok})"
+    country_ok = (
+        f"lower(ad.country_code) = lower({lit(cfg.country)})" if cfg.country_collation else f"ad.country_code = {lit(cfg.country)}"
+    )
     tenant_ok = "tn.code IS NOT NULL" + (
         f" AND tn.code NOT IN {in_list(cfg.excluded_tenants)}" if cfg.excluded_tenants else ""
     )
@@ -278,7 +281,7 @@ FROM sp JOIN ad ON ad.id = sp.shipping_address_id JOIN so ON sp.sale_order_id =
   JOIN supplier p ON f.s_suppkey = p.s_suppkey
 WHERE sp.status_code IN {in_list(cfg.statuses)} AND {tenant_ok}
   AND sp.created >= TIMESTAMP {lit(cfg.from_ts)} AND sp.created < TIMESTAMP {lit(cfg.till_ts)}
-  AND ad.country_code = {lit(cfg.country)} AND {phone_ok}"""
+  AND {country_ok} AND {phone_ok}"""
 
 
 SHIPMENT_COLS = (

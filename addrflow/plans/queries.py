@@ -112,6 +112,20 @@ def q_shipment_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembled(spark, sf_dir, CFG, encrypted=False)
 
 
+_CI = JobConfig(
+    from_ts=FROM_TS, till_ts=TILL_TS, run_ts=RUN_TS, excluded_tenants=("HOUSEHOLD",), country_collation="UTF8_LCASE"
+)
+
+
+@register(
+    "shipment_assembly_ci",
+    f"WITH {O.assembly_ctes(_CI)},\nasm AS ({O.assembly_select(_CI, False)})\nSELECT {O.SHIPMENT_COLS} FROM asm",
+)
+def q_shipment_assembly_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assembly with the country compared case-insensitively (rows with 'in' are kept too)."""
+    return assembled(spark, sf_dir, _CI, encrypted=False)
+
+
 @register("decrypted_rows", f"WITH {_asm_sql(True)}\nSELECT {O.SHIPMENT_COLS} FROM asm")
 def q_decrypted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decrypted(spark, sf_dir, CFG)
