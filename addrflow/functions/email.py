@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: RFC 822 address syntax as the source job's validator accepts it for
-# space-free text. Local atoms exclude controls, space, DEL and ()<>,;:\"[]@ and the dot;
-# domain labels are letters, digits and '-'.
+# space-free text. The local part is dot-separated atoms (no controls, space, DEL, ()<>,;:\"[]@
+# or dot) or one quoted string (backslash escapes) ending right before '@'; the domain is
+# dot-separated labels of letters, digits and '-', or a [literal].
 _ATOM = r'[^\x00-\x20\x7F()<>,;:\\"\[\]@.]+'
+_QUOTED = r'"(?:[^"\\]|\\.)*"'
 _LABEL = r"[\p{L}\p{Nd}-]+"
-EMAIL = rf"^{_ATOM}(\.{_ATOM})*@({_LABEL}(\.{_LABEL})*|\[[^\x00-\x20\x7F\[\]]*\])\z"
+EMAIL = rf"^(?:{_ATOM}(?:\.{_ATOM})*|{_QUOTED})@(?:{_LABEL}(?:\.{_LABEL})*|\[[^\x00-\x20\x7F\[\]]*\])\z"
 
 
 def is_valid_email(c: Column) -> Column:

@@ -99,9 +99,9 @@ def test_pincode_rule(spark, value, ok):
     assert _map(spark, [value], PC.matches_pincode_rule) == [ok]
 
 
-EMAILS_OK = ["a@b.com", "a@localhost", "a@[1.2.3.4]", "x+y@z.in", "é@b.in", "a@bü.de"]
+EMAILS_OK = ["a@b.com", "a@localhost", "a@[1.2.3.4]", "x+y@z.in", "é@b.in", "a@bü.de", '"ab"@c.d', '"a\\"b"@c.d']
 EMAILS_BAD = [".a@b.c", "a..b@c.d", "a.@b.c", "a@b..c", "a@b.", "a@b_c.d", "ab", "@b.c", "a@b@c", "cipher:k:QUJD",
-              "a@[1.2", "a b@c.d", None, ""]
+              "a@[1.2", "a b@c.d", None, "", '"a"b@c.d', 'a"b"@c.d', '"ab@c.d']
 
 
 def test_email_rule(spark):
