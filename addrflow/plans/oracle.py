@@ -6,7 +6,7 @@ Patterns are shared with the Spark functions (Java regex and RE2 read them alike
 
 from __future__ import annotations
 
-from addrflow.functions.email import EMAIL
+from addrflow.functions.email import EMAIL_RE2
 from addrflow.functions.phone import CC_PREFIXED, MOBILE_TEN, PLUS_CC_PREFIXED, ZERO_PREFIXED
 from addrflow.functions.pincode import PINCODE
 from addrflow.functions.text import CONTROL, JAVA_TRIM, TRAILING_COMMA, WHITESPACE
@@ -75,7 +75,7 @@ def mobile_set(a: str, b: str, recover: bool = True) -> str:
 
 
 def email_ok(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, {lit(EMAIL)}), false)"
+    return f"coalesce(regexp_matches({x}, {lit(EMAIL_RE2)}), false)"
 
 
 def email_set(a: str, b: str) -> str:
