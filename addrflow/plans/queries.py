@@ -12,8 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig
+from addrflow.functions import cipher as C
+from addrflow.functions import email as EM
+from addrflow.functions import phone as PH
+from addrflow.functions import pincode as PC
+from addrflow.functions import text as TX
+from addrflow.operators import registry as R
+from addrflow.operators.assemble import assemble_shipments
 from addrflow.operators.contacts import contact_rows
-from addrflow.operators.filters import canonical_rows, in_window, phone_kept
+from addrflow.operators.decrypt import decrypt_rows, distinct_key_pairs, key_table
+from addrflow.operators.filters import canonical_rows, in_window, is_cipher_row, phone_kept, union_sources
+from addrflow.operators.lookup import bounded_broadcast, pincode_lookup_set
+from addrflow.operators.metrics import id_bounds, stage_counts
 from addrflow.plans import oracle as O
 from addrflow.sources import driver_tables as D
 
@@ -87,9 +97,6 @@ register(
 
 # --- assembly, decryption, end to end ------------------------------------------------------------
 
-from addrflow.operators.assemble import assemble_shipments  # noqa: E402
-from addrflow.operators.decrypt import decrypt_rows, distinct_key_pairs, key_table  # noqa: E402
-
 
 def assembled(spark: SparkSession, sf_dir: str, cfg: JobConfig, encrypted: bool, with_district: bool = True):
     t = D.source_tables(spark, sf_dir, with_district=with_district, encrypted=encrypted)
@@ -167,8 +174,6 @@ def q_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{O.contacts_sql('allrows', RUN_TS)}",
 )
 def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from addrflow.operators.filters import union_sources
-
     a = assembled(spark, sf_dir, CFG, encrypted=False)
     # The fixture source has no district/channel columns: the union fills them with ''.
     b = canonical_rows(D.fixture_rows(fixture_in_window(spark, sf_dir, CFG)), CFG.timestamp_format)
@@ -177,13 +182,6 @@ def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- column functions over whole tables -------------------------------------------------------
 
-from addrflow.functions import cipher as C  # noqa: E402
-from addrflow.functions import email as EM  # noqa: E402
-from addrflow.functions import phone as PH  # noqa: E402
-from addrflow.functions import pincode as PC  # noqa: E402
-from addrflow.functions import text as TX  # noqa: E402
-from addrflow.operators.lookup import bounded_broadcast, pincode_lookup_set  # noqa: E402
-
 
 def _joined(arr) -> "F.Column":
     return F.array_join(arr, "|")
@@ -358,8 +356,6 @@ SELECT id, starts_with(phone, 'cipher:') AS is_encrypted,
 FROM s""",
 )
 def q_cipher_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from addrflow.operators.filters import is_cipher_row
-
     ad = D.address_detail(spark, sf_dir, encrypted=True)
     p = F.col("phone")
     return ad.select(
@@ -403,9 +399,6 @@ def q_key_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- source selection: registry and closed tenant databases -------------------------------------
 
-from addrflow.operators import registry as R  # noqa: E402
-from addrflow.operators.metrics import id_bounds, stage_counts  # noqa: E402
-
 
 def server_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry entries, one per supplier: db named by nation; flags vary (one is upper-case)."""
