@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrflow.operators.filters import in_window
-from addrflow.operators.lookup import fits_broadcast
+from addrflow.operators.lookup import bounded_broadcast, fits_broadcast
 
 
-def active_servers(registry: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
+def active_servers(registry: DataFrame, excluded: DataFrame | None = None, max_rows: int = 500_000) -> DataFrame:
     """Distinct ``db`` of entries with production = 'true' and active = 'true', minus ``excluded``."""
     live = registry.filter((F.col("production") == "true") & (F.col("active") == "true")).select("db").distinct()
     if excluded is None:
         return live
-    return live.join(excluded.select(F.col("db").alias("_x")), F.col("db") == F.col("_x"), "left_anti")
+    x = bounded_broadcast(excluded.select(F.col("db").alias("_x")), max_rows)
+    return live.join(x, F.col("db") == F.col("_x"), "left_anti")
 
 
 def empty_schemas(schemata: DataFrame, tables: DataFrame) -> DataFrame:

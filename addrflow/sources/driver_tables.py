@@ -14,10 +14,13 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from addrflow.config import JobConfig
 from addrflow.functions.cipher import encrypt_value
+from addrflow.operators.lookup import bounded_broadcast
 from addrflow.sources.parallel import ensure_parallel
 
 BACKSLASH_N = "\\N"
+BROADCAST_MAX_ROWS = JobConfig.__dataclass_fields__["broadcast_max_rows"].default
 
 
 # Tables whose rows carry the per-row work (dimension tables are only probed or broadcast).
@@ -134,7 +137,7 @@ def fixture_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⋈ customer ⋈ nation with synthesised contact columns (FIXTURES.md §3, plus text fields)."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    n = read_table(spark, sf_dir, "nation")
+    n = bounded_broadcast(read_table(spark, sf_dir, "nation"), BROADCAST_MAX_ROWS)
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     return (
         o.join(c, ck == F.col("c_custkey"))
