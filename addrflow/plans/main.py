@@ -1,7 +1,8 @@
 """Command-line entry: one run of the contact job for the window in ``spark.driver.args``.
 
-    spark-submit --conf spark.driver.args="2024-01-01 00:00:00,2024-01-02 00:00:00" \
-                 --conf spark.addrflow.config=/path/job.json  -m addrflow.plans.main
+    spark-submit --py-files addrflow.zip \
+                 --conf spark.driver.args="2024-01-01 00:00:00,2024-01-02 00:00:00" \
+                 --conf spark.addrflow.config=/path/job.json  addrflow/plans/main.py
 
 ``job.json`` (credentials stay in this file; nothing here logs them)::
 
