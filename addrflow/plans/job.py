@@ -7,6 +7,7 @@ Spark job with one write, instead of a thread and a job per database.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,14 +56,23 @@ def run_jdbc_job(
     sink_table: str,
     read_partitions: int | None = None,
     stage_name: str | None = None,
+    probe_threads: int = 16,
+    sink_connections: int | None = 64,
 ) -> RunResult:
     """Read every source database, transform, and append to ``sink_table``.
 
     With ``stage_name`` the raw rows are first written once to the shared checkpoint folder, so
     the transform and the write never go back to the databases, even when executors are lost.
     """
-    frames = [canonical_rows(read_shipments(spark, t, cfg, read_partitions), cfg.timestamp_format) for t in source_targets]
+    def read(t: JdbcTarget) -> DataFrame:
+        return canonical_rows(read_shipments(spark, t, cfg, read_partitions), cfg.timestamp_format)
+
+    # Each source needs two one-row probes (window bounds, optional column) before its read is
+    # planned; with many databases they run concurrently rather than one after another.
+    targets = list(source_targets)
+    with ThreadPoolExecutor(max_workers=max(1, min(probe_threads, len(targets)))) as pool:
+        frames = list(pool.map(read, targets))
     if stage_name:
         frames = [stage_table(union_sources(frames), stage_name, spark)]
     contacts = contacts_from_sources(frames, key_export, pincodes, cfg)
-    return run(contacts, lambda df: append(df, sink_target, sink_table))
+    return run(contacts, lambda df: append(df, sink_target, sink_table, max_connections=sink_connections))

@@ -185,22 +185,30 @@ def read_closed_databases(
 
 
 def append(
-    df: DataFrame, target: JdbcTarget, table: str, batch_size: int = WRITE_BATCH, isolation: str = "READ_COMMITTED"
+    df: DataFrame,
+    target: JdbcTarget,
+    table: str,
+    batch_size: int = WRITE_BATCH,
+    isolation: str = "READ_COMMITTED",
+    max_connections: int | None = None,
 ) -> None:
     """Batched INSERTs into ``table`` (append; re-running a window appends its rows again).
 
     Each partition is written in one transaction, so a task retried after an executor loss does
-    not leave the rows of its failed attempt behind (``isolation="NONE"`` would).
+    not leave the rows of its failed attempt behind (``isolation="NONE"`` would). With
+    ``max_connections`` Spark coalesces to at most that many writing tasks, so a big job does not
+    open one connection per partition against the database.
     """
-    (
+    writer = (
         df.write.format("jdbc")
         .options(**target.options())
         .option("dbtable", table)
         .option("batchsize", str(batch_size))
         .option("isolationLevel", isolation)
-        .mode("append")
-        .save()
     )
+    if max_connections:
+        writer = writer.option("numPartitions", str(max_connections))
+    writer.mode("append").save()
 
 
 def string_table(df: DataFrame) -> DataFrame:
