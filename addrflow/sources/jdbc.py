@@ -196,9 +196,12 @@ def append(
 
     Each partition is written in one transaction, so a task retried after an executor loss does
     not leave the rows of its failed attempt behind (``isolation="NONE"`` would). With
-    ``max_connections`` Spark coalesces to at most that many writing tasks, so a big job does not
-    open one connection per partition against the database.
+    ``max_connections`` the rows are shuffled into that many writing tasks, so a big job does not
+    open one connection per partition against the database. A shuffle, not a coalesce: a
+    coalesce would also shrink the upstream stage (decryption, cleanup) to that many tasks.
     """
+    if max_connections:
+        df = df.repartition(max_connections)
     writer = (
         df.write.format("jdbc")
         .options(**target.options())
@@ -206,8 +209,6 @@ def append(
         .option("batchsize", str(batch_size))
         .option("isolationLevel", isolation)
     )
-    if max_connections:
-        writer = writer.option("numPartitions", str(max_connections))
     writer.mode("append").save()
 
 
