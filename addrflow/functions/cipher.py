@@ -64,9 +64,22 @@ def aes_key_bytes(key: Column) -> Column:
     return F.rpad(F.encode(key, "UTF-8"), AES_KEY_BYTES, F.lit(bytes(1)))
 
 
+def lenient_base64(p: Column) -> Column:
+    """Bytes of a base64 text decoded leniently, as the source job's decoder does.
+
+    URL-safe letters count as '+' and '/', decoding stops at the first '=', any other character
+    outside the alphabet (line breaks, spaces, junk) is skipped, and a dangling last character
+    (6 bits, not a byte) is dropped. NULL when nothing decodable is left.
+    """
+    body = F.regexp_replace(F.substring_index(F.translate(p, "-_", "+/"), "=", 1), r"[^A-Za-z0-9+/]", "")
+    n = F.length(body)
+    body = F.when(n % 4 == 1, F.substring(body, 1, n - 1)).otherwise(body)
+    return F.try_to_binary(body, F.lit("base64"))
+
+
 def aes_decrypt_or_keep(p: Column, key: Column) -> Column:
     """AES/ECB/PKCS5 decrypt of a base64 payload; any failure gives the payload back."""
-    data = F.try_to_binary(F.translate(p, "-_", "+/"), F.lit("base64"))
+    data = lenient_base64(p)
     clear = F.try_aes_decrypt(data, aes_key_bytes(key), F.lit("ECB"), F.lit("PKCS"))
     return F.coalesce(F.make_valid_utf8(clear.cast("string")), p)
 

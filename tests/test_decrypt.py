@@ -98,3 +98,21 @@ def test_shuffle_path_when_keys_exceed_broadcast_limit(spark):
     out = decrypt_rows(_rows(spark, data), export, cfg)
     mob = sorted(r.mobile for r in out.collect())
     assert len(mob) == 51 and "9876543210" in mob
+
+
+def test_lenient_payloads_and_32_byte_key(spark):
+    """Wrapped, URL-safe, junk-carrying and over-padded payloads still decrypt; 32-byte keys work."""
+    key32 = "k" * 32
+    enc = spark.range(1).select(C.encrypt_value(F.lit("Asha Rao, 12 MG Road"), F.lit("a1"), F.lit(key32)).alias("c")).first().c
+    body = enc.split(":", 2)[2]
+    variants = [
+        body,
+        body[:10] + "\r\n" + body[10:],  # line-wrapped
+        body.replace("+", "-").replace("/", "_"),  # URL-safe alphabet
+        body[:5] + "*#" + body[5:],  # junk characters are skipped
+        body.rstrip("=") + "==" + "QUJD",  # decoding stops at the first '='
+    ]
+    data = [{"tenant_code": "t", "mobile": "cipher:a1:" + v, "name": "cipher:a1:" + v} for v in variants]
+    export = _export(spark, [("kp/a1/1", key32)])
+    out = decrypt_rows(_rows(spark, data), export, CFG).collect()
+    assert [r.name for r in out] == ["Asha Rao, 12 MG Road"] * len(variants)
