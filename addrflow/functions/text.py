@@ -12,6 +12,8 @@ WHITESPACE = r"[\p{Z}\t\n\x0B\f\r\x1C-\x1F]"
 CONTROL = r"[\x00-\x1F\x7F-\x9F]"
 # String.trim(): every char <= U+0020 at either end (\z: end of input, not before a line end)
 JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+\z"
+# the same characters as a set, for Spark's trim(str, chars)
+JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
 TRAILING_COMMA = r",\z"
 MISSING_MARK = "\\N"  # the two characters backslash and N
 NAN_MARK = "nan"
@@ -42,7 +44,7 @@ def clean_field(c: Column) -> Column:
     NULL, \\N and 'nan' (exact, before trimming) -> ''; otherwise trim, drop one trailing
     comma, then drop control chars (no second trim).
     """
-    trimmed = F.regexp_replace(c, JAVA_TRIM, "")
+    trimmed = F.trim(c, F.lit(JAVA_TRIM_CHARS))
     return F.when(c.isNull() | c.isin(MISSING_MARK, NAN_MARK), F.lit("")).otherwise(
         remove_control(F.regexp_replace(trimmed, TRAILING_COMMA, ""))
     )
