@@ -502,3 +502,136 @@ SELECT stage, rows FROM (
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assembled(spark, sf_dir, CFG, encrypted=True)
     return stage_counts(rows, D.key_export(spark, sf_dir), D.pincode_lookup(spark, sf_dir), CFG)
+
+
+# --- row filters with NULLs, decryption fallbacks ------------------------------------------------
+
+
+def filter_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders with NULLs planted in every filtered column (one in 13, 17, 19, 23, 29 rows)."""
+    li = D.read_table(spark, sf_dir, "lineitem")
+    o = D.read_table(spark, sf_dir, "orders")
+    ok, ck, ln = F.col("o_orderkey"), F.col("o_custkey"), F.col("l_linenumber")
+    null = F.lit(None).cast("string")
+    j = li.join(o, F.col("l_orderkey") == ok)
+    return j.select(
+        ok.alias("order_id"),
+        ln.alias("line"),
+        F.when((ok + ln) % 13 == 0, null).otherwise(D.status_expr(F.col("l_returnflag"), F.col("l_linestatus"))).alias("status"),
+        F.when((ok + ln) % 17 == 0, F.lit(None)).otherwise(F.col("l_shipdate")).alias("created"),
+        F.when((ok + ln) % 19 == 0, null).otherwise(F.col("o_orderpriority")).alias("tenant"),
+        F.when((ok + ln) % 23 == 0, null).otherwise(D.country_expr(ok)).alias("country"),
+        F.when((ok + ln) % 29 == 0, null).otherwise(D.phone_expr(ok, ck)).alias("phone"),
+    )
+
+
+_FILTER_CFG = JobConfig(from_ts=FROM_TS, till_ts=TILL_TS, run_ts=RUN_TS, excluded_tenants=("1-URGENT", "5-LOW"))
+
+
+def _filter_probe_sql() -> str:
+    def nul(mod: int, expr: str, typ: str = "string") -> str:
+        return f"CASE WHEN (o_orderkey + l_linenumber) % {mod} = 0 THEN cast(NULL as {typ}) ELSE {expr} END"
+
+    return f"""fp AS (SELECT o_orderkey AS order_id, l_linenumber AS line,
+  {nul(13, O.STATUS_SQL)} AS status, {nul(17, 'l_shipdate', 'timestamp')} AS created,
+  {nul(19, 'o_orderpriority')} AS tenant,
+  {nul(23, "CASE o_orderkey % 10 WHEN 0 THEN 'US' WHEN 1 THEN 'in' ELSE 'IN' END")} AS country,
+  {nul(29, O.phone_sql())} AS phone
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+@register(
+    "source_filters",
+    f"""WITH {_filter_probe_sql()}
+SELECT order_id, line,
+  coalesce(status IN {O.in_list(_FILTER_CFG.statuses)}, false) AS status_ok,
+  coalesce(tenant IS NOT NULL AND tenant NOT IN {O.in_list(_FILTER_CFG.excluded_tenants)}, false) AS tenant_ok,
+  coalesce(created >= TIMESTAMP {O.lit(FROM_TS)} AND created < TIMESTAMP {O.lit(TILL_TS)}, false) AS window_ok,
+  coalesce(country = 'IN', false) AS country_ok,
+  coalesce(phone NOT LIKE '*%' AND phone NOT IN {O.in_list(_FILTER_CFG.placeholder_phones)}, false) AS phone_ok
+FROM fp""",
+)
+def q_source_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source filter on rows with NULLs: a NULL in a filtered column drops the row, as in SQL."""
+    from addrflow.operators.filters import country_kept, status_kept, tenant_kept
+
+    fp = filter_probe(spark, sf_dir)
+    cfg = _FILTER_CFG
+
+    def kept(c):
+        return F.coalesce(c, F.lit(False))
+
+    return fp.select(
+        "order_id",
+        "line",
+        kept(status_kept(F.col("status"), cfg)).alias("status_ok"),
+        kept(tenant_kept(F.col("tenant"), cfg)).alias("tenant_ok"),
+        kept(in_window(F.col("created"), fp.schema["created"].dataType, cfg.from_ts, cfg.till_ts)).alias("window_ok"),
+        kept(country_kept(F.col("country"), cfg)).alias("country_ok"),
+        kept(phone_kept(F.col("phone"), cfg)).alias("phone_ok"),
+    )
+
+
+_FALLBACKS = [
+    # (case, Spark value from clear text c, SQL value, SQL expected result)
+    ("missing_key", lambda c: F.concat(F.lit("cipher:zz:"), F.base64(F.encode(c, "UTF-8"))),
+     "'cipher:zz:' || to_base64(encode(c))", "to_base64(encode(c))"),
+    ("legacy_alias", lambda c: F.concat(F.lit("cipher:1:"), F.base64(F.encode(c, "UTF-8"))),
+     "'cipher:1:' || to_base64(encode(c))", "to_base64(encode(c))"),
+    ("retired_alias", lambda c: F.concat(F.lit("cipher:2:"), F.base64(F.encode(c, "UTF-8"))),
+     "'cipher:2:' || to_base64(encode(c))", "'cipher:2:' || to_base64(encode(c))"),
+    ("no_payload", lambda c: F.lit("cipher:"), "'cipher:'", "'cipher:'"),
+    # nothing decodable left -> AES over zero bytes -> '' (as the JCE does); else the payload
+    ("junk_payload", lambda c: F.concat(F.lit("cipher:k1:*"), c, F.lit("!")),
+     "'cipher:k1:*' || c || '!'", "CASE WHEN {empty} THEN '' ELSE '*' || c || '!' END"),
+]
+# payload '*' || c || '!' leaves at most one base64 character after lenient decoding
+_EMPTY_BODY = "length(regexp_replace(split_part(translate('*' || c || '!', '-_', '+/'), '=', 1), '[^A-Za-z0-9+/]', '', 'g')) <= 1"
+
+
+def _fallback_case(ok):
+    r = ok % len(_FALLBACKS)
+    case = F.lit(_FALLBACKS[-1][0])
+    for i, (name, *_rest) in reversed(list(enumerate(_FALLBACKS[:-1]))):
+        case = F.when(r == i, F.lit(name)).otherwise(case)
+    return case
+
+
+def _fallbacks_sql() -> str:
+    n = len(_FALLBACKS)
+    case = "CASE " + " ".join(f"WHEN o_orderkey % {n} = {i} THEN '{name}'" for i, (name, *_r) in enumerate(_FALLBACKS)) + " END"
+    value = "CASE kase " + " ".join(f"WHEN '{name}' THEN {sql}" for name, _s, sql, _e in _FALLBACKS) + " END"
+    expect = "CASE kase " + " ".join(
+        f"WHEN '{name}' THEN {e.format(empty=_EMPTY_BODY)}" for name, _s, _sql, e in _FALLBACKS
+    ) + " END"
+    return f"""WITH b AS (SELECT o_orderkey AS id, {case} AS kase, {O.phone_sql()} AS c FROM orders)
+SELECT id, kase AS fallback_case, {expect} AS mobile,
+  CASE WHEN kase = 'retired_alias' OR (kase = 'junk_payload' AND {_EMPTY_BODY}) THEN 0 ELSE 1 END AS undecrypted
+FROM b"""
+
+
+@register("decrypt_fallbacks", _fallbacks_sql())
+def q_decrypt_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every decryption fallback on whole orders: missing key, legacy and retired aliases,
+    ciphertext without payload, payload that is no base64 AES block (all deterministic)."""
+    from addrflow.schema import SHIPMENT_FIELDS
+
+    o = D.read_table(spark, sf_dir, "orders")
+    ok = F.col("o_orderkey")
+    c = D.phone_expr(ok, F.col("o_custkey"))
+    case = _fallback_case(ok)
+    value = F.lit(None).cast("string")
+    for name, spark_fn, _sql, _e in reversed(_FALLBACKS):
+        value = F.when(case == name, spark_fn(c)).otherwise(value)
+    rows = o.select(
+        *[F.lit("").alias(f) for f in SHIPMENT_FIELDS if f not in ("mobile", "tenant_code", "shipping_package_code")],
+        value.alias("mobile"),
+        F.lit("t").alias("tenant_code"),
+        ok.cast("string").alias("shipping_package_code"),
+        case.alias("fallback_case"),
+    )
+    out = decrypt_rows(rows, D.key_export(spark, sf_dir), CFG, flag_failures=True)
+    return out.select(
+        F.col("shipping_package_code").cast("long").alias("id"), "fallback_case", "mobile",
+        F.col("_undecrypted").cast("int").alias("undecrypted"),
+    )
