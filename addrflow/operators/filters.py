@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from addrflow.config import JobConfig
+from addrflow.functions.cipher import CIPHER_PREFIX
 from addrflow.schema import OPTIONAL_FIELDS, SHIPMENT_FIELDS
 
 
@@ -38,7 +39,7 @@ def phone_kept(c: Column, cfg: JobConfig) -> Column:
 
 def is_cipher_row(mobile: Column) -> Column:
     """A row is encrypted when its mobile is ciphertext (a NULL mobile is plain)."""
-    return mobile.isNotNull() & mobile.startswith("cipher:")
+    return mobile.isNotNull() & mobile.startswith(CIPHER_PREFIX)
 
 
 def with_optional_columns(df: DataFrame) -> DataFrame:

@@ -116,3 +116,20 @@ def test_lenient_payloads_and_32_byte_key(spark):
     export = _export(spark, [("kp/a1/1", key32)])
     out = decrypt_rows(_rows(spark, data), export, CFG).collect()
     assert [r.name for r in out] == ["Asha Rao, 12 MG Road"] * len(variants)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    st.lists(st.text(max_size=40), min_size=1, max_size=10),
+    st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x2FFF), max_size=48),
+)
+def test_round_trip_property(spark, clears, key):
+    """Any clear text under any key (zero-padded or cut to 32 UTF-8 bytes) decrypts back."""
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(clears)], "i int, c string")
+    enc = df.select("i", "c", C.encrypt_value(F.col("c"), F.lit("p1"), F.lit(key)).alias("v"))
+    out = enc.select("i", "c", C.decrypt_value(F.col("v"), F.lit(key)).alias("d")).collect()
+    assert all(r.d == r.c for r in out)
