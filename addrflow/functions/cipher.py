@@ -69,12 +69,13 @@ def lenient_base64(p: Column) -> Column:
 
     URL-safe letters count as '+' and '/', decoding stops at the first '=', any other character
     outside the alphabet (line breaks, spaces, junk) is skipped, and a dangling last character
-    (6 bits, not a byte) is dropped. NULL when nothing decodable is left.
+    (6 bits, not a byte) is dropped. Text that strict decoding accepts (nearly all) decodes to the
+    same bytes either way, so the string clean-up runs only for the rest.
     """
     body = F.regexp_replace(F.substring_index(F.translate(p, "-_", "+/"), "=", 1), r"[^A-Za-z0-9+/]", "")
     n = F.length(body)
     body = F.when(n % 4 == 1, F.substring(body, 1, n - 1)).otherwise(body)
-    return F.try_to_binary(body, F.lit("base64"))
+    return F.coalesce(F.try_to_binary(p, F.lit("base64")), F.try_to_binary(body, F.lit("base64")))
 
 
 def aes_decrypt_or_keep(p: Column, key: Column) -> Column:

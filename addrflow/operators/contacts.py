@@ -9,6 +9,7 @@ from addrflow.config import JobConfig
 from addrflow.functions.email import email_set
 from addrflow.functions.phone import mobile_set
 from addrflow.functions.text import clean_field, compact, normalize_country, remove_control
+from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.lookup import with_pincode_check
 from addrflow.schema import CONTACT_FIELDS
 
@@ -51,10 +52,17 @@ def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
     ).select(*CONTACT_FIELDS)
 
 
-def contact_rows(df: DataFrame, pincodes: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Canonical shipment rows -> contact rows: cleanup, pincode gate, explode."""
+def contact_rows(df: DataFrame, pincodes: DataFrame, cfg: JobConfig, key_export: DataFrame | None = None) -> DataFrame:
+    """Canonical shipment rows -> contact rows: pincode gate, (decryption), cleanup, explode.
+
+    The pincode is never encrypted, so rows with an invalid pincode are dropped *before* the
+    decryption: the same rows come out as decrypting first, with less AES work.
+    """
     rows = df
     if cfg.transform_partitions:
         rows = rows.repartition(cfg.transform_partitions)
-    checked = with_pincode_check(clean_rows(rows), pincodes, cfg.broadcast_max_rows)
-    return explode_contacts(checked.filter(F.col("_pincode_ok")).drop("_pincode_ok"), cfg)
+    checked = with_pincode_check(rows, pincodes, cfg.broadcast_max_rows)
+    kept = checked.filter(F.col("_pincode_ok")).drop("_pincode_ok")
+    if key_export is not None:
+        kept = decrypt_rows(kept, key_export, cfg)
+    return explode_contacts(clean_rows(kept), cfg)

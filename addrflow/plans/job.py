@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from addrflow.config import JobConfig
 from addrflow.operators.contacts import contact_rows
-from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import canonical_rows, union_sources
 from addrflow.operators.metrics import observed
 from addrflow.session import stage_table
@@ -26,7 +25,7 @@ def contacts_from_sources(
 ) -> DataFrame:
     """Raw shipment rows of each source -> contact rows (one plan)."""
     rows = union_sources([canonical_rows(s, cfg.timestamp_format) for s in sources])
-    return contact_rows(decrypt_rows(rows, key_export, cfg), pincodes, cfg)
+    return contact_rows(rows, pincodes, cfg, key_export=key_export)
 
 
 @dataclass(frozen=True)

@@ -144,7 +144,9 @@ def q_decrypted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{O.contacts_sql('rows', RUN_TS)}",
 )
 def q_shipment_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contact_rows(decrypted(spark, sf_dir, CFG), D.pincode_lookup(spark, sf_dir), CFG)
+    rows = assembled(spark, sf_dir, CFG, encrypted=True)
+    keys = D.key_export(spark, sf_dir, CFG.key_path.prefix, CFG.key_path.version)
+    return contact_rows(rows, D.pincode_lookup(spark, sf_dir), CFG, key_export=keys)
 
 
 @register(

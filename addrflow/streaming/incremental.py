@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from addrflow.config import JobConfig
 from addrflow.operators.contacts import contact_rows
-from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import canonical_rows
 from addrflow.schema import SHIPMENT_SCHEMA
 from addrflow.session import ensure_checkpoint_dir
@@ -18,7 +17,7 @@ from addrflow.session import ensure_checkpoint_dir
 def contacts_stream(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cfg: JobConfig) -> DataFrame:
     """Streaming (or batch) raw shipment rows -> contact rows; the lookups are static DataFrames."""
     canonical = canonical_rows(rows, cfg.timestamp_format)
-    return contact_rows(decrypt_rows(canonical, key_export, cfg), pincodes, cfg)
+    return contact_rows(canonical, pincodes, cfg, key_export=key_export)
 
 
 def run_incremental(
