@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig
 from addrflow.operators.contacts import contact_rows
@@ -33,6 +35,7 @@ class RunResult:
     rows: int
     with_mobile: int
     with_email: int
+    source_rows: dict[str, int] = field(default_factory=dict)  # raw rows read per source
 
 
 def run(
@@ -71,7 +74,15 @@ def run_jdbc_job(
     targets = list(source_targets)
     with ThreadPoolExecutor(max_workers=max(1, min(probe_threads, len(targets)))) as pool:
         frames = list(pool.map(read, targets))
+    # Per-source row counts, filled by the same pass that reads the rows (no extra job).
+    observations = []
+    for i, (t, f) in enumerate(zip(targets, frames)):
+        obs = Observation(f"source-{i}-{uuid.uuid4().hex}")
+        frames[i] = f.observe(obs, F.count(F.lit(1)).alias("rows"))
+        observations.append((t.name or f"source-{i}", obs))
     if stage_name:
         frames = [stage_table(union_sources(frames), stage_name, spark)]
     contacts = contacts_from_sources(frames, key_export, pincodes, cfg)
-    return run(contacts, lambda df: append(df, sink_target, sink_table, max_connections=sink_connections))
+    result = run(contacts, lambda df: append(df, sink_target, sink_table, max_connections=sink_connections))
+    per_source = {name: int(obs.get.get("rows", 0)) for name, obs in observations}
+    return replace(result, source_rows=per_source)

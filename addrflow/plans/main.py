@@ -67,10 +67,11 @@ def run_from_config(spark: SparkSession, window: str, conf: dict) -> RunResult:
     props = src.get("properties", {})
 
     def target(host: str, database: str) -> JdbcTarget:
+        name = f"{host}/{database}"
         if "url_template" in src:  # e.g. "jdbc:otherdb://{host}/{database}"
-            return JdbcTarget(src["url_template"].format(host=host, database=database), props)
+            return JdbcTarget(src["url_template"].format(host=host, database=database), props, name)
         url = jdbc_url(host, database, src.get("port", 3306), src.get("scheme", "mysql"), src.get("params"))
-        return JdbcTarget(url, props)
+        return JdbcTarget(url, props, name)
 
     targets = [target(s, src.get("database", "")) for s in servers]
     if closed_conf:
@@ -99,7 +100,8 @@ def main(argv: list[str] | None = None) -> int:
     with open(spark.conf.get("spark.addrflow.config")) as fh:
         conf = json.load(fh)
     result = run_from_config(spark, window, conf)
-    print(json.dumps({"rows": result.rows, "with_mobile": result.with_mobile, "with_email": result.with_email}))
+    print(json.dumps({"rows": result.rows, "with_mobile": result.with_mobile, "with_email": result.with_email,
+                      "source_rows": result.source_rows}))
     return 0
 
 

@@ -24,6 +24,7 @@ _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_$.]*$")
 class JdbcTarget:
     url: str
     properties: dict[str, str] = field(default_factory=dict, repr=False)  # user, password, driver, ...
+    name: str = ""  # label for reports (never the URL, which may carry options)
 
     def options(self) -> dict[str, str]:
         return {"url": self.url, **self.properties}

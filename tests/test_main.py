@@ -59,6 +59,11 @@ def test_run_from_config(spark):
     )
     cols = [c for c in want.columns if c != "enabled"]
     assert res.rows == written.count() == want.count() > 0
+    assert set(res.source_rows) == {"srvA/main", "srvB/main", "closed/tenant_x"}
+    # ciphertext phones never match the masked/placeholder filters, so the encrypted source reads more
+    assert res.source_rows["srvA/main"] == assembled(spark, SF_SMALL, CFG, encrypted=False).count()
+    assert res.source_rows["srvB/main"] == assembled(spark, SF_SMALL, CFG, encrypted=True).count()
+    assert res.source_rows["closed/tenant_x"] == res.source_rows["srvB/main"]
     assert written.select(*cols).exceptAll(want.select(*cols)).count() == 0
 
     # the same through main(): window from the arguments, configuration file from the session
