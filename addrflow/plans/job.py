@@ -6,9 +6,9 @@ Spark job with one write, instead of a thread and a job per database.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,9 +38,7 @@ class RunResult:
     source_rows: dict[str, int] = field(default_factory=dict)  # raw rows read per source
 
 
-def run(
-    contacts: DataFrame, sink: Callable[[DataFrame], None], name: str = "contacts"
-) -> RunResult:
+def run(contacts: DataFrame, sink: Callable[[DataFrame], None], name: str = "contacts") -> RunResult:
     """Write ``contacts`` with ``sink``; counts are gathered during that same write."""
     df, obs = observed(contacts, name)
     sink(df)
@@ -66,6 +64,7 @@ def run_jdbc_job(
     With ``stage_name`` the raw rows are first written once to the shared checkpoint folder, so
     the transform and the write never go back to the databases, even when executors are lost.
     """
+
     def read(t: JdbcTarget) -> DataFrame:
         return canonical_rows(read_shipments(spark, t, cfg, read_partitions), cfg.timestamp_format)
 
