@@ -52,14 +52,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a scratch folder is set only when none is configured."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Only a local-mode session without one gets a scratch folder; a cluster session must name a
+    shared folder, so staged tables and stream checkpoints survive the loss of any one machine.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    # Nothing configured (local tests only): a scratch folder of this machine.
+    if not sc.master.startswith("local"):
+        # Executors on other machines could neither see nor survive a folder of this one.
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
+    # Nothing configured in local mode (tests, bench): a scratch folder of this machine.
     path = tempfile.mkdtemp(prefix="addrflow-ckpt-")
     sc.setCheckpointDir(path)
     return path

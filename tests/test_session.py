@@ -23,3 +23,25 @@ def test_suggested_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_cluster_session_needs_a_shared_checkpoint_dir():
+    """Only local mode may fall back to a scratch folder of the machine."""
+    import pytest
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Ctx()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session())
