@@ -29,20 +29,21 @@ def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
 
     only e-mails -> mobile ''; only mobiles -> e-mail ''; both -> every pair; none -> no row.
     Pairs never leave their input row (at most two e-mails per row), so this needs no shuffle.
+
+    The "none" case is an empty array in the first explode, not a filter: Catalyst pushes a
+    filter on the sets below their projection, which would build both sets (and decrypt their
+    columns) twice per row; a generator keeps them computed once.
     """
     sets = df.withColumns(
         {
             "_ms": mobile_set(F.col("mobile"), F.col("notification_mobile"), cfg.recover_mobiles),
             "_es": email_set(F.col("email"), F.col("notification_email")),
         }
-    ).filter((F.size("_ms") + F.size("_es")) > 0)
-
-    def or_blank(c: str):
-        return F.when(F.size(c) == 0, F.array(F.lit(""))).otherwise(F.col(c))
-
-    pairs = sets.withColumn("contact_mobile", F.explode(or_blank("_ms"))).withColumn(
-        "contact_email", F.explode(or_blank("_es"))
     )
+    blank = F.array(F.lit(""))
+    mobiles = F.when(F.size("_ms") > 0, F.col("_ms")).when(F.size("_es") > 0, blank).otherwise(F.array().cast("array<string>"))
+    emails = F.when(F.size("_es") > 0, F.col("_es")).otherwise(blank)
+    pairs = sets.withColumn("contact_mobile", F.explode(mobiles)).withColumn("contact_email", F.explode(emails))
     return pairs.withColumns(
         {
             "enabled": F.lit(True),
