@@ -29,3 +29,14 @@ def test_columns_pruned_at_scan(spark):
     # lineitem is read for 6 of its 11 columns only
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "l_orderkey" in line][0]
     assert "l_extendedprice" not in scan and "l_tax" not in scan
+
+
+def test_each_column_decrypted_once(spark):
+    """No filter over the contact sets is pushed below their projection (which re-decrypts)."""
+    import re
+
+    from addrflow.schema import ENCRYPTED_FIELDS
+
+    plan = _plan(q_shipment_contacts(spark, SF_SMALL))
+    calls = re.findall(r"aesDecrypt\(coalesce\(tryeval\(unbase64\(split\((\w+?)#", plan)
+    assert sorted(calls) == sorted(ENCRYPTED_FIELDS), calls
