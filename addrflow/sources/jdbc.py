@@ -185,6 +185,18 @@ def read_closed_databases(
     )
 
 
+def check_no_speculation(spark: SparkSession) -> None:
+    """Refuse speculative execution for a JDBC append.
+
+    A JDBC sink has no commit coordination: with ``spark.speculation`` two attempts of one task
+    can both commit their transaction, which appends that partition's rows twice. A retry after a
+    lost executor is safe (the failed attempt's transaction rolls back, and finished partitions of
+    the write stage are not run again).
+    """
+    if str(spark.conf.get("spark.speculation", "false")).strip().lower() == "true":
+        raise ValueError("spark.speculation must be off for a JDBC append (speculative copies would both commit)")
+
+
 def append(
     df: DataFrame,
     target: JdbcTarget,
@@ -201,6 +213,7 @@ def append(
     open one connection per partition against the database. A shuffle, not a coalesce: a
     coalesce would also shrink the upstream stage (decryption, cleanup) to that many tasks.
     """
+    check_no_speculation(df.sparkSession)
     if max_connections:
         df = df.repartition(max_connections)
     writer = (

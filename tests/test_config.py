@@ -25,3 +25,19 @@ def test_shipment_query_guards():
     assert "ad.district AS district" in sql and "'' AS district" in shipment_query(cfg, has_district=False)
     with pytest.raises(ValueError):
         shipment_query(JobConfig(from_ts="2024-01-01'; DROP TABLE x; --", till_ts="2024-01-02", run_ts="r"))
+
+
+def test_jdbc_append_refuses_speculation(spark):
+    from addrflow.sources.jdbc import check_no_speculation
+
+    check_no_speculation(spark)  # the test session does not speculate
+
+    class _Conf:
+        def get(self, key, default=None):
+            return "true" if key == "spark.speculation" else default
+
+    class _Session:
+        conf = _Conf()
+
+    with pytest.raises(ValueError, match="speculation"):
+        check_no_speculation(_Session())
