@@ -1,5 +1,6 @@
 """Shuffle fallbacks under a hot key give exactly the broadcast results."""
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -36,3 +37,43 @@ def test_hot_tenant_without_broadcasts(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert got == want and len(got) > 0
+
+
+def _hot_address_rows(spark, cfg):
+    """Assembly where one address that passes the source filters receives every third shipment."""
+    from addrflow.operators.filters import country_kept, phone_kept
+
+    t = D.source_tables(spark, SF_SMALL)
+    ad = t["address_detail"]
+    hot = ad.filter(country_kept(F.col("country_code"), cfg) & phone_kept(F.col("phone"), cfg)).agg(F.min("id")).first()[0]
+    sp = t["shipping_package"].withColumn(
+        "shipping_address_id",
+        F.when(F.xxhash64("code") % 3 == 0, F.lit(hot)).otherwise(F.col("shipping_address_id")),
+    )
+    return assemble_shipments(sp, t["address_detail"], t["sale_order"], t["tenant"], t["facility"], t["party"], cfg)
+
+
+def test_hot_address_is_split_by_aqe(spark):
+    """A third of the shipments on one join key: AQE splits that partition, rows unchanged."""
+    want = sorted(map(tuple, _hot_address_rows(spark, CFG).collect()))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = _hot_address_rows(spark, replace(CFG, broadcast_max_rows=1))
+        got = sorted(map(tuple, df.collect()))
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "isFinalPlan=true" in final
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_addr_id#\d+L?\]", final), "hot address partition not split"
+    assert got == want and len(got) > 0
