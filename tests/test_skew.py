@@ -53,27 +53,44 @@ def _hot_address_rows(spark, cfg):
     return assemble_shipments(sp, t["address_detail"], t["sale_order"], t["tenant"], t["facility"], t["party"], cfg)
 
 
-def test_hot_address_is_split_by_aqe(spark):
-    """A third of the shipments on one join key: AQE splits that partition, rows unchanged."""
-    want = sorted(map(tuple, _hot_address_rows(spark, CFG).collect()))
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-    }
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
+_SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+}
+
+
+def _final_plan_and_rows(spark, make):
+    """Run ``make()`` with broadcasts off and skew thresholds sized for the tiny test tables."""
+    old = {k: spark.conf.get(k, None) for k in _SKEW_SETTINGS}
+    for k, v in _SKEW_SETTINGS.items():
         spark.conf.set(k, v)
     try:
-        df = _hot_address_rows(spark, replace(CFG, broadcast_max_rows=1))
+        df = make()
         got = sorted(map(tuple, df.collect()))
         final = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "isFinalPlan=true" in final
+    return final, got
+
+
+def test_hot_key_path_join_is_salted(spark):
+    """Every row under one alias shares one key path; beyond the broadcast cap the key join is
+    salted (AQE does not split it: its stage holds several joins), with the broadcast results."""
+    want = sorted(map(tuple, _run(spark, CFG, hot=False).collect()))
+    final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=False))
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[_path#\d+, _ps#\d+\], \[_kp#\d+, _ks#\d+\], LeftOuter", final)
+    assert got == want and len(got) > 0
+
+
+def test_hot_address_is_split_by_aqe(spark):
+    """A third of the shipments on one join key: AQE splits that partition, rows unchanged."""
+    want = sorted(map(tuple, _hot_address_rows(spark, CFG).collect()))
+    final, got = _final_plan_and_rows(spark, lambda: _hot_address_rows(spark, replace(CFG, broadcast_max_rows=1)))
     assert re.search(r"SortMergeJoin\(skew=true\) \[_addr_id#\d+L?\]", final), "hot address partition not split"
     assert got == want and len(got) > 0
