@@ -62,7 +62,7 @@ def contact_rows(df: DataFrame, pincodes: DataFrame, cfg: JobConfig, key_export:
     rows = df
     if cfg.transform_partitions:
         rows = rows.repartition(cfg.transform_partitions)
-    checked = with_pincode_check(rows, pincodes, cfg.broadcast_max_rows)
+    checked = with_pincode_check(rows, pincodes, cfg.broadcast_max_rows, salts=cfg.lookup_join_salts)
     kept = checked.filter(F.col("_pincode_ok")).drop("_pincode_ok")
     if key_export is not None:
         kept = decrypt_rows(kept, key_export, cfg)

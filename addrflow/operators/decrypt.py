@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from addrflow.config import JobConfig, KeyPathFormat
 from addrflow.functions.cipher import decrypt_value, first_key, key_alias, key_path, undecryptable
 from addrflow.operators.filters import is_cipher_row
-from addrflow.operators.lookup import fits_broadcast, spread_key
+from addrflow.operators.lookup import fits_broadcast, salted_left_join
 from addrflow.schema import ENCRYPTED_FIELDS
 
 
@@ -47,17 +47,8 @@ def attach_keys(df: DataFrame, key_export: DataFrame, cfg: JobConfig) -> DataFra
     if fits_broadcast(keys, cfg.broadcast_max_rows):
         joined = df.withColumn("_path", path).join(F.broadcast(keys), F.col("_path") == F.col("_kp"), "left")
         return joined.drop("_path", "_kp")
-    # Shuffle join, salted: every row under one key alias has the same path, so one alias can hold
-    # most rows. Each key row is repeated for every salt, and each probe row takes the salt given
-    # by a hash of its own values (deterministic, so a retried task routes rows the same way).
-    # Rows without a path get distinct never-matching keys instead of one shared NULL.
-    salts = max(1, cfg.key_join_salts)
-    salted_keys = keys.withColumn("_ks", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    probe = df.withColumns(
-        {"_path": spread_key(path, df.columns), "_ps": F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")}
-    )
-    cond = (F.col("_path") == F.col("_kp")) & (F.col("_ps") == F.col("_ks"))
-    return probe.join(salted_keys, cond, "left").drop("_path", "_kp", "_ps", "_ks")
+    # Every row under one key alias has the same path, so one alias can hold most rows: salted.
+    return salted_left_join(df, path, keys, "_kp", cfg.lookup_join_salts).drop("_kp")
 
 
 def decrypt_rows(df: DataFrame, key_export: DataFrame, cfg: JobConfig, flag_failures: bool = False) -> DataFrame:

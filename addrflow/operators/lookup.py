@@ -56,12 +56,34 @@ def spread_key(key: Column, salt_cols: list[str], buckets: int = 4096) -> Column
     return F.coalesce(key, spread)
 
 
-def with_pincode_check(df: DataFrame, lookup: DataFrame, max_rows: int, column: str = "pincode") -> DataFrame:
+def salted_left_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str, salts: int) -> DataFrame:
+    """``df`` left-joined to ``lookup`` on ``key = lookup_key`` by a shuffle that no key can skew.
+
+    Each lookup row is repeated for every salt (``explode(sequence(...))``, not a cross join), and
+    each ``df`` row takes the salt given by a hash of its own values. That is deterministic, so a
+    retried task routes rows the same way. A key held by a third of all rows is spread over
+    ``salts`` partitions. Rows with a NULL key get distinct never-matching keys, so they don't
+    pile up either. At most one lookup row matches (``lookup_key`` must be unique), so no row is
+    duplicated.
+    """
+    salts = max(1, salts)
+    repeated = lookup.withColumn("_ks", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    probe = df.withColumns(
+        {"_jk": spread_key(key, df.columns), "_ps": F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")}
+    )
+    cond = (F.col("_jk") == F.col(lookup_key)) & (F.col("_ps") == F.col("_ks"))
+    return probe.join(repeated, cond, "left").drop("_jk", "_ps", "_ks")
+
+
+def with_pincode_check(
+    df: DataFrame, lookup: DataFrame, max_rows: int, column: str = "pincode", salts: int = 64
+) -> DataFrame:
     """Clean ``column`` in place and add boolean ``_pincode_ok`` (lookup hit OR rule, and present).
 
-    The lookup is broadcast when its size is proven small. Otherwise it is a shuffle join in which
-    only rows that need it (present, failing the rule) carry their pincode as the key; the rest get
-    spread keys, so neither the common valid pincodes nor '' can pile up in one partition.
+    The lookup is broadcast when its size is proven small. Otherwise it is a salted shuffle join
+    (``salted_left_join``) in which only rows that need it (present, failing the rule) carry their
+    pincode as the key; the rest get spread keys, so neither the common valid pincodes, nor '', nor
+    one hot invalid pincode can pile up in one partition.
     """
     hits = pincode_lookup_set(lookup).withColumn("_pin_hit", F.lit(True))
     cleaned = df.withColumn(column, clean_pincode(F.col(column)))
@@ -70,6 +92,5 @@ def with_pincode_check(df: DataFrame, lookup: DataFrame, max_rows: int, column:
         joined = cleaned.join(F.broadcast(hits), pin == F.col("_pin_value"), "left")
     else:
         needs = F.when(~is_missing(pin) & ~matches_pincode_rule(pin), pin)
-        keyed = cleaned.withColumn("_pin_key", spread_key(needs, cleaned.columns))
-        joined = keyed.join(hits, F.col("_pin_key") == F.col("_pin_value"), "left").drop("_pin_key")
+        joined = salted_left_join(cleaned, needs, hits, "_pin_value", salts)
     return joined.withColumn("_pincode_ok", pincode_ok(pin, F.col("_pin_hit"))).drop("_pin_value", "_pin_hit")

@@ -37,7 +37,7 @@ def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cf
         {"_enc": enc, "_pair": F.when(enc, F.struct(F.col("tenant_code"), key_alias(F.col("mobile"))))}
     )
     dec = decrypt_rows(tagged, key_export, cfg, flag_failures=True)
-    checked = with_pincode_check(clean_rows(dec), pincodes, cfg.broadcast_max_rows)
+    checked = with_pincode_check(clean_rows(dec), pincodes, cfg.broadcast_max_rows, salts=cfg.lookup_join_salts)
     m = F.size(mobile_set(F.col("mobile"), F.col("notification_mobile"), cfg.recover_mobiles))
     e = F.size(email_set(F.col("email"), F.col("notification_email")))
     sized = checked.select("_enc", "_pair", "_undecrypted", "_pincode_ok", m.alias("_m"), e.alias("_e"))

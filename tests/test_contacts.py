@@ -89,3 +89,6 @@ def test_pincode_shuffle_fallback_same_result(spark):
     cfg = JobConfig(from_ts="2000-01-01", till_ts="2001-01-01", run_ts=CFG.run_ts, broadcast_max_rows=1)
     big = contact_rows(df, lookup, cfg)
     assert sorted(map(tuple, big.collect())) == small and len(small) == 20
+    # the fallback join is salted: a pincode held by a third of the rows spreads over the salts
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "_pin_value" in plan and "_ks#" in plan and "_ps#" in plan and "BroadcastNestedLoopJoin" not in plan

@@ -84,7 +84,7 @@ def test_hot_key_path_join_is_salted(spark):
     salted (AQE does not split it: its stage holds several joins), with the broadcast results."""
     want = sorted(map(tuple, _run(spark, CFG, hot=False).collect()))
     final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=False))
-    assert re.search(r"SortMergeJoin(\(skew=true\))? \[_path#\d+, _ps#\d+\], \[_kp#\d+, _ks#\d+\], LeftOuter", final)
+    assert re.search(r"SortMergeJoin(\(skew=true\))? \[_jk#\d+, _ps#\d+\], \[_kp#\d+, _ks#\d+\], LeftOuter", final)
     assert got == want and len(got) > 0
 
 
