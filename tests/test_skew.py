@@ -3,6 +3,8 @@
 import re
 from dataclasses import replace
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from addrflow.operators.assemble import assemble_shipments
@@ -94,3 +96,20 @@ def test_hot_address_is_split_by_aqe(spark):
     final, got = _final_plan_and_rows(spark, lambda: _hot_address_rows(spark, replace(CFG, broadcast_max_rows=1)))
     assert re.search(r"SortMergeJoin\(skew=true\) \[_addr_id#\d+L?\]", final), "hot address partition not split"
     assert got == want and len(got) > 0
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(st.one_of(st.none(), st.sampled_from(["hot", "a", "b", "c", "zz"])), min_size=1, max_size=60),
+    st.lists(st.sampled_from(["hot", "a", "b", "q"]), max_size=4, unique=True),
+    st.integers(min_value=1, max_value=9),
+)
+def test_salted_left_join_is_a_left_join(spark, keys, lookup_keys, salts):
+    """Same rows as a plain left join, whatever the salts, hot keys and NULL keys."""
+    from addrflow.operators.lookup import salted_left_join
+
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
+    lookup = spark.createDataFrame([(k, f"v-{k}") for k in lookup_keys], "lk string, v string")
+    plain = df.join(lookup, F.col("k") == F.col("lk"), "left").select("i", "k", "v")
+    salted = salted_left_join(df, F.col("k"), lookup, "lk", salts).select("i", "k", "v")
+    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
