@@ -113,3 +113,33 @@ def test_salted_left_join_is_a_left_join(spark, keys, lookup_keys, salts):
     plain = df.join(lookup, F.col("k") == F.col("lk"), "left").select("i", "k", "v")
     salted = salted_left_join(df, F.col("k"), lookup, "lk", salts).select("i", "k", "v")
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_salted_left_join_spreads_one_hot_key(spark):
+    """All rows on one key: a plain shuffle join puts them in one partition, the salted one spreads them."""
+    from addrflow.operators.lookup import salted_left_join
+
+    df = spark.createDataFrame([(i, "hot") for i in range(4000)], "id long, k string")  # data, not a foldable literal
+    lookup = spark.createDataFrame([("hot", "v")], "lk string, v string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        def used_partitions(joined):
+            return joined.select(F.spark_partition_id().alias("p")).distinct().count()
+
+        plain = df.join(lookup, F.col("k") == F.col("lk"), "left")
+        salted = salted_left_join(df, F.col("k"), lookup, "lk", 64)
+        assert used_partitions(plain) == 1
+        assert used_partitions(salted) >= 6
+        assert salted.filter(F.col("v") == "v").count() == 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
