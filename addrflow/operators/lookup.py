@@ -61,7 +61,8 @@ def salted_left_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key:
 
     Each lookup row is repeated for every salt (``explode(sequence(...))``, not a cross join), and
     each ``df`` row takes the salt given by a hash of its own values. That is deterministic, so a
-    retried task routes rows the same way. A key held by a third of all rows is spread over
+    retried task routes rows the same way (fully identical rows share a salt; the shipment rows
+    this is used on carry their unique shipment code). A key held by a third of all rows is spread over
     ``salts`` partitions. Rows with a NULL key get distinct never-matching keys, so they don't
     pile up either. At most one lookup row matches (``lookup_key`` must be unique), so no row is
     duplicated.
