@@ -46,6 +46,9 @@ def main() -> None:
     print("(`spark.sql.autoBroadcastJoinThreshold=-1`); the library's row-count-checked broadcasts stay.\n")
     print("*Shuffles* counts hash/single-partition exchanges; *spreads* are the round-robin steps that")
     print("`ensure_parallel` adds only because these test tables are single-split files (none at scale).\n")
+    print("The key export and the pincode list are under `broadcast_max_rows` here, so they show as")
+    print("broadcasts. Beyond that cap they become salted shuffle joins (`salted_left_join`), and the")
+    print("dimension tables become sort-merge joins that AQE splits when skewed (`tests/test_skew.py`).\n")
     print("| query | joins (as planned) | joins (at scale) | shuffles (at scale) | spreads | broadcasts (at scale) | Python |")
     print("|---|---|---|---|---|---|---|")
     details = []
