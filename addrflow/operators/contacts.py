@@ -41,7 +41,8 @@ def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
         }
     )
     blank = F.array(F.lit(""))
-    mobiles = F.when(F.size("_ms") > 0, F.col("_ms")).when(F.size("_es") > 0, blank).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    mobiles = F.when(F.size("_ms") > 0, F.col("_ms")).when(F.size("_es") > 0, blank).otherwise(none)
     emails = F.when(F.size("_es") > 0, F.col("_es")).otherwise(blank)
     pairs = sets.withColumn("contact_mobile", F.explode(mobiles)).withColumn("contact_email", F.explode(emails))
     return pairs.withColumns(
