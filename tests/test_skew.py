@@ -143,3 +143,23 @@ def test_salted_left_join_spreads_one_hot_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot_order_rows(spark, cfg):
+    """Assembly where one sale order (of a kept tenant) holds every third shipment."""
+    t = D.source_tables(spark, SF_SMALL)
+    kept_tenants = t["tenant"].filter(~F.col("code").isin(*cfg.excluded_tenants)).select(F.col("id").alias("tid"))
+    so = t["sale_order"]
+    hot = so.join(kept_tenants, so["tenant_id"] == kept_tenants["tid"]).agg(F.min("id")).first()[0]
+    sp = t["shipping_package"].withColumn(
+        "sale_order_id", F.when(F.xxhash64("code") % 3 == 0, F.lit(hot)).otherwise(F.col("sale_order_id"))
+    )
+    return assemble_shipments(sp, t["address_detail"], so, t["tenant"], t["facility"], t["party"], cfg)
+
+
+def test_hot_sale_order_is_split_by_aqe(spark):
+    """A third of the shipments on one order: AQE splits that partition of the order join."""
+    want = sorted(map(tuple, _hot_order_rows(spark, CFG).collect()))
+    final, got = _final_plan_and_rows(spark, lambda: _hot_order_rows(spark, replace(CFG, broadcast_max_rows=1)))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_so_id#\d+L?\]", final), "hot order partition not split"
+    assert got == want and len(got) > 0
