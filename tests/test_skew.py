@@ -163,3 +163,11 @@ def test_hot_sale_order_is_split_by_aqe(spark):
     final, got = _final_plan_and_rows(spark, lambda: _hot_order_rows(spark, replace(CFG, broadcast_max_rows=1)))
     assert re.search(r"SortMergeJoin\(skew=true\) \[_so_id#\d+L?\]", final), "hot order partition not split"
     assert got == want and len(got) > 0
+
+
+def test_hot_tenant_is_split_by_aqe(spark):
+    """A third of the orders on one tenant: AQE splits that partition of the tenant join."""
+    want = sorted(map(tuple, _run(spark, CFG, hot=True).collect()))
+    final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=True))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_tenant_id#\d+L?\]", final), "hot tenant partition not split"
+    assert got == want and len(got) > 0

@@ -48,7 +48,7 @@ def main() -> None:
     print("`ensure_parallel` adds only because these test tables are single-split files (none at scale).\n")
     print("The key export and the pincode list are under `broadcast_max_rows` here, so they show as")
     print("broadcasts. Beyond that cap they become salted shuffle joins (`salted_left_join`), and the")
-    print("dimension tables become sort-merge joins (`tests/test_skew.py` checks a hot tenant and a hot delivery address, split by AQE).\n")
+    print("dimension tables become sort-merge joins (`tests/test_skew.py` checks that AQE splits a hot tenant, delivery address and sale order).\n")
     print("| query | joins (as planned) | joins (at scale) | shuffles (at scale) | spreads | broadcasts (at scale) | Python |")
     print("|---|---|---|---|---|---|---|")
     details = []
