@@ -171,3 +171,17 @@ def test_hot_tenant_is_split_by_aqe(spark):
     final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=True))
     assert re.search(r"SortMergeJoin\(skew=true\) \[_tenant_id#\d+L?\]", final), "hot tenant partition not split"
     assert got == want and len(got) > 0
+
+
+def test_stage_counts_same_without_broadcasts(spark):
+    """The salted key and pincode joins leave every stage count unchanged."""
+    from addrflow.operators.metrics import stage_counts
+    from addrflow.plans.queries import assembled
+
+    def counts(cfg):
+        rows = assembled(spark, SF_SMALL, cfg, encrypted=True)
+        return stage_counts(rows, D.key_export(spark, SF_SMALL), D.pincode_lookup(spark, SF_SMALL), cfg)
+
+    want = dict(map(tuple, counts(CFG).collect()))
+    _, got = _final_plan_and_rows(spark, lambda: counts(replace(CFG, broadcast_max_rows=1)))
+    assert dict(got) == want and want["contact_rows"] > 0
