@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.llm import chat_format, exact_dedup, knn_join, mixing, url_filter
+from addrflow.llm import chat_format, exact_dedup, knn_join, mixing, near_join, packing, quality, url_filter
 from addrflow.llm._io import read_documents, stage_numbered
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -27,6 +27,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.link(read_documents(spark, sf_dir))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_documents(spark, sf_dir), with_text=False).select(
         "rec.doc_id", "rec.source", "n_tokens", "weight", "epoch", "block", "place"
@@ -41,8 +45,19 @@ def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return quality.score(docs, quality.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_url_filter, op5_mixing, op6_exact_dedup, op8_knn_join)
+    f.__name__: f for f in (op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op8_knn_join, op9_quality, op10_best_fit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
