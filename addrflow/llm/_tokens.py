@@ -46,7 +46,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.first, self.later = Units(self._unit, ""), Units(self._unit, " ")
 
     def _whole(self, text: str) -> bytes:
@@ -69,7 +69,7 @@ class Encoder:
         return (self.first[head] if head else b"") + b"".join(map(self.later.__getitem__, rest))
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """Byte-level BPE shows printable Latin-1 bytes as themselves, the others from U+0100 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     return {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in set(shown))}

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.llm import chat_format, exact_dedup, knn_join, mixing, near_join, packing, quality, url_filter
+from addrflow.llm import chat_format, exact_dedup, knn_join, mixing, near_join, packing, quality, suffix_dedup, token_counts, url_filter
 from addrflow.llm._io import read_documents, stage_numbered
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.summary(suffix_dedup.cut(read_documents(spark, sf_dir)))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema)
@@ -41,6 +45,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read_documents(spark, sf_dir))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count(read_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
 
@@ -57,7 +67,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op8_knn_join, op9_quality, op10_best_fit_packing)
+    f.__name__: f for f in (op1_suffix_array, op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op7_token_counts, op8_knn_join, op9_quality, op10_best_fit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
