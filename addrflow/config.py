@@ -67,13 +67,6 @@ class JobConfig:
     recover_mobiles: bool = True
     sync_status: str = DEFAULT_SYNC_STATUS
     key_path: KeyPathFormat = field(default_factory=KeyPathFormat)
-    # Lookup tables (pincodes, keys, dimensions) are broadcast only when they hold at most
-    # this many rows; bigger ones go through a shuffle join that AQE can split when skewed.
-    broadcast_max_rows: int = 500_000
-    # Beyond that limit, the key and pincode lookup joins are salted over this many partitions:
-    # all rows under one key alias share one path (and a pincode can be hot), so a plain shuffle
-    # join would put them in one task.
-    lookup_join_salts: int = 64
     # Optional explicit partition count before the row transform (None: leave it to AQE).
     transform_partitions: int | None = None
     # Format of timestamp columns rendered as text; None = Spark's own rendering

@@ -51,6 +51,11 @@ def key_path(alias: Column, tenant: Column, fmt: KeyPathFormat) -> Column:
     )
 
 
+def first_key_or_null(keys_json: Column) -> Column:
+    """First value of a JSON object ``{"<version>": "<key>", ...}``; NULL when it holds none."""
+    return F.get(F.map_values(F.from_json(keys_json, "map<string,string>")), 0)
+
+
 def first_key(keys_json: Column) -> Column:
     """First value of a JSON object ``{"<version>": "<key>", ...}``; an empty object is an error."""
     values = F.map_values(F.from_json(keys_json, "map<string,string>"))
@@ -59,6 +64,19 @@ def first_key(keys_json: Column) -> Column:
     )
 
 
+def used_key(found: Column) -> Column:
+    """The key of an export entry that a row uses: an error when it holds none or several.
+
+    ``found`` is the entry's struct (keys_lo, keys_hi, whole), NULL when there is none.
+    """
+    return (
+        F.when(found.isNull(), F.lit(None).cast("string"))
+        .when(found["keys_lo"] != found["keys_hi"], F.raise_error(F.lit("key export holds different keys for one path")))
+        .when(~found["whole"], F.raise_error(F.lit("key export entry holds no key")))
+        .otherwise(found["keys_lo"])
+    )
+
+
 def aes_key_bytes(key: Column) -> Column:
     """UTF-8 bytes of the key, zero-padded or cut to 32 bytes."""
     return F.rpad(F.encode(key, "UTF-8"), AES_KEY_BYTES, F.lit(bytes(1)))

@@ -1,16 +1,12 @@
-"""Shipment assembly: shipment ⋈ address ⋈ order ⋈ tenant ⋈ facility ⋈ party, filtered.
+"""Shipment assembly: shipment, address, order, tenant, facility and party joined and filtered.
 
-Input tables use the source schema's names:
+Input tables use the source schema's names (``SOURCE_COLUMNS``, ``SOURCE_JOINS``); ``address_detail``
+may lack ``district`` and ``channel_source_code``.
 
-* ``shipping_package``: code, shipping_address_id, sale_order_id, facility_id, status_code, created, updated
-* ``address_detail``: id, name, phone, email, address_line1, address_line2, city, [district],
-  state_code, country_code, pincode, [channel_source_code]
-* ``sale_order``: id, code, tenant_id, status_code, notification_mobile, notification_email
-* ``tenant``: id, code;  ``facility``: id;  ``party``: id, code
-
-Filters are written against each input before its join, so they reach the scans; the big
-fact-to-fact joins are left to Spark/AQE (sort-merge with skew splitting, or a runtime broadcast),
-and the three dimension tables are broadcast only behind a row-count check.
+Filters are written against each input before its join, so they reach the scans. The small tables
+are joined first: tenants to their orders (which drops the orders of excluded tenants) and facilities
+with their parties to the shipments, so rows that go never pass the two large joins. How each join
+runs is left to Catalyst and adaptive execution, which know the sizes in bytes.
 """
 
 from __future__ import annotations
@@ -27,7 +23,20 @@ from addrflow.operators.filters import (
     status_kept,
     tenant_kept,
 )
-from addrflow.operators.lookup import bounded_broadcasts
+from addrflow.schema import SOURCE_COLUMNS, SOURCE_JOINS
+
+
+def _key(table: str, column: str) -> str:
+    return f"_{table}_{column}"
+
+
+def _side(df: DataFrame, table: str) -> DataFrame:
+    """The columns of ``table`` that the row or a join needs, under their final names."""
+    fields = [
+        (F.col(c) if c in df.columns else F.lit("")).alias(f) for f, (t, c) in SOURCE_COLUMNS.items() if t == table
+    ]
+    ends = [(t, c) for a, b, x, y in SOURCE_JOINS for t, c in ((a, b), (x, y)) if t == table]
+    return df.select(*fields, *[F.col(c).alias(_key(t, c)) for t, c in dict.fromkeys(ends)])
 
 
 def assemble_shipments(
@@ -40,54 +49,23 @@ def assemble_shipments(
     cfg: JobConfig,
 ) -> DataFrame:
     """Canonical shipment rows (22 strings) of the run window."""
-    created_type = shipping_package.schema["created"].dataType
-    sp = shipping_package.filter(
-        status_kept(F.col("status_code"), cfg) & in_window(F.col("created"), created_type, cfg.from_ts, cfg.till_ts)
-    ).select(
-        F.col("code").alias("shipping_package_code"),
-        F.col("shipping_address_id").alias("_addr_id"),
-        F.col("sale_order_id").alias("_so_id"),
-        F.col("facility_id").alias("_facility_id"),
-        F.col("status_code").alias("shipping_package_status"),
-        F.col("created").alias("sp_created"),
-        F.col("updated").alias("sp_updated"),
-    )
-    has_district = "district" in address_detail.columns
-    ad = address_detail.filter(country_kept(F.col("country_code"), cfg) & phone_kept(F.col("phone"), cfg)).select(
-        F.col("id").alias("_ad_id"),
-        "name",
-        F.col("phone").alias("mobile"),
-        "email",
-        "address_line1",
-        "address_line2",
-        "city",
-        (F.col("district") if has_district else F.lit("")).alias("district"),
-        "state_code",
-        "country_code",
-        "pincode",
-        (F.col("channel_source_code") if has_district else F.lit("")).alias("channel_source_code"),
-    )
-    so = sale_order.select(
-        F.col("id").alias("_so_key"),
-        F.col("code").alias("sale_order_code"),
-        F.col("tenant_id").alias("_tenant_id"),
-        F.col("status_code").alias("sale_order_status"),
-        "notification_mobile",
-        "notification_email",
-    )
-    tn = tenant.filter(tenant_kept(F.col("code"), cfg)).select(
-        F.col("id").alias("_tenant_key"), F.col("code").alias("tenant_code")
-    )
-    fc = facility.select(F.col("id").alias("_facility_key"))
-    pt = party.select(F.col("id").alias("_party_id"), F.col("code").alias("facility_code"))
-
-    tn, fc, pt = bounded_broadcasts([tn, fc, pt], cfg.broadcast_max_rows)
-    rows = (
-        sp.join(ad, F.col("_ad_id") == F.col("_addr_id"), "inner")
-        .join(so, F.col("_so_id") == F.col("_so_key"), "inner")
-        .join(tn, F.col("_tenant_key") == F.col("_tenant_id"), "inner")
-        .join(fc, F.col("_facility_key") == F.col("_facility_id"), "inner")
-        .join(pt, F.col("_facility_key") == F.col("_party_id"), "inner")
-        .withColumn("sale_order_sync_status", F.lit(cfg.sync_status))
-    )
-    return canonical_rows(rows, cfg.timestamp_format)
+    created = shipping_package.schema["created"].dataType
+    sides = {
+        "shipping_package": shipping_package.filter(
+            status_kept(F.col("status_code"), cfg) & in_window(F.col("created"), created, cfg.from_ts, cfg.till_ts)
+        ),
+        "address_detail": address_detail.filter(
+            country_kept(F.col("country_code"), cfg) & phone_kept(F.col("phone"), cfg)
+        ),
+        "sale_order": sale_order,
+        "tenant": tenant.filter(tenant_kept(F.col("code"), cfg)),
+        "facility": facility,
+        "party": party,
+    }
+    sides = {t: _side(df, t) for t, df in sides.items()}
+    ends = {t: F.col(_key(t, c)) == F.col(_key(other, oc)) for t, c, other, oc in SOURCE_JOINS}
+    places = sides["facility"].join(sides["party"], ends["party"])
+    orders = sides["sale_order"].join(sides["tenant"], ends["tenant"])
+    shipments = sides["shipping_package"].join(places, ends["facility"])
+    rows = shipments.join(sides["address_detail"], ends["address_detail"]).join(orders, ends["sale_order"])
+    return canonical_rows(rows.withColumn("sale_order_sync_status", F.lit(cfg.sync_status)), cfg.timestamp_format)

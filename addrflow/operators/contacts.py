@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig
@@ -10,6 +10,7 @@ from addrflow.functions.email import email_set
 from addrflow.functions.phone import mobile_set
 from addrflow.functions.text import clean_field, compact, normalize_country, remove_control
 from addrflow.operators.decrypt import decrypt_rows
+from addrflow.operators.filters import is_cipher_row
 from addrflow.operators.lookup import with_pincode_check
 from addrflow.schema import CONTACT_FIELDS
 
@@ -54,17 +55,35 @@ def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
     ).select(*CONTACT_FIELDS)
 
 
-def contact_rows(df: DataFrame, pincodes: DataFrame, cfg: JobConfig, key_export: DataFrame | None = None) -> DataFrame:
+def contact_rows(
+    df: DataFrame,
+    pincodes: DataFrame,
+    cfg: JobConfig,
+    key_export: DataFrame | None = None,
+    watch: tuple[Observation, Observation] | None = None,
+) -> DataFrame:
     """Canonical shipment rows -> contact rows: pincode gate, (decryption), cleanup, explode.
 
     The pincode is never encrypted, so rows with an invalid pincode are dropped *before* the
     decryption: the same rows come out as decrypting first, with less AES work.
+
+    ``watch`` is filled by whatever action runs the result: the first observation gets ``rows_read``
+    and ``rows_encrypted``, the second ``rows_valid`` (after the pincode gate) and
+    ``values_undecrypted`` (ciphertext values of those rows that came out unreadable).
     """
     rows = df
+    if watch:
+        enc = F.count_if(is_cipher_row(F.col("mobile")))
+        rows = rows.observe(watch[0], F.count(F.lit(1)).alias("rows_read"), enc.alias("rows_encrypted"))
     if cfg.transform_partitions:
         rows = rows.repartition(cfg.transform_partitions)
-    checked = with_pincode_check(rows, pincodes, cfg.broadcast_max_rows, salts=cfg.lookup_join_salts)
+    checked = with_pincode_check(rows, pincodes)
     kept = checked.filter(F.col("_pincode_ok")).drop("_pincode_ok")
+    failures = F.lit(0)
     if key_export is not None:
-        kept = decrypt_rows(kept, key_export, cfg)
+        kept = decrypt_rows(kept, key_export, cfg, flag_failures=watch is not None)
+        failures = F.col("_undecrypted") if watch else failures
+    if watch:
+        lost = F.coalesce(F.sum(failures), F.lit(0)).alias("values_undecrypted")
+        kept = kept.observe(watch[1], F.count(F.lit(1)).alias("rows_valid"), lost).drop("_undecrypted")
     return explode_contacts(clean_rows(kept), cfg)

@@ -12,15 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig, KeyPathFormat
-from addrflow.functions.cipher import decrypt_value, first_key, key_alias, key_path, undecryptable
+from addrflow.functions.cipher import decrypt_value, first_key_or_null, key_alias, key_path, undecryptable, used_key
 from addrflow.operators.filters import is_cipher_row
-from addrflow.operators.lookup import fits_broadcast, salted_left_join
+from addrflow.operators.lookup import unique_by
 from addrflow.schema import ENCRYPTED_FIELDS
 
 
 def export_keys(key_export: DataFrame) -> DataFrame:
-    """(key_path, vault_key): one row per path, first value of its JSON key map."""
-    return key_export.groupBy("key_path").agg(F.min(first_key(F.col("keys_json"))).alias("vault_key"))
+    """(key_path, found): one row per path with the first keys of its entries.
+
+    Nothing is judged here: an entry without a key, or entries that contradict one another, are an
+    error only when a row uses them (``used_key``).
+    """
+    key = first_key_or_null(F.col("keys_json"))
+    holds = F.coalesce(F.size(F.map_values(F.from_json("keys_json", "map<string,string>"))) != 0, F.lit(True))
+    keyed = key_export.select("key_path", key.alias("_first"), holds.alias("_holds"))
+    return unique_by(
+        keyed,
+        "key_path",
+        F.struct(F.min("_first").alias("keys_lo"), F.max("_first").alias("keys_hi"), F.bool_and("_holds").alias("whole")).alias("found"),
+    )
 
 
 def distinct_key_pairs(df: DataFrame) -> DataFrame:
@@ -35,7 +46,8 @@ def distinct_key_pairs(df: DataFrame) -> DataFrame:
 def key_table(pairs: DataFrame, key_export: DataFrame, fmt: KeyPathFormat) -> DataFrame:
     """(tenant_code, key_alias, vault_key) for each pair; a key missing from the export is NULL."""
     keyed = pairs.withColumn("key_path", key_path(F.col("key_alias"), F.col("tenant_code"), fmt))
-    return keyed.join(export_keys(key_export), "key_path", "left").select("tenant_code", "key_alias", "vault_key")
+    joined = keyed.join(export_keys(key_export), "key_path", "left")
+    return joined.select("tenant_code", "key_alias", used_key(F.col("found")).alias("vault_key"))
 
 
 def attach_keys(df: DataFrame, key_export: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -43,12 +55,9 @@ def attach_keys(df: DataFrame, key_export: DataFrame, cfg: JobConfig) -> DataFra
     path = F.when(
         is_cipher_row(F.col("mobile")), key_path(key_alias(F.col("mobile")), F.col("tenant_code"), cfg.key_path)
     )
-    keys = export_keys(key_export).select(F.col("key_path").alias("_kp"), F.col("vault_key").alias("_key"))
-    if fits_broadcast(keys, cfg.broadcast_max_rows):
-        joined = df.withColumn("_path", path).join(F.broadcast(keys), F.col("_path") == F.col("_kp"), "left")
-        return joined.drop("_path", "_kp")
-    # Every row under one key alias has the same path, so one alias can hold most rows: salted.
-    return salted_left_join(df, path, keys, "_kp", cfg.lookup_join_salts).drop("_kp")
+    keys = export_keys(key_export).select(F.col("key_path").alias("_kp"), F.col("found").alias("_found"))
+    joined = df.withColumn("_path", path).join(keys, F.col("_path") == F.col("_kp"), "left")
+    return joined.withColumn("_key", used_key(F.col("_found"))).drop("_path", "_kp", "_found")
 
 
 def decrypt_rows(df: DataFrame, key_export: DataFrame, cfg: JobConfig, flag_failures: bool = False) -> DataFrame:

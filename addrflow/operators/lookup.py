@@ -1,4 +1,9 @@
-"""Size-checked broadcast and the pincode lookup join."""
+"""Lookup joins: the pincode check, and lookups whose keys are made unique.
+
+No join here carries a hint. Catalyst broadcasts a side that its statistics prove small, adaptive
+execution does the same with the sizes it measures, and otherwise both sides are exchanged on the
+key, where adaptive execution splits a key that holds a large share of the rows.
+"""
 
 from __future__ import annotations
 
@@ -9,89 +14,31 @@ from addrflow.functions.pincode import clean_pincode, matches_pincode_rule, pinc
 from addrflow.functions.text import is_missing
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (reads at most max_rows + 1 of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def fits_broadcast_each(dfs: list[DataFrame], max_rows: int) -> list[bool]:
-    """``fits_broadcast`` for several tables with one Spark job (each reads at most max_rows + 1 rows)."""
-    if len(dfs) == 1:
-        return [fits_broadcast(dfs[0], max_rows)]
-    tagged = [df.limit(max_rows + 1).select(F.lit(i).alias("_table")) for i, df in enumerate(dfs)]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    counts = {r["_table"]: r["count"] for r in union.groupBy("_table").count().collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
-
+def unique_by(df: DataFrame, key: str, *aggs: Column) -> DataFrame:
+    """``df`` grouped by ``key``, so a join on it can never fan out.
 
-def bounded_broadcasts(dfs: list[DataFrame], max_rows: int) -> list[DataFrame]:
-    """``bounded_broadcast`` for several tables, checked together."""
-    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, fits_broadcast_each(dfs, max_rows))]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` for a shuffle join.
-
-    A broadcast copies the table to every executor, so it is only hinted behind this check;
-    beyond it Spark plans a shuffle join, and AQE may still broadcast it at run time or split
-    skewed partitions.
+    The extra grouping column keeps the aggregation's partitioning from serving as the join's: the
+    join then exchanges both sides itself, which is the shape whose skewed partitions adaptive
+    execution can split. The lookup is exchanged twice; it is the small side.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    grouped = df.filter(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_group"), key)
+    return (grouped.agg(*aggs) if aggs else grouped.agg(F.lit(True).alias("_any")).drop("_any")).drop("_group")
 
 
 def pincode_lookup_set(pincodes: DataFrame, column: str = "Pincode") -> DataFrame:
     """Distinct lookup values, one row each, so the lookup join can never fan out."""
-    return pincodes.select(F.col(column).cast("string").alias("_pin_value")).dropna().distinct()
-
-
-def spread_key(key: Column, salt_cols: list[str], buckets: int = 4096) -> Column:
-    """``key``, or for NULL a deterministic never-matching value spread over ``buckets``.
-
-    Used on the probe side of a shuffle join whose NULL keys would otherwise all hash to one
-    partition (a skew hot spot); the value starts with U+0000, which no lookup key does.
-    """
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)).cast("string"))
-    return F.coalesce(key, spread)
-
-
-def salted_left_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key: str, salts: int) -> DataFrame:
-    """``df`` left-joined to ``lookup`` on ``key = lookup_key`` by a shuffle that no key can skew.
-
-    Each lookup row is repeated for every salt (``explode(sequence(...))``, not a cross join), and
-    each ``df`` row takes the salt given by a hash of its own values. That is deterministic, so a
-    retried task routes rows the same way (fully identical rows share a salt; the shipment rows
-    this is used on carry their unique shipment code). A key held by a third of all rows is spread over
-    ``salts`` partitions. Rows with a NULL key get distinct never-matching keys, so they don't
-    pile up either. At most one lookup row matches (``lookup_key`` must be unique), so no row is
-    duplicated.
-    """
-    salts = max(1, salts)
-    repeated = lookup.withColumn("_ks", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    probe = df.withColumns(
-        {"_jk": spread_key(key, df.columns), "_ps": F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")}
-    )
-    cond = (F.col("_jk") == F.col(lookup_key)) & (F.col("_ps") == F.col("_ks"))
-    return probe.join(repeated, cond, "left").drop("_jk", "_ps", "_ks")
+    return unique_by(pincodes.select(F.col(column).cast("string").alias("_pin_value")), "_pin_value")
 
 
-def with_pincode_check(
-    df: DataFrame, lookup: DataFrame, max_rows: int, column: str = "pincode", salts: int = 64
-) -> DataFrame:
+def with_pincode_check(df: DataFrame, lookup: DataFrame, column: str = "pincode") -> DataFrame:
     """Clean ``column`` in place and add boolean ``_pincode_ok`` (lookup hit OR rule, and present).
 
-    The lookup is broadcast when its size is proven small. Otherwise it is a salted shuffle join
-    (``salted_left_join``) in which only rows that need it (present, failing the rule) carry their
-    pincode as the key; the rest get spread keys, so neither the common valid pincodes, nor '', nor
-    one hot invalid pincode can pile up in one partition.
+    Only rows that need the lookup (present, failing the rule) carry their pincode as the join key;
+    the others have a NULL key, which matches nothing.
     """
     hits = pincode_lookup_set(lookup).withColumn("_pin_hit", F.lit(True))
-    cleaned = df.withColumn(column, clean_pincode(F.col(column)))
     pin = F.col(column)
-    if fits_broadcast(hits, max_rows):
-        joined = cleaned.join(F.broadcast(hits), pin == F.col("_pin_value"), "left")
-    else:
-        needs = F.when(~is_missing(pin) & ~matches_pincode_rule(pin), pin)
-        joined = salted_left_join(cleaned, needs, hits, "_pin_value", salts)
-    return joined.withColumn("_pincode_ok", pincode_ok(pin, F.col("_pin_hit"))).drop("_pin_value", "_pin_hit")
+    needs = F.when(~is_missing(pin) & ~matches_pincode_rule(pin), pin)
+    cleaned = df.withColumn(column, clean_pincode(pin)).withColumn("_pin_key", needs)
+    joined = cleaned.join(hits, F.col("_pin_key") == F.col("_pin_value"), "left")
+    return joined.withColumn("_pincode_ok", pincode_ok(pin, F.col("_pin_hit"))).drop("_pin_key", "_pin_value", "_pin_hit")

@@ -36,8 +36,11 @@ def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cf
     tagged = rows.withColumns(
         {"_enc": enc, "_pair": F.when(enc, F.struct(F.col("tenant_code"), key_alias(F.col("mobile"))))}
     )
-    dec = decrypt_rows(tagged, key_export, cfg, flag_failures=True)
-    checked = with_pincode_check(clean_rows(dec), pincodes, cfg.broadcast_max_rows, salts=cfg.lookup_join_salts)
+    # As in the job, only rows behind the pincode gate are decrypted: without a mobile that is
+    # ciphertext nothing is attempted on the others.
+    gated = with_pincode_check(tagged, pincodes)
+    shown = F.when(F.col("_pincode_ok"), F.col("mobile")).otherwise(F.lit(""))
+    checked = clean_rows(decrypt_rows(gated.withColumn("mobile", shown), key_export, cfg, flag_failures=True))
     m = F.size(mobile_set(F.col("mobile"), F.col("notification_mobile"), cfg.recover_mobiles))
     e = F.size(email_set(F.col("email"), F.col("notification_email")))
     sized = checked.select("_enc", "_pair", "_undecrypted", "_pincode_ok", m.alias("_m"), e.alias("_e"))

@@ -6,16 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrflow.operators.filters import in_window
-from addrflow.operators.lookup import bounded_broadcast, fits_broadcast
 
 
-def active_servers(registry: DataFrame, excluded: DataFrame | None = None, max_rows: int = 500_000) -> DataFrame:
+def active_servers(registry: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
     """Distinct ``db`` of entries with production = 'true' and active = 'true', minus ``excluded``."""
     live = registry.filter((F.col("production") == "true") & (F.col("active") == "true")).select("db").distinct()
     if excluded is None:
         return live
-    x = bounded_broadcast(excluded.select(F.col("db").alias("_x")), max_rows)
-    return live.join(x, F.col("db") == F.col("_x"), "left_anti")
+    return live.join(excluded.select(F.col("db").alias("_x")), F.col("db") == F.col("_x"), "left_anti")
 
 
 def empty_schemas(schemata: DataFrame, tables: DataFrame) -> DataFrame:
@@ -25,20 +23,20 @@ def empty_schemas(schemata: DataFrame, tables: DataFrame) -> DataFrame:
     ).select("SCHEMA_NAME")
 
 
-def not_in(df: DataFrame, c: str, values: DataFrame, max_rows: int) -> DataFrame:
+def not_in(df: DataFrame, c: str, values: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``c`` is NOT IN ``values`` (one column), with SQL's NULL semantics.
 
-    Small lists use Spark's null-aware anti join (a broadcast). Beyond ``max_rows`` the same
-    result comes from a plain anti join (shuffle) plus two tiny checks: a NULL in the list
-    empties the result, and a NULL value is dropped unless the list is empty.
+    One anti join, and a one-row count of the list as a scalar subquery: a NULL in the list empties
+    the result, and a NULL value is dropped unless the list is empty. Nothing runs before the query
+    does, and no list is broadcast for its NULLs' sake.
     """
     name = values.columns[0]
-    if fits_broadcast(values, max_rows):
-        return df.filter(~F.col(c).isin(values))
-    if values.filter(F.col(name).isNull()).limit(1).count() > 0:
-        return df.limit(0)
-    out = df.join(values.select(F.col(name).alias("_v")).distinct(), F.col(c) == F.col("_v"), "left_anti")
-    return out.filter(F.col(c).isNotNull()) if values.limit(1).count() > 0 else out
+    counts = values.agg(
+        F.struct(F.count("*").alias("n"), F.count_if(F.col(name).isNull()).alias("nulls")).alias("counts")
+    ).scalar()
+    allowed = (counts["nulls"] == 0) & (F.col(c).isNotNull() | (counts["n"] == 0))
+    listed = values.filter(F.col(name).isNotNull()).select(F.col(name).alias("_v"))
+    return df.filter(allowed).join(listed, F.col(c) == F.col("_v"), "left_anti")
 
 
 def closed_databases(
@@ -48,7 +46,6 @@ def closed_databases(
     from_ts: str,
     till_ts: str,
     system_schemas: tuple[str, ...],
-    max_rows: int = 500_000,
 ) -> DataFrame:
     """Databases of closed production tenants still worth reading.
 
@@ -59,5 +56,5 @@ def closed_databases(
     when_ok: Column = on.isNull() | in_window(on, terminated.schema["terminated_on"].dataType, from_ts, till_ts)
     server = F.col("terminated_server")
     live = terminated.filter((F.col("type") == "production") & when_ok)
-    kept = not_in(live, "terminated_server", empty_schemas(schemata, tables), max_rows)
+    kept = not_in(live, "terminated_server", empty_schemas(schemata, tables))
     return kept.filter(~server.isin(*system_schemas)).select(server.alias("db")).distinct()

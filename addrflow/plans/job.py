@@ -6,6 +6,7 @@ Spark job with one write, instead of a thread and a job per database.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -18,16 +19,20 @@ from addrflow.config import JobConfig
 from addrflow.operators.contacts import contact_rows
 from addrflow.operators.filters import canonical_rows, union_sources
 from addrflow.operators.metrics import observed
-from addrflow.session import stage_table
+from addrflow.session import drop_staged, stage_table, staging_path
 from addrflow.sources.jdbc import JdbcTarget, append, read_shipments
 
 
 def contacts_from_sources(
-    sources: Iterable[DataFrame], key_export: DataFrame, pincodes: DataFrame, cfg: JobConfig
+    sources: Iterable[DataFrame],
+    key_export: DataFrame,
+    pincodes: DataFrame,
+    cfg: JobConfig,
+    watch: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
     """Raw shipment rows of each source -> contact rows (one plan)."""
     rows = union_sources([canonical_rows(s, cfg.timestamp_format) for s in sources])
-    return contact_rows(rows, pincodes, cfg, key_export=key_export)
+    return contact_rows(rows, pincodes, cfg, key_export=key_export, watch=watch)
 
 
 @dataclass(frozen=True)
@@ -36,14 +41,56 @@ class RunResult:
     with_mobile: int
     with_email: int
     source_rows: dict[str, int] = field(default_factory=dict)  # raw rows read per source
+    read: int = 0
+    encrypted: int = 0
+    plain: int = 0
+    valid: int = 0  # rows behind the pincode gate
+    undecrypted: int = 0  # ciphertext values of those rows that stayed unreadable
+    seconds: float = 0.0
+    source_seconds: dict[str, float] = field(default_factory=dict)  # probing (and staging) each source
+    failed: dict[str, str] = field(default_factory=dict)  # source -> kind of error; the others ran
 
 
 def run(contacts: DataFrame, sink: Callable[[DataFrame], None], name: str = "contacts") -> RunResult:
     """Write ``contacts`` with ``sink``; counts are gathered during that same write."""
+    began = time.monotonic()
     df, obs = observed(contacts, name)
     sink(df)
     m = obs.get
-    return RunResult(int(m.get("rows", 0)), int(m.get("with_mobile", 0)), int(m.get("with_email", 0)))
+    return RunResult(
+        int(m.get("rows", 0)),
+        int(m.get("with_mobile", 0)),
+        int(m.get("with_email", 0)),
+        seconds=time.monotonic() - began,
+    )
+
+
+def read_sources(
+    targets: list[JdbcTarget],
+    read: Callable[[JdbcTarget], DataFrame],
+    threads: int,
+    stage: Callable[[DataFrame, int], DataFrame] | None = None,
+) -> tuple[dict[str, tuple[DataFrame, Observation]], dict[str, float], dict[str, str]]:
+    """(frame and row counter, seconds, errors) by source name, sources prepared side by side.
+
+    A source that can't be read, or whose staging fails, is left out and reported.
+    """
+
+    def one(numbered: tuple[int, JdbcTarget]):
+        i, t = numbered
+        name, began = t.name or f"source-{i}", time.monotonic()
+        try:
+            obs = Observation(f"source-{i}-{uuid.uuid4().hex}")
+            df = read(t).observe(obs, F.count(F.lit(1)).alias("rows"))
+            df = stage(df, i) if stage else df
+            return name, (df, obs), time.monotonic() - began, None
+        except Exception as e:  # any fault of a driver or database; its text may hold the address
+            return name, None, time.monotonic() - began, type(e).__name__
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(targets)))) as pool:
+        found = list(pool.map(one, enumerate(targets)))
+    frames = {name: f for name, f, _, _ in found if f}
+    return frames, {name: s for name, _, s, _ in found}, {name: e for name, _, _, e in found if e}
 
 
 def run_jdbc_job(
@@ -61,27 +108,46 @@ def run_jdbc_job(
 ) -> RunResult:
     """Read every source database, transform, and append to ``sink_table``.
 
-    With ``stage_name`` the raw rows are first written once to the shared checkpoint folder, so
-    the transform and the write never go back to the databases, even when executors are lost.
+    Each source needs two one-row probes (window bounds, optional column) before its read is
+    planned. A source that fails there is reported in ``failed`` and the others run. With
+    ``stage_name`` the raw rows of each source are first written to the shared checkpoint folder (and
+    deleted at the end): then a source that fails while it is read is left out too, and the
+    transform and the write never go back to the databases, even when executors are lost.
     """
+    began = time.monotonic()
+    staged: list[str] = []
 
     def read(t: JdbcTarget) -> DataFrame:
         return canonical_rows(read_shipments(spark, t, cfg, read_partitions), cfg.timestamp_format)
 
-    # Each source needs two one-row probes (window bounds, optional column) before its read is
-    # planned; with many databases they run concurrently rather than one after another.
-    targets = list(source_targets)
-    with ThreadPoolExecutor(max_workers=max(1, min(probe_threads, len(targets)))) as pool:
-        frames = list(pool.map(read, targets))
-    # Per-source row counts, filled by the same pass that reads the rows (no extra job).
-    observations = []
-    for i, (t, f) in enumerate(zip(targets, frames)):
-        obs = Observation(f"source-{i}-{uuid.uuid4().hex}")
-        frames[i] = f.observe(obs, F.count(F.lit(1)).alias("rows"))
-        observations.append((t.name or f"source-{i}", obs))
-    if stage_name:
-        frames = [stage_table(union_sources(frames), stage_name, spark)]
-    contacts = contacts_from_sources(frames, key_export, pincodes, cfg)
-    result = run(contacts, lambda df: append(df, sink_target, sink_table, max_connections=sink_connections))
-    per_source = {name: int(obs.get.get("rows", 0)) for name, obs in observations}
-    return replace(result, source_rows=per_source)
+    def stage(df: DataFrame, i: int) -> DataFrame:
+        path = staging_path(spark, f"{stage_name}-{i}")
+        staged.append(path)
+        return stage_table(df, stage_name, spark, path)
+
+    try:
+        frames, seconds, failed = read_sources(list(source_targets), read, probe_threads, stage if stage_name else None)
+        if not frames:
+            if failed:
+                raise RuntimeError(f"no source could be read: {failed}")
+            return RunResult(0, 0, 0, seconds=time.monotonic() - began)
+        watch = (Observation(f"read-{uuid.uuid4().hex}"), Observation(f"valid-{uuid.uuid4().hex}"))
+        contacts = contacts_from_sources([f for f, _ in frames.values()], key_export, pincodes, cfg, watch)
+        result = run(contacts, lambda df: append(df, sink_target, sink_table, max_connections=sink_connections))
+    finally:
+        for path in staged:
+            drop_staged(spark, path)
+    counts = {**watch[0].get, **watch[1].get}
+    read_rows, encrypted = int(counts.get("rows_read", 0)), int(counts.get("rows_encrypted", 0))
+    return replace(
+        result,
+        source_rows={name: int(obs.get.get("rows", 0)) for name, (_, obs) in frames.items()},
+        read=read_rows,
+        encrypted=encrypted,
+        plain=read_rows - encrypted,
+        valid=int(counts.get("rows_valid", 0)),
+        undecrypted=int(counts.get("values_undecrypted", 0)),
+        seconds=time.monotonic() - began,
+        source_seconds=seconds,
+        failed=failed,
+    )

@@ -15,19 +15,21 @@
                 "terminated_table": "...", "schemata_table": "...", "tables_table": "..."},
      "pincodes": "/path/pincodes.csv",
      "keys": {"path": "...", "format": "parquet"},
-     "sink": {"url": "jdbc:...", "table": "...", "properties": {...}},
-     "job": {"excluded_tenants": [...], "country_collation": null, ...}}   # JobConfig fields
+     "sink": {"url": "jdbc:...", "table": "...", "properties": {...}, "connections": 64},
+     "stage_name": null,                    # a name: raw rows are staged before the transform
+     "job": {"excluded_tenants": [...], "key_path": {"prefix": "...", ...}, ...}}   # JobConfig fields
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrflow.config import JobConfig, parse_window_arg
+from addrflow.config import JobConfig, KeyPathFormat, parse_window_arg
 from addrflow.operators.registry import active_servers
 from addrflow.plans.job import RunResult, run_jdbc_job
 from addrflow.sources.files import read_pincodes, read_registry
@@ -48,7 +50,7 @@ def run_from_config(spark: SparkSession, window: str, conf: dict) -> RunResult:
 
     reg = conf["registry"]
     excluded = spark.createDataFrame([(x,) for x in reg.get("excluded", [])], "db string")
-    active = active_servers(read_registry(spark, reg["path"], reg.get("format", "json")), excluded, cfg.broadcast_max_rows)
+    active = active_servers(read_registry(spark, reg["path"], reg.get("format", "json")), excluded)
     closed_conf = conf.get("closed")
     closed = None
     if closed_conf:
@@ -83,13 +85,21 @@ def run_from_config(spark: SparkSession, window: str, conf: dict) -> RunResult:
     sink = conf["sink"]
     return run_jdbc_job(
         spark, cfg, targets, key_export, pincodes, JdbcTarget(sink["url"], sink.get("properties", {})), sink["table"],
-        stage_name=conf.get("stage_name"),
+        stage_name=conf.get("stage_name"), sink_connections=sink.get("connections", 64),
     )
 
 
 def _job_fields(job: dict) -> dict:
-    allowed = set(JobConfig.__dataclass_fields__) - {"from_ts", "till_ts", "run_ts", "key_path"}
-    out = {k: (tuple(v) if isinstance(v, list) else v) for k, v in job.items() if k in allowed}
+    """JobConfig fields of the job file; a name that is none of them is an error."""
+    allowed = set(JobConfig.__dataclass_fields__) - {"from_ts", "till_ts", "run_ts"}
+    if unknown := sorted(set(job) - allowed):
+        raise ValueError(f"unknown job settings: {unknown}; known: {sorted(allowed)}")
+    out = {k: (tuple(v) if isinstance(v, list) else v) for k, v in job.items()}
+    if "key_path" in out:
+        known = set(KeyPathFormat.__dataclass_fields__)
+        if unknown := sorted(set(out["key_path"]) - known):
+            raise ValueError(f"unknown key_path settings: {unknown}; known: {sorted(known)}")
+        out["key_path"] = KeyPathFormat(**out["key_path"])
     return out
 
 
@@ -100,9 +110,8 @@ def main(argv: list[str] | None = None) -> int:
     with open(spark.conf.get("spark.addrflow.config")) as fh:
         conf = json.load(fh)
     result = run_from_config(spark, window, conf)
-    print(json.dumps({"rows": result.rows, "with_mobile": result.with_mobile, "with_email": result.with_email,
-                      "source_rows": result.source_rows}))
-    return 0
+    print(json.dumps(dataclasses.asdict(result)))
+    return 1 if result.failed else 0
 
 
 if __name__ == "__main__":

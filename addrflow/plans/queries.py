@@ -22,7 +22,7 @@ from addrflow.operators.assemble import assemble_shipments
 from addrflow.operators.contacts import contact_rows
 from addrflow.operators.decrypt import decrypt_rows, distinct_key_pairs, key_table
 from addrflow.operators.filters import canonical_rows, in_window, is_cipher_row, phone_kept, union_sources
-from addrflow.operators.lookup import bounded_broadcast, pincode_lookup_set
+from addrflow.operators.lookup import pincode_lookup_set
 from addrflow.operators.metrics import id_bounds, stage_counts
 from addrflow.plans import oracle as O
 from addrflow.sources import driver_tables as D
@@ -133,6 +133,15 @@ def q_shipment_assembly_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembled(spark, sf_dir, _CI, encrypted=False)
 
 
+@register(
+    "shipment_assembly_no_district",
+    f"WITH {_asm_sql(False, with_district=False)}\nSELECT {O.SHIPMENT_COLS} FROM asm",
+)
+def q_shipment_assembly_no_district(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assembly from a source whose addresses lack the optional columns."""
+    return assembled(spark, sf_dir, CFG, encrypted=False, with_district=False)
+
+
 @register("decrypted_rows", f"WITH {_asm_sql(True)}\nSELECT {O.SHIPMENT_COLS} FROM asm")
 def q_decrypted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decrypted(spark, sf_dir, CFG)
@@ -271,16 +280,21 @@ def q_mobile_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Telephone-like parts of a free text: ten digits from 6 on, with the usual signs between them.
+_PHONE_PART = r"\(?[6-9][0-9]{2}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+
+
 @register(
     "documents_mobiles",
-    f"""WITH c AS (SELECT doc_id, {O.compact('text')} AS t FROM documents)
-SELECT doc_id, array_to_string({O.recover_mobiles('t')}, '|') AS mobiles, len({O.recover_mobiles('t')}) AS n_mobiles
-FROM c""",
+    f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, {O.lit(_PHONE_PART)})) AS part FROM documents),
+c AS (SELECT doc_id, {O.compact('part')} AS t FROM w)
+SELECT DISTINCT doc_id, mobile FROM c, unnest({O.recover_mobiles('t')}) AS u(mobile)""",
 )
 def q_documents_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = D.read_table(spark, sf_dir, "documents").select("doc_id", TX.compact(F.col("text")).alias("t"))
-    rec = PH.recover_mobiles(F.col("t"))
-    return d.select("doc_id", _joined(rec).alias("mobiles"), F.size(rec).cast("long").alias("n_mobiles"))
+    d = D.read_table(spark, sf_dir, "documents")
+    parts = d.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_PHONE_PART), 0)).alias("part"))
+    found = PH.recover_mobiles(TX.compact(F.col("part")))
+    return parts.select("doc_id", F.explode(found).alias("mobile")).distinct()
 
 
 # Whitespace-delimited words that contain '@': the e-mail candidates of a free text.
@@ -323,6 +337,18 @@ def q_email_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "address_fingerprint",
+    f"""WITH fx AS ({O.FIXTURE_SQL})
+SELECT shipment_id, lower({O.remove_space("coalesce(mobile, '') || coalesce(name, '') || coalesce(address_line1, '') || coalesce(city, '') || coalesce(pincode, '')")}) AS fingerprint
+FROM fx""",
+)
+def q_address_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = D.fixture_shipments(spark, sf_dir)
+    fields = [F.col(c) for c in ("name", "address_line1", "city", "pincode")]
+    return fx.select("shipment_id", TX.address_fingerprint(F.col("mobile"), *fields).alias("fingerprint"))
+
+
 @register(
     "pincode_checks",
     f"""WITH fx AS ({O.FIXTURE_SQL}), lk AS ({O.PINCODE_LOOKUP_SQL}),
@@ -334,7 +360,7 @@ FROM c LEFT JOIN (SELECT DISTINCT Pincode AS pin_value FROM lk WHERE Pincode IS
 def q_pincode_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = D.fixture_shipments(spark, sf_dir).select("shipment_id", PC.clean_pincode(F.col("pincode")).alias("pincode"))
     hits = pincode_lookup_set(D.pincode_lookup(spark, sf_dir)).withColumn("_hit", F.lit(True))
-    j = fx.join(bounded_broadcast(hits, CFG.broadcast_max_rows), F.col("pincode") == F.col("_pin_value"), "left")
+    j = fx.join(hits, F.col("pincode") == F.col("_pin_value"), "left")
     p = F.col("pincode")
     return j.select(
         "shipment_id",
@@ -369,13 +395,23 @@ def q_cipher_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Key exports of several versions, from the columns of an event: the first version is the user's id.
+_KEYS_JSON = """'{"' || event_type || '": "' || user_id || '", "k": "' || event_id || '", "a": 1}'"""
+
+
 @register(
     "key_json_first",
-    """SELECT event_id, json_extract_string(props, '$."' || json_keys(props)[1] || '"') AS first_value FROM events""",
+    f"""WITH e AS (SELECT event_id, props, {_KEYS_JSON} AS keys FROM events)
+SELECT event_id, json_extract_string(keys, '$."' || json_keys(keys)[1] || '"') AS first_value,
+  json_extract_string(props, '$."' || json_keys(props)[1] || '"') AS first_prop FROM e""",
 )
 def q_key_json_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = D.read_table(spark, sf_dir, "events")
-    return ev.select("event_id", C.first_key(F.col("props")).alias("first_value"))
+    return ev.select(
+        "event_id",
+        C.first_key(F.expr(_KEYS_JSON)).alias("first_value"),
+        C.first_key(F.col("props")).alias("first_prop"),
+    )
 
 
 @register(
@@ -462,13 +498,14 @@ def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
   CASE WHEN o_orderstatus = 'F' THEN 'production' ELSE 'staging' END AS type,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS terminated_on FROM orders),
 sc AS (SELECT 'tenant_' || cast(c_custkey as string) AS SCHEMA_NAME FROM customer),
-tb AS (SELECT 'tenant_' || cast(o_custkey as string) AS TABLE_SCHEMA FROM orders WHERE o_orderpriority = '1-URGENT')
+tb AS (SELECT 'tenant_' || cast(o_custkey as string) AS TABLE_SCHEMA FROM orders WHERE o_orderpriority = '1-URGENT'),
+unused AS (SELECT SCHEMA_NAME AS name FROM sc EXCEPT SELECT TABLE_SCHEMA FROM tb)
 SELECT DISTINCT terminated_server AS db FROM ti
-WHERE type = 'production'
-  AND terminated_server NOT IN (SELECT S.SCHEMA_NAME FROM sc S LEFT OUTER JOIN tb T ON S.SCHEMA_NAME = T.TABLE_SCHEMA
-                                WHERE T.TABLE_SCHEMA IS NULL)
-  AND (terminated_on IS NULL OR (terminated_on >= TIMESTAMP {O.lit(FROM_TS)} AND terminated_on < TIMESTAMP {O.lit(TILL_TS)}))
-  AND terminated_server NOT IN {O.in_list(CFG.system_schemas)}""",
+WHERE type = 'production' AND coalesce(terminated_on BETWEEN TIMESTAMP {O.lit(FROM_TS)}
+    AND TIMESTAMP {O.lit(TILL_TS)} - INTERVAL 1 MICROSECOND, true)
+  AND NOT list_contains({O.in_list(CFG.system_schemas).replace('(', '[').replace(')', ']')}, terminated_server)
+  AND (SELECT count(*) FILTER (name IS NULL) FROM unused) = 0
+  AND NOT EXISTS (SELECT 1 FROM unused WHERE name = terminated_server)""",
 )
 def q_closed_databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.closed_databases(
@@ -496,13 +533,18 @@ SELECT stage, rows FROM (
   UNION ALL SELECT 'rows_plain', count(*) FILTER (WHERE _alias IS NULL) FROM asm
   UNION ALL SELECT 'key_pairs', count(DISTINCT (tenant_code, _alias)) FILTER (WHERE _alias IS NOT NULL) FROM asm
   UNION ALL SELECT 'rows_union', count(*) FROM asm
-  UNION ALL SELECT 'values_undecrypted', 0
+  UNION ALL SELECT 'values_undecrypted', count(*) FROM asm LEFT JOIN (SELECT DISTINCT Pincode AS pin_value FROM lk) l
+    ON {O.compact('asm.pincode')} = l.pin_value WHERE _alias IS NOT NULL AND shipping_package_code LIKE '%-3'
+    AND NOT {O.is_missing(O.compact('asm.pincode'))} AND (l.pin_value IS NOT NULL OR {O.pincode_rule(O.compact('asm.pincode'))})
   UNION ALL SELECT 'contact_rows', count(*) FROM ct
   UNION ALL SELECT 'with_mobile', count(*) FILTER (WHERE contact_mobile <> '') FROM ct
   UNION ALL SELECT 'with_email', count(*) FILTER (WHERE contact_email <> '') FROM ct)""",
 )
 def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third line of an order has a name that no key opens."""
     rows = assembled(spark, sf_dir, CFG, encrypted=True)
+    broken = is_cipher_row(F.col("mobile")) & F.col("shipping_package_code").endswith("-3")
+    rows = rows.withColumn("name", F.when(broken, F.lit("cipher:k1:AAAA")).otherwise(F.col("name")))
     return stage_counts(rows, D.key_export(spark, sf_dir), D.pincode_lookup(spark, sf_dir), CFG)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,14 +73,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage_table(df, name: str, spark: SparkSession | None = None):
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A folder under the session's checkpoint folder that no other run uses."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df, name: str, spark: SparkSession | None = None, path: str | None = None):
     """Write ``df`` as parquet under the session's checkpoint folder and read it back.
 
     Cuts the lineage at a shared, durable copy: later stages (and retries after an executor loss)
-    read the staged files instead of recomputing from the sources.
+    read the staged files instead of recomputing from the sources. Every call has a folder of its
+    own; ``drop_staged`` removes it (staged rows may hold personal data in the clear).
     """
     spark = spark or df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/stage-{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = path or staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``stage_table`` (through Hadoop's file systems)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -14,25 +14,29 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.config import JobConfig
 from addrflow.functions.cipher import encrypt_value
-from addrflow.operators.lookup import bounded_broadcast
-from addrflow.sources.parallel import ensure_parallel
 
 BACKSLASH_N = "\\N"
-BROADCAST_MAX_ROWS = JobConfig.__dataclass_fields__["broadcast_max_rows"].default
-
 
 # Tables whose rows carry the per-row work (dimension tables are only probed or broadcast).
 FACT_TABLES = frozenset({"lineitem", "orders", "documents", "events", "pages", "conversations"})
 
 
+def spread_over_cores(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, dealt over them (one round-robin shuffle).
+
+    The test tables are one file each, hence one task; production reads have their own splits and
+    don't come through here.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 @functools.lru_cache(maxsize=64)
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One scan definition per (session, table); a fact table that is a single split is spread
-    over the cores."""
+    """One scan definition per (session, table); a fact table of few splits is spread over the cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return ensure_parallel(df) if name in FACT_TABLES else df
+    return spread_over_cores(df) if name in FACT_TABLES else df
 
 
 def _lp(c: Column, n: int) -> Column:
@@ -137,7 +141,7 @@ def fixture_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders ⋈ customer ⋈ nation with synthesised contact columns (FIXTURES.md §3, plus text fields)."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    n = bounded_broadcast(read_table(spark, sf_dir, "nation"), BROADCAST_MAX_ROWS)
+    n = read_table(spark, sf_dir, "nation")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     return (
         o.join(c, ck == F.col("c_custkey"))

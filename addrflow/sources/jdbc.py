@@ -9,10 +9,10 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig
-from addrflow.schema import SHIPMENT_SCHEMA
+from addrflow.schema import OPTIONAL_FIELDS, SHIPMENT_SCHEMA, SOURCE_COLUMNS, SOURCE_JOINS
+from addrflow.session import drop_staged, stage_table, staging_path
 
 FETCH_SIZE = 50_000
 WRITE_BATCH = 50_000
@@ -50,30 +50,48 @@ def _checked_ts(value: str) -> str:
     return value
 
 
-def shipment_query(cfg: JobConfig, has_district: bool = True) -> str:
-    """The six-table source query, pushed to the database as one statement (portable SQL)."""
-    district = "ad.district" if has_district else "''"
-    channel = "ad.channel_source_code" if has_district else "''"
-    tenant_filter = f" AND tenant.code NOT IN {_sql_list(cfg.excluded_tenants)}" if cfg.excluded_tenants else ""
-    return f"""SELECT ad.name AS name, ad.phone AS mobile, so.notification_mobile AS notification_mobile,
- ad.email AS email, so.notification_email AS notification_email, ad.address_line1 AS address_line1,
- ad.address_line2 AS address_line2, ad.city AS city, {district} AS district, ad.state_code AS state_code,
- ad.country_code AS country_code, ad.pincode AS pincode, sp.created AS sp_created, sp.updated AS sp_updated,
- tenant.code AS tenant_code, party.code AS facility_code, sp.code AS shipping_package_code,
- {channel} AS channel_source_code, sp.status_code AS shipping_package_status, so.code AS sale_order_code,
- so.status_code AS sale_order_status, {_sql_text(cfg.sync_status)} AS sale_order_sync_status, ad.id AS address_id
-FROM shipping_package sp
- JOIN address_detail ad ON ad.id = sp.shipping_address_id
- JOIN sale_order so ON sp.sale_order_id = so.id
- JOIN tenant ON tenant.id = so.tenant_id
- JOIN facility ON facility.id = sp.facility_id
- JOIN party ON facility.id = party.id
-WHERE sp.status_code IN {_sql_list(cfg.statuses)}{tenant_filter}
- AND sp.created >= CAST({_sql_text(_checked_ts(cfg.from_ts))} AS TIMESTAMP)
- AND sp.created < CAST({_sql_text(_checked_ts(cfg.till_ts))} AS TIMESTAMP)
- AND ad.country_code = {_sql_text(cfg.country)}
- AND ad.phone NOT LIKE '*%'
- AND ad.phone NOT IN {_sql_list(cfg.placeholder_phones)}"""
+def timestamp_literal(url: str, value: str) -> str:
+    """A timestamp in the SQL of the database behind ``url``.
+
+    MySQL and MariaDB compare a column with the plain text; Derby has a function; the others take
+    the standard literal.
+    """
+    text = _sql_text(_checked_ts(value))
+    scheme = url.split(":")[1].lower() if url.lower().startswith("jdbc:") else ""
+    if scheme in ("mysql", "mariadb"):
+        return text
+    full = value if ":" in value else f"{value} 00:00:00"
+    return f"TIMESTAMP({_sql_text(full)})" if scheme == "derby" else f"TIMESTAMP {_sql_text(full)}"
+
+
+def _window(column: str, cfg: JobConfig, url: str) -> list[str]:
+    return [f"{column} >= {timestamp_literal(url, cfg.from_ts)}", f"{column} < {timestamp_literal(url, cfg.till_ts)}"]
+
+
+def shipment_query(cfg: JobConfig, has_district: bool = True, url: str = "jdbc:mysql:") -> str:
+    """The source query, pushed to the database as one statement in its own dialect.
+
+    Built from the maps that the DataFrame assembly uses. The country is compared by the database's
+    own collation; a collation asked for in the config can't be pushed and is refused.
+    """
+    if cfg.country_collation:
+        raise ValueError("country_collation applies to DataFrame sources; a database compares by its own collation")
+    columns = [
+        f"{table}.{column} AS {f}" if has_district or f not in OPTIONAL_FIELDS else f"'' AS {f}"
+        for f, (table, column) in SOURCE_COLUMNS.items()
+    ]
+    columns += [f"{_sql_text(cfg.sync_status)} AS sale_order_sync_status", "address_detail.id AS address_id"]
+    joins = [f"JOIN {t} ON {t}.{c} = {other}.{oc}" for t, c, other, oc in SOURCE_JOINS]
+    kept = [
+        *_window("shipping_package.created", cfg, url),
+        f"shipping_package.status_code IN {_sql_list(cfg.statuses)}",
+        f"address_detail.country_code = {_sql_text(cfg.country)}",
+        f"address_detail.phone NOT IN {_sql_list(cfg.placeholder_phones)}",
+        "address_detail.phone NOT LIKE '*%'",
+    ]
+    if cfg.excluded_tenants:
+        kept.append(f"tenant.code NOT IN {_sql_list(cfg.excluded_tenants)}")
+    return " ".join(["SELECT", ", ".join(columns), "FROM shipping_package", *joins, "WHERE", " AND ".join(kept)])
 
 
 def read_query(
@@ -122,10 +140,10 @@ def window_id_bounds(spark: SparkSession, target: JdbcTarget, cfg: JobConfig) ->
     Recent windows sit in a narrow slice of the whole id range; bounds of the whole table would
     send nearly all rows to the last partition.
     """
+    kept = " AND ".join(_window("created", cfg, target.url))
     sql = (
-        "SELECT MIN(shipping_address_id) AS min_id, MAX(shipping_address_id) AS max_id FROM shipping_package "
-        f"WHERE created >= CAST({_sql_text(_checked_ts(cfg.from_ts))} AS TIMESTAMP) "
-        f"AND created < CAST({_sql_text(_checked_ts(cfg.till_ts))} AS TIMESTAMP)"
+        "SELECT MIN(shipping_address_id) AS min_id, MAX(shipping_address_id) AS max_id "
+        f"FROM shipping_package WHERE {kept}"
     )
     row = read_query(spark, target, sql).first()
     return (row[0], row[1]) if row is not None else (None, None)
@@ -138,7 +156,6 @@ def read_shipments(
     num_partitions: int | None = None,
     fetch_size: int = FETCH_SIZE,
     ids_per_partition: int = 250_000,
-    max_partitions: int = 2_000,
 ) -> DataFrame:
     """One database's shipments of the window as raw rows (lower-case column names).
 
@@ -150,10 +167,10 @@ def read_shipments(
     if lo is None:
         return spark.createDataFrame([], SHIPMENT_SCHEMA)
     if num_partitions is None:
-        num_partitions = max(1, min(max_partitions, -(-(hi - lo + 1) // ids_per_partition)))
+        num_partitions = max(1, -(-(int(hi) - int(lo) + 1) // ids_per_partition))
     district = has_column(spark, target, "address_detail", "district")
     df = read_query(
-        spark, target, shipment_query(cfg, district), fetch_size, "address_id", (lo, hi), num_partitions
+        spark, target, shipment_query(cfg, district, target.url), fetch_size, "address_id", (lo, hi), num_partitions
     )
     return df.toDF(*[c.lower() for c in df.columns]).drop("address_id")
 
@@ -166,23 +183,26 @@ def read_closed_databases(
     schemata_table: str = "INFORMATION_SCHEMA.SCHEMATA",
     tables_table: str = "INFORMATION_SCHEMA.TABLES",
 ) -> DataFrame:
-    """Closed tenant databases from a server's closure records and catalog (see ``closed_databases``)."""
-    from addrflow.operators.registry import closed_databases
+    """Closed tenant databases of a server, asked for in one statement (see ``closed_databases``).
 
+    The database applies SQL's NOT IN itself: a schema without tables whose name is NULL would empty
+    the result.
+    """
     for t in (terminated_table, schemata_table, tables_table):
         if not _IDENT.match(t):
             raise ValueError("table names must be plain identifiers")
-
-    def q(sql: str) -> DataFrame:
-        df = read_query(spark, target, sql)
-        return df.toDF(*[c.lower() for c in df.columns])
-
-    terminated = q(f"SELECT terminated_server, type, terminated_on FROM {terminated_table}")
-    schemata = q(f"SELECT SCHEMA_NAME FROM {schemata_table}").withColumnRenamed("schema_name", "SCHEMA_NAME")
-    tables = q(f"SELECT TABLE_SCHEMA FROM {tables_table}").withColumnRenamed("table_schema", "TABLE_SCHEMA")
-    return closed_databases(
-        terminated, schemata, tables, cfg.from_ts, cfg.till_ts, cfg.system_schemas, cfg.broadcast_max_rows
+    dated = " AND ".join(_window("closed.terminated_on", cfg, target.url))
+    unused = (
+        f"SELECT known.SCHEMA_NAME FROM {schemata_table} known "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {tables_table} held WHERE held.TABLE_SCHEMA = known.SCHEMA_NAME)"
+    )
+    sql = (
+        f"SELECT DISTINCT closed.terminated_server AS db FROM {terminated_table} closed "
+        f"WHERE closed.type = 'production' AND (closed.terminated_on IS NULL OR ({dated})) "
+        f"AND closed.terminated_server NOT IN {_sql_list(cfg.system_schemas)} "
+        f"AND closed.terminated_server NOT IN ({unused})"
     )
+    return read_query(spark, target, sql).toDF("db")
 
 
 def check_no_speculation(spark: SparkSession) -> None:
@@ -208,24 +228,29 @@ def append(
     """Batched INSERTs into ``table`` (append; re-running a window appends its rows again).
 
     Each partition is written in one transaction, so a task retried after an executor loss does
-    not leave the rows of its failed attempt behind (``isolation="NONE"`` would). With
-    ``max_connections`` the rows are shuffled into that many writing tasks, so a big job does not
-    open one connection per partition against the database. A shuffle, not a coalesce: a
-    coalesce would also shrink the upstream stage (decryption, cleanup) to that many tasks.
-    """
-    check_no_speculation(df.sparkSession)
-    if max_connections:
-        df = df.repartition(max_connections)
-    writer = (
-        df.write.format("jdbc")
-        .options(**target.options())
-        .option("dbtable", table)
-        .option("batchsize", str(batch_size))
-        .option("isolationLevel", isolation)
-    )
-    writer.mode("append").save()
+    not leave the rows of its failed attempt behind (``isolation="NONE"`` would).
 
-
-def string_table(df: DataFrame) -> DataFrame:
-    """All columns as strings (what the sink table and the canonical row expect)."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    With ``max_connections`` the rows are staged first, in as many files as they need, and appended
+    file by file, at most so many at once: the number and size of the transactions follow the rows,
+    and the database never sees more connections. The staged rows are deleted afterwards. A run that
+    fails between two rounds has appended the rounds before.
+    """
+    spark = df.sparkSession
+    check_no_speculation(spark)
+
+    def write(part: DataFrame) -> None:
+        part.write.format("jdbc").options(**target.options()).option("dbtable", table).option(
+            "batchsize", str(batch_size)
+        ).option("isolationLevel", isolation).mode("append").save()
+
+    if not max_connections:
+        write(df)
+        return
+    path = staging_path(spark, "sink")
+    try:
+        files = sorted(stage_table(df, "sink", spark, path).inputFiles())
+        for i in range(0, len(files), max_connections):
+            part = spark.read.schema(df.schema).parquet(*files[i : i + max_connections])
+            write(part.coalesce(max_connections))
+    finally:
+        drop_staged(spark, path)

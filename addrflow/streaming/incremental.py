@@ -1,7 +1,12 @@
-"""Structured Streaming runner: raw shipment files in, contact rows appended, exactly once per file."""
+"""Structured Streaming runner: raw shipment files in, contact rows to a sink, at least once.
+
+``foreachBatch`` replays a failed batch as a whole, so a sink that appends must use the batch id to
+skip a batch it has already written.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +37,13 @@ def run_incremental(
 ) -> StreamingQuery:
     """Process every raw file not yet seen under ``source_dir`` and stop (``availableNow``).
 
-    Progress is kept under the session's checkpoint folder, so a re-run skips files already
-    written and a failed batch is replayed as a whole.
+    Progress is kept under the session's checkpoint folder, by ``name`` and source folder, so a
+    re-run skips files already written; a failed batch is replayed as a whole.
     """
     rows = spark.readStream.format(source_format).schema(SHIPMENT_SCHEMA).load(source_dir)
     out = contacts_stream(rows, key_export, pincodes, cfg)
-    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
+    folder = hashlib.sha256(source_dir.encode()).hexdigest()[:16]
+    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}-{folder}"
     return (
         out.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)

@@ -86,9 +86,15 @@ def test_pincode_shuffle_fallback_same_result(spark):
     lookup = spark.createDataFrame([("PO1234",), ("PO9",), ("AB",)], "Pincode string")
     df = _rows(spark, data)
     small = sorted(map(tuple, contact_rows(df, lookup, CFG).collect()))
-    cfg = JobConfig(from_ts="2000-01-01", till_ts="2001-01-01", run_ts=CFG.run_ts, broadcast_max_rows=1)
-    big = contact_rows(df, lookup, cfg)
-    assert sorted(map(tuple, big.collect())) == small and len(small) == 20
-    # the fallback join is salted: a pincode held by a third of the rows spreads over the salts
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "_pin_value" in plan and "_ks#" in plan and "_ps#" in plan and "BroadcastNestedLoopJoin" not in plan
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        big = contact_rows(df, lookup, CFG)
+        assert sorted(map(tuple, big.collect())) == small and len(small) == 20
+        plan = big._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -1,5 +1,6 @@
 """Decryption: round trips with generated keys, and every fallback path."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig, KeyPathFormat
@@ -90,14 +91,25 @@ def test_key_pairs_and_table(spark):
     assert got == [("t1", "a1", "K1"), ("t2", "1", "K2"), ("t2", "2", None)]
 
 
-def test_shuffle_path_when_keys_exceed_broadcast_limit(spark):
+def test_only_keys_in_use_are_judged(spark):
+    """An unused entry without a key, or with two, stops nothing; a used one does."""
     enc = spark.range(1).select(C.encrypt_value(F.lit("9876543210"), F.lit("a1"), F.lit(SHORT)).alias("c")).first().c
-    data = [{"tenant_code": "t", "mobile": enc}] + [{"tenant_code": "t", "mobile": str(i)} for i in range(50)]
-    export = _export(spark, [("kp/a1/1", SHORT), ("kp/zz/1", "x"), ("kp/yy/1", "y")])
-    cfg = JobConfig(from_ts="2000-01-01", till_ts="2001-01-01", run_ts="r", key_path=FMT, broadcast_max_rows=1)
-    out = decrypt_rows(_rows(spark, data), export, cfg)
-    mob = sorted(r.mobile for r in out.collect())
-    assert len(mob) == 51 and "9876543210" in mob
+    rows = _rows(spark, [{"tenant_code": "t", "mobile": enc}] + [{"tenant_code": "t", "mobile": str(i)} for i in range(50)])
+    schema = "key_path string, keys_json string"
+    cfg = JobConfig(from_ts="2000-01-01", till_ts="2001-01-01", run_ts="r", key_path=FMT)
+
+    def mobiles(entries):
+        export = spark.createDataFrame(entries, schema)
+        return sorted(r.mobile for r in decrypt_rows(rows, export, cfg).collect())
+
+    good = ("kp/a1/1", '{"v1": "%s"}' % SHORT)
+    unused = [("kp/zz/1", "{}"), ("kp/yy/1", '{"v": "a"}'), ("kp/yy/1", '{"v": "b"}'), (None, "{}")]
+    assert "9876543210" in mobiles([good, *unused]) and len(mobiles([good, *unused])) == 51
+    assert "9876543210" in mobiles([good, good])  # the same key twice
+    with pytest.raises(Exception, match="different keys"):
+        mobiles([good, ("kp/a1/1", '{"v1": "other"}')])
+    with pytest.raises(Exception, match="holds no key"):
+        mobiles([("kp/a1/1", "{}")])
 
 
 def test_lenient_payloads_and_32_byte_key(spark):

@@ -136,3 +136,40 @@ def test_closed_databases_over_jdbc(spark):
     cfg = JobConfig(from_ts="2020-01-01 00:00:00", till_ts="2020-02-01 00:00:00", run_ts="r")
     got = read_closed_databases(spark, t, cfg, "terminated_info", "schemata", "tables_list")
     assert sorted(r.db for r in got.collect()) == ["db1", "db2"]
+
+
+def test_counts_of_the_run_equal_stage_counts(spark, source_db):
+    """One pass: the run's own observations against ``stage_counts`` on the same input; one source fails."""
+    from addrflow.operators.metrics import stage_counts
+    from addrflow.plans.job import run_jdbc_job
+
+    enc_db = _target("enc-counts")
+    for name, df in D.source_tables(spark, SF_SMALL, encrypted=True).items():
+        _store(df, enc_db, name)
+    good = JdbcTarget(enc_db.url, enc_db.properties, "good")
+    bad = JdbcTarget("jdbc:derby:/nowhere/at/all", {"driver": DRIVER}, "bad")
+    sink = _target("sink-counts")
+    keys, pins = D.key_export(spark, SF_SMALL), D.pincode_lookup(spark, SF_SMALL)
+    res = run_jdbc_job(spark, CFG, [good, bad], keys, pins, sink, "contact_rows", read_partitions=2, sink_connections=3)
+    want = dict(map(tuple, stage_counts(assembled(spark, SF_SMALL, CFG, encrypted=True), keys, pins, CFG).collect()))
+    assert list(res.failed) == ["bad"] and res.source_rows == {"good": want["rows_read"]}
+    assert (res.read, res.encrypted, res.plain) == (want["rows_read"], want["rows_encrypted"], want["rows_plain"])
+    assert res.undecrypted == want["values_undecrypted"]
+    assert (res.rows, res.with_mobile, res.with_email) == (want["contact_rows"], want["with_mobile"], want["with_email"])
+    assert res.seconds > 0 and set(res.source_seconds) == {"good", "bad"}
+    assert read_query(spark, sink, "SELECT * FROM contact_rows").count() == res.rows
+
+
+def test_every_source_failing_is_an_error(spark):
+    from addrflow.plans.job import run_jdbc_job
+
+    bad = JdbcTarget("jdbc:derby:/nowhere/at/all", {"driver": DRIVER}, "bad")
+    with pytest.raises(RuntimeError, match="no source"):
+        run_jdbc_job(spark, CFG, [bad], D.key_export(spark, SF_SMALL), D.pincode_lookup(spark, SF_SMALL), _target("s"), "t")
+
+
+def test_sink_appends_in_rounds_and_leaves_nothing_staged(spark):
+    target = _target("rounds")
+    df = spark.range(0, 1000, 1, 10).selectExpr("id", "concat('r', id) as t")
+    append(df, target, "contacts", max_connections=3)
+    assert read_query(spark, target, "SELECT * FROM contacts").count() == 1000

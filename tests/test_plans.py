@@ -40,3 +40,49 @@ def test_each_column_decrypted_once(spark):
     plan = _plan(q_shipment_contacts(spark, SF_SMALL))
     calls = re.findall(r"aesDecrypt\(coalesce\(tryeval\(unbase64\(split\((\w+?)#", plan)
     assert sorted(calls) == sorted(ENCRYPTED_FIELDS), calls
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Sizes are left to statistics and adaptive execution: nothing is counted beforehand."""
+    from addrflow.plans.queries import queries
+
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        for name in ("shipment_contacts", "decrypted_rows", "stage_counts", "closed_databases", "active_servers", "pincode_checks", "key_table"):
+            queries()[name](spark, SF_SMALL)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0, jobs
+
+
+def test_small_tables_are_joined_before_the_large_exchanges(spark):
+    """Tenants below the order side, facilities and parties below the shipment side."""
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        plan = _plan(q_shipment_contacts(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    lines = plan.splitlines()
+    at = {n: next(i for i, x in enumerate(lines) if "Join" in x and k in x) for n, k in (
+        ("order", "[_shipping_package_sale_order_id#"), ("tenant", "[_sale_order_tenant_id#"),
+        ("address", "[_shipping_package_shipping_address_id#"), ("facility", "[_shipping_package_facility_id#"),
+    )}
+    assert at["order"] < at["tenant"] and at["address"] < at["facility"]
+
+
+def test_union_of_many_sources_is_planned_quickly(spark):
+    import time
+
+    from addrflow.operators.filters import union_sources
+
+    frames = [spark.range(1).selectExpr(f"'{i}' as a", "'x' as b") for i in range(400)]
+    began = time.monotonic()
+    out = union_sources(frames)
+    out._jdf.queryExecution().optimizedPlan()
+    assert time.monotonic() - began < 20
+    assert out.columns == ["a", "b"]

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from addrflow.plans import queries as Q
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, digest
 
@@ -17,13 +18,15 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(Q.queries()) == set(Q.oracle_sql())
+    assert set(Q.queries()) <= set(E.queries()) and set(Q.oracle_sql()) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_query_matches_sql(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
-    res = duck.execute(E.oracle_sql()[name])
+    df = Q.queries()[name](spark, SF_SMALL)
+    res = duck.execute(Q.oracle_sql()[name])
     d_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     s_hash, _ = digest(df.columns, [tuple(r) for r in df.collect()])

@@ -45,3 +45,18 @@ def test_cluster_session_needs_a_shared_checkpoint_dir():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(_Session())
+
+
+def test_runs_never_share_a_staged_folder(spark):
+    from addrflow.session import drop_staged, staging_path
+
+    assert staging_path(spark, "x") != staging_path(spark, "x")
+    path = staging_path(spark, "gone")
+    staged = stage_table(spark.range(3), "gone", spark, path)
+    assert staged.count() == 3
+    drop_staged(spark, path)
+    try:
+        left = spark.read.parquet(path).count()
+    except Exception:
+        left = 0
+    assert left == 0

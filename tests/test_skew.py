@@ -1,15 +1,13 @@
-"""Shuffle fallbacks under a hot key give exactly the broadcast results."""
+"""Shuffle joins under a hot key give exactly the broadcast results, and adaptive execution splits them."""
 
 import re
-from dataclasses import replace
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from addrflow.operators.assemble import assemble_shipments
 from addrflow.operators.contacts import contact_rows
 from addrflow.operators.decrypt import decrypt_rows
+from addrflow.operators.lookup import with_pincode_check
 from addrflow.plans.queries import CFG
 from addrflow.sources import driver_tables as D
 from tests.conftest import SF_SMALL
@@ -31,7 +29,7 @@ def test_hot_tenant_without_broadcasts(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        df = _run(spark, replace(CFG, broadcast_max_rows=1), hot=True)
+        df = _run(spark, CFG, hot=True)
         plan = df._jdf.queryExecution().executedPlan().toString()
         got = sorted(map(tuple, df.collect()))
     finally:
@@ -81,70 +79,32 @@ def _final_plan_and_rows(spark, make):
     return final, got
 
 
-def test_hot_key_path_join_is_salted(spark):
-    """Every row under one alias shares one key path; beyond the broadcast cap the key join is
-    salted (AQE does not split it: its stage holds several joins), with the broadcast results."""
+def test_hot_key_path_is_split_by_aqe(spark):
+    """Every row under one alias shares one key path: AQE splits that partition, rows unchanged."""
     want = sorted(map(tuple, _run(spark, CFG, hot=False).collect()))
-    final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=False))
-    assert re.search(r"SortMergeJoin(\(skew=true\))? \[_jk#\d+, _ps#\d+\], \[_kp#\d+, _ks#\d+\], LeftOuter", final)
+    final, got = _final_plan_and_rows(spark, lambda: _run(spark, CFG, hot=False))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_path#\d+\], \[_kp#\d+\], LeftOuter", final), "key path not split"
     assert got == want and len(got) > 0
 
 
+def test_hot_pincode_is_split_by_aqe(spark):
+    """One pincode that only the lookup knows on every second row."""
+    rows = spark.range(6000).selectExpr("id", "if(id % 2 = 0, 'ZZ', concat('Z', id)) as pincode", "repeat('x', 50) as pad")
+    lookup = spark.range(500).selectExpr("if(id = 0, 'ZZ', concat('Z', id)) as Pincode")
+    want = sorted(map(tuple, with_pincode_check(rows, lookup).collect()))
+    final, got = _final_plan_and_rows(spark, lambda: with_pincode_check(rows.repartition(6), lookup))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_pin_key#\d+\]", final), "hot pincode not split"
+    assert got == want and sum(r[-1] for r in got) > 3000
+
+
 def test_hot_address_is_split_by_aqe(spark):
     """A third of the shipments on one join key: AQE splits that partition, rows unchanged."""
     want = sorted(map(tuple, _hot_address_rows(spark, CFG).collect()))
-    final, got = _final_plan_and_rows(spark, lambda: _hot_address_rows(spark, replace(CFG, broadcast_max_rows=1)))
-    assert re.search(r"SortMergeJoin\(skew=true\) \[_addr_id#\d+L?\]", final), "hot address partition not split"
+    final, got = _final_plan_and_rows(spark, lambda: _hot_address_rows(spark, CFG))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_shipping_package_shipping_address_id#\d+L?\]", final), "hot address partition not split"
     assert got == want and len(got) > 0
 
 
-@settings(max_examples=15, deadline=None)
-@given(
-    st.lists(st.one_of(st.none(), st.sampled_from(["hot", "a", "b", "c", "zz"])), min_size=1, max_size=60),
-    st.lists(st.sampled_from(["hot", "a", "b", "q"]), max_size=4, unique=True),
-    st.integers(min_value=1, max_value=9),
-)
-def test_salted_left_join_is_a_left_join(spark, keys, lookup_keys, salts):
-    """Same rows as a plain left join, whatever the salts, hot keys and NULL keys."""
-    from addrflow.operators.lookup import salted_left_join
-
-    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
-    lookup = spark.createDataFrame([(k, f"v-{k}") for k in lookup_keys], "lk string, v string")
-    plain = df.join(lookup, F.col("k") == F.col("lk"), "left").select("i", "k", "v")
-    salted = salted_left_join(df, F.col("k"), lookup, "lk", salts).select("i", "k", "v")
-    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
-
-
-def test_salted_left_join_spreads_one_hot_key(spark):
-    """All rows on one key: a plain shuffle join puts them in one partition, the salted one spreads them."""
-    from addrflow.operators.lookup import salted_left_join
-
-    df = spark.createDataFrame([(i, "hot") for i in range(4000)], "id long, k string")  # data, not a foldable literal
-    lookup = spark.createDataFrame([("hot", "v")], "lk string, v string")
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.enabled": "false",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        def used_partitions(joined):
-            return joined.select(F.spark_partition_id().alias("p")).distinct().count()
-
-        plain = df.join(lookup, F.col("k") == F.col("lk"), "left")
-        salted = salted_left_join(df, F.col("k"), lookup, "lk", 64)
-        assert used_partitions(plain) == 1
-        assert used_partitions(salted) >= 6
-        assert salted.filter(F.col("v") == "v").count() == 4000
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _hot_order_rows(spark, cfg):
     """Assembly where one sale order (of a kept tenant) holds every third shipment."""
     t = D.source_tables(spark, SF_SMALL)
@@ -160,21 +120,21 @@ def _hot_order_rows(spark, cfg):
 def test_hot_sale_order_is_split_by_aqe(spark):
     """A third of the shipments on one order: AQE splits that partition of the order join."""
     want = sorted(map(tuple, _hot_order_rows(spark, CFG).collect()))
-    final, got = _final_plan_and_rows(spark, lambda: _hot_order_rows(spark, replace(CFG, broadcast_max_rows=1)))
-    assert re.search(r"SortMergeJoin\(skew=true\) \[_so_id#\d+L?\]", final), "hot order partition not split"
+    final, got = _final_plan_and_rows(spark, lambda: _hot_order_rows(spark, CFG))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_shipping_package_sale_order_id#\d+L?\]", final), "hot order partition not split"
     assert got == want and len(got) > 0
 
 
 def test_hot_tenant_is_split_by_aqe(spark):
     """A third of the orders on one tenant: AQE splits that partition of the tenant join."""
     want = sorted(map(tuple, _run(spark, CFG, hot=True).collect()))
-    final, got = _final_plan_and_rows(spark, lambda: _run(spark, replace(CFG, broadcast_max_rows=1), hot=True))
-    assert re.search(r"SortMergeJoin\(skew=true\) \[_tenant_id#\d+L?\]", final), "hot tenant partition not split"
+    final, got = _final_plan_and_rows(spark, lambda: _run(spark, CFG, hot=True))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[_sale_order_tenant_id#\d+L?\]", final), "hot tenant partition not split"
     assert got == want and len(got) > 0
 
 
 def test_stage_counts_same_without_broadcasts(spark):
-    """The salted key and pincode joins leave every stage count unchanged."""
+    """Shuffle joins leave every stage count unchanged."""
     from addrflow.operators.metrics import stage_counts
     from addrflow.plans.queries import assembled
 
@@ -183,5 +143,5 @@ def test_stage_counts_same_without_broadcasts(spark):
         return stage_counts(rows, D.key_export(spark, SF_SMALL), D.pincode_lookup(spark, SF_SMALL), cfg)
 
     want = dict(map(tuple, counts(CFG).collect()))
-    _, got = _final_plan_and_rows(spark, lambda: counts(replace(CFG, broadcast_max_rows=1)))
+    _, got = _final_plan_and_rows(spark, lambda: counts(CFG))
     assert dict(got) == want and want["contact_rows"] > 0
