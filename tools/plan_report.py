@@ -38,21 +38,20 @@ def summary(df) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from addrflow.plans import queries as Q
 
     spark = local_session(shuffle_partitions=16)
     print(f"# Physical plans of the named queries ({os.path.basename(sf_dir)})\n")
     print("Generated by `tools/plan_report.py`. *At scale* = Spark's size-estimate broadcasts off")
-    print("(`spark.sql.autoBroadcastJoinThreshold=-1`); the library's row-count-checked broadcasts stay.\n")
+    print("(`spark.sql.autoBroadcastJoinThreshold=-1`).\n")
     print("*Shuffles* counts hash/single-partition exchanges; *spreads* are the round-robin steps that")
-    print("`ensure_parallel` adds only because these test tables are single-split files (none at scale).\n")
-    print("The key export and the pincode list are under `broadcast_max_rows` here, so they show as")
-    print("broadcasts. Beyond that cap they become salted shuffle joins (`salted_left_join`), and the")
-    print("dimension tables become sort-merge joins (`tests/test_skew.py` checks that AQE splits a hot tenant, delivery address and sale order).\n")
+    print("the test adapter adds because these tables are single-split files (`spread_over_cores`).\n")
+    print("Joins carry no hints. `tests/test_skew.py` checks that AQE splits a hot tenant, delivery")
+    print("address, sale order, key path and pincode.\n")
     print("| query | joins (as planned) | joins (at scale) | shuffles (at scale) | spreads | broadcasts (at scale) | Python |")
     print("|---|---|---|---|---|---|---|")
     details = []
-    for name, fn in E.queries().items():
+    for name, fn in Q.queries().items():
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         here = summary(fn(spark, sf_dir))
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
