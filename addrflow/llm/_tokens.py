@@ -4,7 +4,8 @@ The byte-level pre-tokenizer never joins characters across a space that follows
 than white space, nor across the last space of a run that a character other than white space
 follows. So unless some space has white space before it and white space or the end behind it, a text
 may be cut before each of its spaces and every unit encoded alone. Other texts, and texts that hold
-a special token's string, are encoded whole.
+a special token's string, are encoded whole. Units of printable Latin characters are cut into
+pre-tokens here, which the memo shares; other units are left to the tokenizer.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
 
-WHOLE = re.compile(r"\s \s|\s \Z")
-MEMO_UNITS = 400_000  # two generations of so many units at most
+WHOLE = re.compile(r" (?=\s|\Z)(?<=\s )")
+#: The byte-level pre-tokenizer's pattern (fixed value).
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MEMO_UNITS = 500_000  # two generations of so many units at most
 
 
 class Units(dict):
@@ -42,8 +45,10 @@ class Encoder:
     """Encodes as the tokenizer file at ``path`` does, without added special tokens."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
+        self.cut = regex.compile(PRE_TOKENS).findall
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
@@ -52,14 +57,21 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _unit(self, unit: str) -> bytes:
-        body = unit[1:] if unit[:1] == " " else unit
-        if not body.isalpha():
-            return self._whole(unit)
-        # Letters only, behind a space or not: one pre-token.
+    def _pre_token(self, unit: str) -> bytes:
         shown = unit.encode().decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
 
+    def _unit(self, unit: str) -> bytes:
+        body = unit[1:] if unit[:1] == " " else unit
+        if body.isalpha():
+            return self._pre_token(unit)  # letters only, behind a space or not
+        if max(unit) < "\u0180" and body.replace("\n", "").isprintable():
+            parts = self.cut(unit)
+            if len(parts) == 1:
+                return self._pre_token(unit)
+            return b"".join([self.later[x[1:]] if x[0] == " " and len(x) > 1 else self.first[x] for x in parts])
+        return self._whole(unit)
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
