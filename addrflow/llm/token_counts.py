@@ -31,7 +31,9 @@ from addrflow.llm._text import SPACE, U, word_hashes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
+#: Units that one round of vector operations takes.
+ROUND_UNITS = 20_000
 CHUNK_UNITS = 1_000_000
 #: Split by str.split, but not white space to the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -66,11 +68,11 @@ class _Chunk:
 
     def add(self, doc, n_bytes: int, text: str) -> None:
         found = units(text)
-        numbers = np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found))
+        numbers = np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))
         at, times = np.unique(numbers, return_counts=True)
         self.docs.append((doc, n_bytes))
-        self.at.append(np.diff(at, prepend=0))
-        self.times.append(times)
+        self.at.append(np.diff(at, prepend=np.int32(0)))
+        self.times.append(times.astype(np.uint32))
         self.sizes.append(len(at))
         self.bytes += n_bytes
 
@@ -87,9 +89,7 @@ class _Chunk:
         names = list(self.numbers)
         if not names:
             return
-        data = "\n".join(names).encode()
-        h, _ = word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), ~SPACE)
-        to = ((h >> U(20)) % U(buckets)).astype(np.int64)
+        to = np.concatenate([_buckets(names[i : i + ROUND_UNITS], buckets) for i in range(0, len(names), ROUND_UNITS)])
         order = np.argsort(to, kind="stable")
         ends = np.cumsum(np.bincount(to, minlength=buckets))
         lo = 0
@@ -100,6 +100,12 @@ class _Chunk:
             lo = hi
 
 
+def _buckets(names: list[str], buckets: int) -> np.ndarray:
+    data = "\n".join(names).encode()
+    h, _ = word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]), ~SPACE)
+    return ((h >> U(20)) % U(buckets)).astype(np.int64)
+
+
 def _chunks(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
