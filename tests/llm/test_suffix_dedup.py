@@ -1,0 +1,61 @@
+import random
+
+import numpy as np
+import pytest
+from llm_util import empty_docs, odd_docs, suffix_cut
+
+from addrflow.llm import suffix_dedup as S
+
+
+def _rows(df):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in df.collect())
+
+
+def _want(rows):
+    return sorted((d is None, d or 0, *rest) for (d, *rest), n in suffix_cut(rows).items() for _ in range(n))
+
+
+@pytest.mark.parametrize("sizes", [(16 << 20, 4 << 20), (20_000, 4_000)])
+def test_odd_documents_equal_brute_force(spark, monkeypatch, sizes):
+    monkeypatch.setattr(S, "CHUNK_BYTES", sizes[0])
+    monkeypatch.setattr(S, "BUCKET_BYTES", sizes[1])
+    rows, docs = odd_docs(spark)
+    assert _rows(S.cut(docs)) == _want(rows)
+
+
+def test_shared_passages_of_many_lengths(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("ab c") for _ in range(3000))
+    rows = []
+    for i in range(40):
+        x = rng.randrange(2800)
+        n = rng.choice([30, 49, 50, 51, 77, 150])
+        rows.append((i, f"{i}-{rng.random()}" * 3 + text[x : x + n] + f"{rng.random()}" * 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _rows(S.cut(docs)) == _want(rows)
+
+
+def test_empty_table(spark):
+    assert S.summary(S.cut(empty_docs(spark))).collect() == []
+
+
+def test_two_stage_order():
+    rng = np.random.default_rng(1)
+    for trial in range(200):
+        n = int(rng.integers(1, 150))
+        t = (rng.integers(0, int(rng.integers(1, 4)), n) + 97).astype(np.uint8)
+        t[-1] = 97
+        t = np.append(t, np.uint8(S.END))
+        order = S.suffix_array(t)
+        b = t.tobytes() + bytes([S.END]) * 100
+        assert sorted(order.tolist()) == list(range(n + 1))
+        keys = [b[i : i + S.WIDTH] for i in order]
+        assert keys == sorted(keys), trial
+        same = S.common_prefixes(S._words(t), order)
+        assert same.tolist() == [x == y for x, y in zip(keys, keys[1:], strict=False)]
+
+
+def test_only_suffixes_smaller_than_their_successors_are_sorted_directly():
+    t = np.frombuffer(b"mississippi\xff", np.uint8)
+    b = t.tobytes() + b"\xff" * 20
+    assert S._smaller(t)[:-1].tolist() == [b[i:] < b[i + 1 :] for i in range(len(t) - 1)]
