@@ -86,6 +86,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+ORACLE_SQL["op4_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS items FROM words),
+single AS (SELECT doc_id, unnest(items) AS item FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM single a JOIN single b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n >= 80 * (len(a.items) + len(b.items) - n)),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT links.y, reach.other FROM reach JOIN links ON links.x = reach.doc_id),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (doc_id)
+"""
+
+ORACLE_SQL["op5_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS src,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+    CAST('0x' || substr(md5('7/' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 12) AS BIGINT) AS spot FROM documents),
+t AS (SELECT src, sum(n_tokens) AS t, count(*) AS n FROM d GROUP BY src),
+r AS (SELECT max(t) AS top, sum(t) AS total, max(t) / min(t) FILTER (t > 0) AS ratio FROM t),
+-- The grid of five rounds of sixteen steps: multiples of 2^-20; then rounded up to six places.
+e AS (SELECT top, total, CASE WHEN ratio <= 2 + 1e-9 THEN 0.0::DOUBLE
+    ELSE least(1.0::DOUBLE, ceil(ceil((1 - ln(2 + 1e-9) / ln(ratio)) * 1048576) / 1048576 * 1e6) / 1e6) END AS a FROM r),
+w AS (SELECT src, t, n, CASE WHEN t > 0 THEN pow(t / total, a) ELSE 0 END AS share,
+    CASE WHEN t > 0 THEN CAST(round(t * pow(top / t, 1 - a)) AS BIGINT) END AS draw FROM t, e),
+p AS (SELECT src, round(share / (SELECT sum(share) FROM w), 9) AS weight, coalesce(draw // t::BIGINT, 1) AS whole,
+    coalesce(draw % t::BIGINT, 0) AS rest, ceil(n / 4096)::BIGINT AS blocks FROM w),
+b AS (SELECT src, spot % blocks AS block, whole, rest, sum(n_tokens) AS bt FROM d JOIN p USING (src) GROUP BY ALL),
+o AS (
+  SELECT src, block, whole, rest, bt, epoch,
+    row_number() OVER s - 1 AS rank, coalesce(sum(bt) OVER (s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b4
+  FROM (SELECT *, CAST('0x' || substr(md5('7/' || epoch || '/' || src || '/' || block), 1, 12) AS BIGINT) AS shuffled
+    FROM (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM b))
+  WINDOW s AS (PARTITION BY src, epoch ORDER BY shuffled, block)),
+k AS (SELECT src, block, epoch, rank, CASE WHEN epoch = whole AND b4 + bt > rest THEN rest - b4 END AS room
+  FROM o WHERE epoch < whole OR b4 < rest),
+x AS (
+  SELECT doc_id, source, src, n_tokens, weight, epoch, block, room, lpad(CAST(rank AS VARCHAR), 9, '0') || '/' || lpad(CAST(CAST(
+    '0x' || substr(md5('7/' || epoch || '/' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 12) AS BIGINT) AS VARCHAR), 15, '0') AS place
+  FROM (SELECT d.*, weight, spot % blocks AS block FROM d JOIN p USING (src)) JOIN k USING (src, block)),
+y AS (SELECT *, sum(n_tokens) OVER (PARTITION BY src, room IS NULL ORDER BY place, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS run FROM x)
+SELECT doc_id, source, n_tokens, weight, epoch, block, place FROM y WHERE room IS NULL OR run <= room
+"""
+
 ORACLE_SQL["op6_exact_dedup"] = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS len,
