@@ -153,15 +153,16 @@ def mix(
         .orderBy("place", "id", "n_tokens", "row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # One block of each source at most, without its texts.
-    edge = (
+    # One block of each source at most, without its texts. What fits is a prefix of its order, so
+    # the last document that does is all that the rows have to know.
+    order = F.struct("place", "id", "n_tokens", "row")
+    last = (
         taken.filter("room is not null")
         .select("src", "row", "place", "id", "n_tokens", "room")
         .withColumn("run", F.sum("n_tokens").over(inside))
         .filter("run <= room")
-        .select("row")
-    )
-    kept = taken.filter("room is null").unionByName(
-        taken.filter("room is not null").join(edge, "row", "left_semi").select(taken.columns)
+        .groupBy("src")
+        .agg(F.max(order).alias("last"))
     )
+    kept = taken.join(stage(last, "edges"), "src", "left").filter(F.col("room").isNull() | (order <= F.col("last")))
     return kept.select("rec", "n_tokens", "weight", "epoch", "block", "place")
