@@ -13,10 +13,10 @@ many unlike sets; they are left out while fewer than t + 1 ranges are empty (the
 is not), and kept otherwise. So linked sets share a signature whatever they hold.
 
 Sets that are equal form one class from the start, found map-side. Sets with a common signature
-form a group, of which no pairs are listed: first each class is checked against one pivot, the
-smallest of its groups, and components are built. A group whose classes then lie in one component
-has nothing left to find. In the others, pairs from different components are compared by parity
-sketches (each element flips one bit, so the distance of two sketches never exceeds the distance
+form a group, of which no pairs are listed: first each class is checked against the pivots of its
+groups, their smallest classes (against one, and against the others where that left them apart), and
+components are built. A group whose classes then lie in one component has nothing left to find. In the others, pairs from different components are compared by parity
+sketches, first the closest pair of a class and another component, then all that are left (each element flips one bit, so the distance of two sketches never exceeds the distance
 of the sets); what passes is checked on the sets themselves, and components are built again. So
 every linked pair is either checked or inside a component already.
 
@@ -136,11 +136,12 @@ SHUFFLED = StructType(
     [StructField(n, t) for n, t in (("bucket", IntegerType()), ("a", BinaryType()), ("b", BinaryType()), ("row", LongType()), ("id", LongType()), ("n", LongType()))]
 )
 SHUFFLED_ARROW = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("row", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+FILTER_BITS = 1 << 23
 FLUSH = 1 << 21  # signatures that a task holds at most
 
 
 def _emit(buckets: int):
-    """Texts -> rows of documents (a: fingerprint) and blobs of signatures (a) with classes (b)."""
+    """Texts -> rows of documents (a: fingerprint, b: sketch) and blobs of signatures (a) with classes (b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -170,10 +171,11 @@ def _emit(buckets: int):
             )
 
         for b in batches:
-            marks, sizes = [], []
+            marks, sketches, sizes = [], [], []
             for s in shingle_sets(b.column("text")):
                 one, two = fingerprint(s)
                 marks.append(one.to_bytes(8, "big") + two.to_bytes(8, "big") if len(s) else None)
+                sketches.append(_sketch(s).tobytes() if len(s) else None)
                 sizes.append(len(s))
                 if len(s) and (one, two) not in seen:  # equal sets of a task: once
                     if len(seen) > 1 << 18:
@@ -188,7 +190,7 @@ def _emit(buckets: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x % buckets for x in range(len(marks))], pa.int32()), pa.array(marks, pa.binary()),
-                    pa.nulls(len(marks), pa.binary()), b.column("row"), b.column("id"), pa.array(sizes, pa.int64()),
+                    pa.array(sketches, pa.binary()), b.column("row"), b.column("id"), pa.array(sizes, pa.int64()),
                 ],
                 schema=SHUFFLED_ARROW,
             )
@@ -255,21 +257,48 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(grp), pa.array(np.concatenate(held)), pa.array(pivot)], ["grp", "x", "pivot"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, x, n, items (the set), sketch of every text."""
+def _slots(ids: pa.Array) -> np.ndarray:
+    """The bit of each id in the filter."""
+    known = ids.fill_null(0).to_numpy().astype(np.int64).view(U) + np.array(ids.is_null()).astype(U) * M2
+    return (mix(known + M1) & U(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for s in shingle_sets(b.column("text")):
-            if not len(s):
-                continue
-            one, two = fingerprint(s)
-            out.append((one.to_bytes(8, "big") + two.to_bytes(8, "big"), int(U(one) & LOW), len(s), s.astype("<u8").tobytes(), _sketch(s).tobytes()))
-        if out:
-            node, x, n, items, sketch = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.binary()), pa.array(x, pa.int64()), pa.array(n, pa.int64()), pa.array(items, pa.binary()), pa.array(sketch, pa.binary())],
-                ["node", "x", "n", "items", "sketch"],
-            )
+        at = _slots(b.column("id"))
+        yield pa.RecordBatch.from_arrays([pa.array((at >> 6).astype(np.int32)), pa.array((U(1) << (at & 63).astype(U)).view(np.int64))], ["word", "bits"])
+
+
+def _sets(wanted: np.ndarray):
+    """node and items (the set) of every text whose id has its bit in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = _slots(b.column("id"))
+            b = b.filter(pa.array((wanted[at >> 6] >> (at & 63).astype(U)) & U(1) == U(1)))
+            out = []
+            for s in shingle_sets(b.column("text")):
+                if len(s):
+                    one, two = fingerprint(s)
+                    out.append((one.to_bytes(8, "big") + two.to_bytes(8, "big"), s.astype("<u8").tobytes()))
+            if out:
+                node, items = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
+
+    return run
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """node and items of the wanted nodes (node, id); texts that can't be theirs stay where they are.
+
+    A filter of FILTER_BITS bits holds the hashes of the ids; what it lets through by chance is
+    dropped by the join, so its size matters for speed alone.
+    """
+    words = nodes.select("id").mapInArrow(_bits, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    wanted = np.zeros(FILTER_BITS // 64, np.int64)
+    wanted[words.column("word").to_numpy()] = words.column("bits").to_numpy()  # FILTER_BITS / 64 rows at most
+    found = docs.select("id", "text").mapInArrow(_sets(wanted.view(U)), "node binary, items binary")
+    return stage(found.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), name)
 
 
 def _sketch(s: np.ndarray) -> np.ndarray:
@@ -278,6 +307,19 @@ def _sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits) % 2 == 1)
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that the sketches can't tell apart."""
+    for b in batches:
+        ok = []
+        for x, y, n in zip(b.column("sketch").to_pylist(), b.column("sketch2").to_pylist(), b.column("n").to_pylist(), strict=True):
+            x, y = (np.frombuffer(v, np.uint8) for v in (x, y))
+            width = min(len(x), len(y))
+            x, y = (np.bitwise_xor.reduce(v.reshape(-1, width), 0) for v in (x, y))
+            ok.append(9 * int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= n)
+        keep = pa.array(ok, pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         a, o = ([np.frombuffer(v, "<u8") for v in b.column(n).to_pylist()] for n in ("items", "items2"))
@@ -285,33 +327,61 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, t in zip(a, o, strict=True):
             both = len(s) + len(t) - len(np.union1d(s, t))
             ok.append(100 * both >= 80 * (len(s) + len(t) - both))
-        yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(ok)), b.column("b").filter(pa.array(ok))], ["a", "b"])
+        keep = pa.array(ok, pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) of nodes that link, checked on the whole sets."""
-    left = sets.select(F.col("node").alias("a"), "items", F.col("n").alias("n1"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("items2"), F.col("n").alias("n2"))
-    joined = pairs.join(left, "a").join(right, "b").filter("5 * n1 >= 4 * n2 and 5 * n2 >= 4 * n1")
-    return stage(joined.select("a", "b", "items", "items2").mapInArrow(_verify, "a binary, b binary"), "verified")
-
-
-def _across(t: pa.Table) -> pa.Table:
-    """Pairs of a group's nodes from different components that the sketches can't tell apart."""
-    node, n = t.column("node").to_pylist(), t.column("n").to_numpy()
-    _, label = np.unique(np.array([x.hex() for x in t.column("label").to_pylist()]), return_inverse=True)
-    sketches = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
-    width = min(map(len, sketches))
-    folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
-    common = np.bincount(label).argmax()
-    out = []
-    for i in np.flatnonzero(label != common):
-        other = np.flatnonzero((label != label[i]) & ((label == common) | (label > label[i])) & (5 * n >= 4 * n[i]) & (4 * n <= 5 * n[i]))
-        if len(other):
-            apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
-            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other[9 * apart <= n[other] + n[i]].tolist()]
-    a, b = zip(*out, strict=True) if out else ((), ())
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("items2"))
+    joined = pairs.join(sets.withColumnRenamed("node", "a"), "a").join(right, "b")
+    return stage(joined.select("a", "b", "items", "items2").mapInArrow(_verify, "a binary, b binary"), name)
+
+
+def _labelled(names: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``names`` with the component of each node."""
+    found = names.join(components(links), "node", "left")
+    return stage(found.withColumn("label", F.coalesce("label", "node")), name)
+
+
+def _across(nearest: bool):
+    """Pairs of a group's nodes from different components that the sketches can't tell apart.
+
+    With ``nearest``, of each node's pairs with one component the closest only.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        node, n = t.column("node").to_pylist(), t.column("n").to_numpy()
+        _, label = np.unique(np.array([x.hex() for x in t.column("label").to_pylist()]), return_inverse=True)
+        sketches = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
+        width = min(map(len, sketches))
+        folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
+        common = np.bincount(label).argmax()
+        out = []
+        for i in np.flatnonzero(label != common):
+            other = np.flatnonzero((label != label[i]) & ((label == common) | (label > label[i])) & (5 * n >= 4 * n[i]) & (4 * n <= 5 * n[i]))
+            if len(other):
+                apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
+                near = 9 * apart <= n[other] + n[i]
+                other, apart = other[near], apart[near]
+                if nearest:
+                    order = np.lexsort((other, apart, label[other]))
+                    other = other[order]
+                    other = other[np.append(True, label[other][1:] != label[other][:-1])[: len(other)]]
+                out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other.tolist()]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
+def _crossing(groups: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
+    """The pairs of ``_across`` in the groups that lie in several components."""
+    named = groups.join(labels.select("x", "label"), "x")
+    mixed = named.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    rest = groups.select("grp", "x").join(mixed.select("grp"), "grp", "left_semi").join(labels, "x")
+    found = rest.select("grp", "node", "n", "sketch", "label").groupBy("grp").applyInArrow(_across(nearest), "a binary, b binary")
+    return stage(found.distinct(), "across")
 
 
 def link_numbered(docs: DataFrame) -> DataFrame:
@@ -320,39 +390,59 @@ def link_numbered(docs: DataFrame) -> DataFrame:
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = docs.select("row", "id", "text").mapInArrow(_emit(buckets), SHUFFLED)
     gathered = stage_numbered(signed.repartition("bucket").mapInArrow(_gather, SHUFFLED), "grp", "signatures")
-    feats = gathered.filter("n is not null").select("row", "id", "n", F.col("a").alias("node"))
-    groups = stage(gathered.filter("n is null").select("grp", "a").mapInArrow(_members, "grp long, x long, pivot long"), "groups")
-
-    # The sets of all classes that share a signature with another, each from one document's text.
-    wanted = groups.select("x").distinct()
-    first8 = F.conv(F.hex(F.substring("node", 9 - SIG_BYTES, SIG_BYTES)), 16, 10).cast("long")
-    classes = feats.filter("n > 0").groupBy("node").agg(F.min("id").alias("id")).withColumn("x", first8)
-    asked = classes.join(wanted, "x").select(F.col("id").alias("id2")).distinct()
-    texts = docs.select("id", "text").join(asked, F.expr("id <=> id2"), "left_semi")
-    sets = texts.mapInArrow(_sets, "node binary, x long, n long, items binary, sketch binary")
-    sets = stage(sets.join(wanted, "x", "left_semi").dropDuplicates(["node"]), "sets")
-
-    # First each class against one pivot.
-    pivot = groups.filter("x <> pivot").groupBy("x").agg(F.min("pivot").alias("p"))
-    names = stage(sets.select("node", "x", "n", "sketch"), "names")
-    pairs = (
-        pivot.join(names.select(F.col("node").alias("a"), "x"), "x")
-        .join(names.select(F.col("node").alias("b"), F.col("x").alias("p")), "p")
-        .select("a", "b")
-    )
-    links = _verified(pairs, sets)
-    labels = stage(names.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node")), "labels")
-
-    # Then the groups that lie in several components.
-    named = groups.join(labels.select("x", "label"), "x")
-    mixed = named.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    rest = groups.select("grp", "x").join(mixed.select("grp"), "grp", "left_semi").join(labels, "x")
-    across = rest.select("grp", "node", "n", "sketch", "label").groupBy("grp").applyInArrow(_across, "a binary, b binary").distinct()
-    more = _verified(across, sets)
-    final = components(links.unionByName(more))
+    feats = gathered.filter("n is not null").select("row", "id", "n", F.col("a").alias("node"), F.col("b").alias("sketch"))
+    alike = stage_numbered(gathered.filter("n is null").select("a").distinct(), "grp", "alike")  # many signatures, one group
+    groups = stage(alike.select("grp", "a").mapInArrow(_members, "grp long, x long, pivot long"), "groups")
+
+    # The classes that share a signature with another.
+    short = F.conv(F.hex(F.substring("node", 9 - SIG_BYTES, SIG_BYTES)), 16, 10).cast("long")
+    classes = feats.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+    names = stage(classes.withColumn("x", short).join(groups.select("x").distinct(), "x", "left_semi"), "classes")
+
+    # First the pairs of a class and the pivot of a group: each class with one of them, then, where
+    # that left them in different components, with the others.
+    one = names.select(F.col("node").alias("a"), "x", "n", "sketch")
+    other = names.select(F.col("node").alias("b"), F.col("x").alias("pivot"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+    pairs = groups.filter("x <> pivot").select("x", "pivot").distinct().join(one, "x").join(other, "pivot")
+    near = pairs.filter("5 * n >= 4 * n2 and 5 * n2 >= 4 * n").select("a", "b", (F.col("n") + F.col("n2")).alias("n"), "sketch", "sketch2")
+    star = stage(near.mapInArrow(_close, "a binary, b binary"), "star")
+    sets = _sets_of(docs, _wanted(star, names), "star_sets")
+    tried = star.groupBy("a").agg(F.min("b").alias("b"))
+    links = _verified(tried, sets, "links1")
+    labels = _labelled(names, links, "labels1")
+    left = star.join(tried, ["a", "b"], "left_anti")
+    links = _verified(_apart(left, labels), sets, "links2")
+    labels = _labelled(names, links.unionByName(_stars(labels)), "labels2")
+
+    # Then the groups that still lie in several components: each class with the nearest of another
+    # component, and at last whatever is left.
+    near = _crossing(groups, labels, True)
+    links = _verified(near, _sets_of(docs, _wanted(near, names), "near_sets"), "links3")
+    labels = _labelled(names, links.unionByName(_stars(labels)), "labels3")
+    across = _crossing(groups, labels, False).join(near, ["a", "b"], "left_anti")
+    links = _verified(across, _sets_of(docs, _wanted(across, names), "across_sets"), "links4")
+    final = components(links.unionByName(_stars(labels)))
     return feats.join(final, "node", "left").select("row", "id", "n", "node", F.coalesce("label", "node").alias("label"))
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """The components so far as links."""
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
+def _wanted(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """node and id of the nodes of the pairs."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    return nodes.join(names.select("node", "id"), "node")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different components."""
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
+    other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
+    return pairs.join(one, "a").join(other, "b").filter("l1 <> l2").select("a", "b")
+
+
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
     plain = docs.select(F.lit(None).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
