@@ -137,7 +137,7 @@ SHUFFLED = StructType(
 )
 SHUFFLED_ARROW = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("row", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 FILTER_BITS = 1 << 23
-FLUSH = 1 << 21  # signatures that a task holds at most
+FLUSH = 1 << 19  # signatures that a task holds at most
 
 
 def _emit(buckets: int):
