@@ -297,6 +297,54 @@ def q_documents_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("doc_id", F.explode(found).alias("mobile")).distinct()
 
 
+# Whitespace-delimited words: the phone candidates of a free text.
+_WORD = rf"{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}+"
+# A mobile of given columns as a whole field, in these forms by order key; the last is no mobile.
+_MOBILE_FORMS = [
+    # (Spark value from ten digits t, SQL value)
+    (lambda t: t, "t"),
+    (lambda t: F.concat(F.lit("0"), t), "'0' || t"),
+    (lambda t: F.concat(F.lit("+91"), t), "'+91' || t"),
+    (lambda t: F.concat(F.lit("+91 "), t), "'+91 ' || t"),
+    (lambda t: F.concat(F.lit("91"), t), "'91' || t"),
+    (lambda t: F.concat(F.substring(t, 1, 5), F.lit(" "), F.substring(t, 6, 5)), "substr(t, 1, 5) || ' ' || substr(t, 6, 5)"),
+    (lambda t: F.concat(F.substring(t, 1, 5), F.lit("-"), F.substring(t, 6, 5)), "substr(t, 1, 5) || '-' || substr(t, 6, 5)"),
+    (lambda t: F.concat(t, F.lit("123456")), "t || '123456'"),
+]
+_MOBILE_FORMS_SQL = "CASE o_orderkey % {n} {whens} END".format(
+    n=len(_MOBILE_FORMS), whens=" ".join(f"WHEN {i} THEN {sql}" for i, (_f, sql) in enumerate(_MOBILE_FORMS))
+)
+
+
+@register(
+    "whole_word_mobiles",
+    f"""WITH o AS (SELECT o_orderkey, '9' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS t FROM orders),
+w AS (
+  SELECT 'document' AS kind, doc_id AS id, unnest(regexp_extract_all(text, {O.lit(_WORD)})) AS field FROM documents
+  UNION ALL SELECT 'order', o_orderkey, {_MOBILE_FORMS_SQL} FROM o),
+c AS (SELECT kind, id, {O.compact('field')} AS t FROM w)
+SELECT DISTINCT kind, id, mobile FROM c, unnest({O.recover_mobiles('t')}) AS u(mobile)""",
+)
+def q_whole_word_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recovery operator on whole words of the documents and on whole fields of the orders."""
+    d = D.read_table(spark, sf_dir, "documents")
+    words = d.select(
+        F.lit("document").alias("kind"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.explode(F.regexp_extract_all("text", F.lit(_WORD), 0)).alias("field"),
+    )
+    ok = F.col("o_orderkey")
+    ten = F.concat(F.lit("9"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    form = F.lit(None).cast("string")
+    for i, (spark_fn, _sql) in enumerate(_MOBILE_FORMS):
+        form = F.when(ok % len(_MOBILE_FORMS) == i, spark_fn(ten)).otherwise(form)
+    fields = D.read_table(spark, sf_dir, "orders").select(
+        F.lit("order").alias("kind"), ok.cast("long").alias("id"), form.alias("field")
+    )
+    found = PH.recover_mobiles(TX.compact(F.col("field")))
+    return words.unionByName(fields).select("kind", "id", F.explode(found).alias("mobile")).distinct()
+
+
 # Whitespace-delimited words that contain '@': the e-mail candidates of a free text.
 _AT_WORD = rf"{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*@{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*"
 
