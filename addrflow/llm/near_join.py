@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with PartEnum signatures.
+"""N-gram Jaccard join with signatures of single ranges (PartEnum with subsets of size one).
 
 A document's set holds the distinct 5-word shingles of its whole text, as 64-bit hashes; two
 documents link when 100 |A n B| >= 80 |A u B|. Then the symmetric difference is at most
@@ -96,7 +96,7 @@ def _edges(n: int) -> np.ndarray:
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
-    """The PartEnum signatures of a sorted set."""
+    """The signatures of a sorted set: one for each single range, no subsets of ranges."""
     n, out = len(s), []
     if not n:
         return s
