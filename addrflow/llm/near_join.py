@@ -20,6 +20,9 @@ sketches, first the closest pair of a class and another component, then all that
 of the sets); what passes is checked on the sets themselves, and components are built again. So
 every linked pair is either checked or inside a component already.
 
+``class_links`` lists the links between classes instead, all of them checked, and ``link_counts`` their
+number a class; ``link`` and ``one_of_each`` take the cheaper way above.
+
 Nulls and odd input: a null or white text has an empty set and links with nothing. Fewer than five
 words: the whole sequence is the one shingle. A null id never is a component's smallest one unless
 all are null. Repeated rows are separate rows of one class. An empty table gives an empty result.
@@ -138,6 +141,7 @@ SHUFFLED = StructType(
 SHUFFLED_ARROW = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("row", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 FILTER_BITS = 1 << 23
 FLUSH = 1 << 19  # signatures that a task holds at most
+BLOCK_ROWS = 512  # classes of a group that are compared in one block
 
 
 def _emit(buckets: int):
@@ -384,8 +388,8 @@ def _crossing(groups: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
     return stage(found.distinct(), "across")
 
 
-def link_numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` has row (unique or null), id, text; returns row, id, n, node, label of every row."""
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents' classes (row, id, n, node, sketch), the groups (grp, x, pivot), and the classes in them."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = docs.select("row", "id", "text").mapInArrow(_emit(buckets), SHUFFLED)
@@ -398,6 +402,12 @@ def link_numbered(docs: DataFrame) -> DataFrame:
     short = F.conv(F.hex(F.substring("node", 9 - SIG_BYTES, SIG_BYTES)), 16, 10).cast("long")
     classes = feats.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
     names = stage(classes.withColumn("x", short).join(groups.select("x").distinct(), "x", "left_semi"), "classes")
+    return feats, groups, names
+
+
+def link_numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` has row (unique or null), id, text; returns row, id, n, node, label of every row."""
+    feats, groups, names = _grouped(docs)
 
     # First the pairs of a class and the pivot of a group: each class with one of them, then, where
     # that left them in different components, with the others.
@@ -425,6 +435,56 @@ def link_numbered(docs: DataFrame) -> DataFrame:
     return feats.join(final, "node", "left").select("row", "id", "n", "node", F.coalesce("label", "node").alias("label"))
 
 
+def _between(t: pa.Table) -> pa.Table:
+    """Pairs of nodes of one block, or of one block and another, that the sketches can't tell apart."""
+    node, n, part = t.column("node").to_pylist(), t.column("n").to_numpy(), t.column("part").to_numpy()
+    lo, hi = t.column("lo")[0].as_py(), t.column("hi")[0].as_py()
+    sketches = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
+    width = min(map(len, sketches))
+    folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
+    place, out = np.arange(len(node)), []
+    for i in np.flatnonzero(part == lo):
+        other = np.flatnonzero(((place > i) if lo == hi else (part == hi)) & (5 * n >= 4 * n[i]) & (4 * n <= 5 * n[i]))
+        apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
+        out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other[9 * apart <= n[other] + n[i]].tolist()]
+    a, b = zip(*out, strict=True) if out else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def class_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The join itself: a row for every pair of classes (equal sets) that links, each checked on the sets.
+
+    Columns: a, b (fingerprints, a <= b), a_id, b_id (smallest ids), a_rows, b_rows. A class of several
+    rows has a row with a = b: its rows link with each other. The pairs of a group are listed in blocks
+    of about ``block_rows`` classes, so no task holds a large group; their number is that of the join.
+    """
+    plain = docs.select(F.lit(None).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    feats, groups, names = _grouped(plain)
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    dealt = groups.join(sizes, "grp").withColumn("part", F.pmod(F.xxhash64("x", F.lit(1)), F.col("blocks")).cast("int"))
+    each = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    blocks = each.select("grp", "x", "part", F.least("part", "to").alias("lo"), F.greatest("part", "to").alias("hi"))
+    listed = blocks.join(names.select("x", "node", "n", "sketch"), "x")
+    found = listed.select("grp", "lo", "hi", "part", "node", "n", "sketch").groupBy("grp", "lo", "hi")
+    near = stage(found.applyInArrow(_between, "a binary, b binary").distinct(), "near")
+    pairs = _verified(near, _sets_of(plain, _wanted(near, names), "sets"), "class_links")
+    rows = stage(feats.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("rows")), "rows")
+    own = rows.filter("rows > 1").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    one = rows.select(F.col("node").alias("a"), F.col("id").alias("a_id"), F.col("rows").alias("a_rows"))
+    other = rows.select(F.col("node").alias("b"), F.col("id").alias("b_id"), F.col("rows").alias("b_rows"))
+    return pairs.unionByName(own).join(one, "a").join(other, "b").select("a", "b", "a_id", "b_id", "a_rows", "b_rows")
+
+
+def link_counts(links: DataFrame) -> DataFrame:
+    """Of ``class_links``: node, id, rows, links (other rows that each row of the class links with).
+
+    A class that links with nothing has no row.
+    """
+    one = links.select(F.col("a").alias("node"), F.col("a_id").alias("id"), F.col("a_rows").alias("rows"), F.expr("if(a = b, b_rows - 1, b_rows)").alias("k"))
+    other = links.filter("a <> b").select(F.col("b").alias("node"), F.col("b_id").alias("id"), F.col("b_rows").alias("rows"), F.col("a_rows").alias("k"))
+    return one.unionByName(other).groupBy("node", "id", "rows").agg(F.sum("k").alias("links"))
+
+
 def _stars(labels: DataFrame) -> DataFrame:
     """The components so far as links."""
     return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
