@@ -10,7 +10,8 @@ from the thresholds; documents with a tail probability of at least ``KEEP`` are
 The model is fitted on at most ``MAX_RATED`` rated documents (those whose ids a hash puts first);
 everything else, all texts and all documents, is scored whole. Features of the sample are made on
 the executors, the fit runs in one task on the sample alone, and the model (features that occur in
-at least ``MIN_DOCS`` documents of the sample and keep a weight) goes to the tasks that score.
+at least ``MIN_DOCS`` documents of the sample, are graded unlike the rest by ``SIGMAS`` standard
+deviations and keep a weight) goes to the tasks that score.
 
 Nulls and odd input: a null or empty text has no words and is scored from its shape features.
 Ratings with a null in any column are left out; a document rated twice counts twice. Without
@@ -32,7 +33,7 @@ from addrflow.llm._text import LETTER, U, buffers, rounds, table, word_hashes
 
 MAX_RATED = 20_000
 MIN_DOCS = 4
-SIGMAS = (3.5, 8.0)
+SIGMAS = 4.0
 KEEP = 0.5
 GRADES = 3
 HASH_BITS = 48
@@ -91,15 +92,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(grades: np.ndarray, rows: list[np.ndarray]) -> Model:
-    """Proximal AdaGrad on the ordinal likelihood; rows are processed in a fixed shuffled order."""
+def fit(grades: np.ndarray, rows: list[np.ndarray], sigmas: float = SIGMAS) -> Model:
+    """Proximal AdaGrad on the ordinal likelihood; rows are processed in a fixed shuffled order.
+
+    ``sigmas`` is the evidence that a feature needs, whatever the number of ratings.
+    """
     wide = np.concatenate(rows) if rows else np.zeros(0, U)
     keys, docs = np.unique(wide, return_counts=True)
     keys, docs = keys[docs >= MIN_DOCS], docs[docs >= MIN_DOCS]
     if len(keys):
         # Only features whose documents are graded unlike the rest, by so many standard deviations.
         telling = np.zeros(len(keys), bool)
-        sigmas = np.clip(0.09 * np.sqrt(len(rows)), *SIGMAS)  # the more ratings, the surer
         place = np.minimum(np.searchsorted(keys, wide), len(keys) - 1)
         found = keys[place] == wide
         grade = np.repeat(grades, [len(r) for r in rows])
