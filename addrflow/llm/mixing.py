@@ -85,21 +85,26 @@ def mix(
     text_col: str = "text",
     block_rows: int = BLOCK_ROWS,
     with_text: bool = True,
+    tokens_col: str | None = None,
 ) -> DataFrame:
     """Columns: rec (the input row; id and source only if not ``with_text``), n_tokens, weight,
     epoch, block, place; a row for every reading of a document.
 
+    Tokens are those of ``tokens_col`` (null: none), or else the words of the text: runs of anything
+    but white space, so a text without spaces counts as one.
+
     Sorting a source's rows by (epoch, place) gives its training order: ``place`` holds the rank
     of the block in that epoch and the hash order within the block.
     """
     source = F.col(source_col)
+    tokens = words(F.col(text_col)) if tokens_col is None else F.coalesce(F.col(tokens_col).cast("long"), F.lit(0).cast("long"))
     rec = F.struct("*") if with_text else F.struct(id_col, source_col)
     numbered = stage_numbered(
         docs.select(
             rec.alias("rec"),
             F.col(id_col).alias("id"),
             F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source.cast("string"))).alias("src"),
-            words(F.col(text_col)).alias("n_tokens"),
+            tokens.alias("n_tokens"),
             number(F.lit(seed), F.col(id_col)).alias("at"),
         ),
         "row",
