@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.llm import chat_format, exact_dedup, knn_join, mixing, near_join, packing, quality, suffix_dedup, token_counts, url_filter
+from addrflow.llm import chat_format, exact_dedup, knn_join, lexical, mixing, near_join, packing, quality, suffix_dedup, token_counts, url_filter
 from addrflow.llm._io import read_documents, stage_numbered
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -66,8 +66,16 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_suffix_array, op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op7_token_counts, op8_knn_join, op9_quality, op10_best_fit_packing)
+    f.__name__: f
+    for f in (
+        op1_suffix_array, op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op7_token_counts,
+        op8_knn_join, op9_quality, op10_best_fit_packing, op12_lexical_search,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -155,3 +163,22 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+ORACLE_SQL["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+i AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS c FROM i GROUP BY ALL),
+total AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM d WHERE len(t) > 0),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, total GROUP BY term),
+s AS (
+  SELECT i, item_id, r, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
