@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.llm import chat_format, exact_dedup, knn_join, lexical, mixing, near_join, packing, quality, suffix_dedup, token_counts, url_filter
+from addrflow.llm import chat_format, exact_dedup, knn_join, lexical, minhash, mixing, near_join, packing, quality, repair, suffix_dedup, token_counts, url_filter
 from addrflow.llm._io import read_documents, stage_numbered
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -66,15 +66,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.link(read_documents(spark, sf_dir))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.report_all(rows, repair.repair(repair.damage(rows)).report)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_array, op2_chat_formatting, op3_url_filter, op4_ngram_jaccard, op5_mixing, op6_exact_dedup, op7_token_counts,
-        op8_knn_join, op9_quality, op10_best_fit_packing, op12_lexical_search,
+        op8_knn_join, op9_quality, op10_best_fit_packing, op11_minhash, op12_lexical_search,
+        op13_conversation_repair,
     )
 }
 
@@ -164,6 +174,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+ORACLE_SQL["op11_minhash"] = (
+    ORACLE_SQL["op4_ngram_jaccard"].replace("100 * n >= 80 *", "100 * n >= 85 *").replace("component_id FROM sets", "component_id, doc_id = component_id AS kept FROM sets")
+)
+
 ORACLE_SQL["op12_lexical_search"] = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
