@@ -108,8 +108,8 @@ def _models(grams: DataFrame, order: int) -> DataFrame:
     )
 
 
-def _threshold(scored: DataFrame) -> float:
-    """The bin edge of least balanced error between ruled URLs of both kinds."""
+def _threshold(scored: DataFrame) -> float | None:
+    """The bin edge of least balanced error between ruled URLs of both kinds; None without one of them."""
     step = SPAN / BINS
     at = F.least(F.greatest(F.floor((F.col("own") + SPAN / 2) / step), F.lit(0)), F.lit(BINS - 1)).cast("int")
     rows = (
@@ -121,7 +121,7 @@ def _threshold(scored: DataFrame) -> float:
     )
     allowed, blocked = sum(r["a"] for r in rows), sum(r["b"] for r in rows)
     if not allowed or not blocked:
-        return 0.0
+        return None
     best, found, a, b = 2.0, 0.0, 0, 0
     for r in rows:  # threshold below this bin: a allowed URLs lie under it, blocked - b above
         error = a / allowed + (blocked - b) / blocked
@@ -153,6 +153,8 @@ def judge(pages: DataFrame, rules=RULES, order: int = 4, id_col: str = "page_id"
         "scores",
     )
     limit = _threshold(scored)
+    if limit is None:  # nothing to compare with
+        limit, scored = 0.0, scored.withColumn("own", F.lit(0.0))
     judged = scored.select(
         F.col("url").alias("u"),
         F.coalesce("verdict", F.when(F.col("own") >= limit, "allow").otherwise("block")).alias("verdict"),

@@ -94,3 +94,25 @@ def test_empty_table_and_one_kind(spark):
     assert L.judge(spark.createDataFrame([], schema)).collect() == []
     only = L.judge(spark.createDataFrame([(1, "http://a.org/x", None), (2, None, None)], schema)).collect()
     assert sorted((r.page_id, r.verdict) for r in only) == [(1, "allow"), (2, "allow")]
+
+
+def test_threshold_equals_brute_force(spark):
+    """The calibrated threshold, from an own count of both kinds' errors at every bin edge."""
+    urls, order = _urls(), 3
+    distinct = {u or "" for u in urls}
+    ruled = {u: rule_of(*host_path(u))[1] for u in distinct}
+    half = {r.url: r.half for r in spark.createDataFrame([(u,) for u in distinct], "url string").selectExpr("url", "cast(pmod(xxhash64(url), 2) as int) as half").collect()}
+    models = {v: [_counts([u for u in distinct if ruled[u] == kind and (v == 2 or half[u] == 1 - v)], order) for kind in ("allow", "block")] for v in (0, 1, 2)}
+    own = {u: _score(*models[2 if ruled[u] is None else half[u]], u, order) for u in distinct}
+    good = [own[u] for u in distinct if ruled[u] == "allow"]
+    bad = [own[u] for u in distinct if ruled[u] == "block"]
+    step = L.SPAN / L.BINS
+    edges = [b * step - L.SPAN / 2 for b in range(L.BINS)]
+    errors = [(sum(x < e for x in good) / len(good) + sum(x >= e for x in bad) / len(bad), e) for e in edges]
+    least = min(errors)[0]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(sorted(distinct))], "page_id long, url string")
+    free = [(own[u], r.verdict) for u, r in zip(sorted(distinct), L.judge(pages, order=order).orderBy("page_id").collect(), strict=True) if ruled[u] is None]
+    low = max((x for x, v in free if v == "block"), default=-L.SPAN)
+    high = min((x for x, v in free if v == "allow"), default=L.SPAN)
+    # Some edge of least error lies where the verdicts change.
+    assert any(e <= least + 1e-9 and low - 1e-6 <= edge <= high + 1e-6 for e, edge in errors)
