@@ -6,8 +6,10 @@ p, |q.x - q.p| <= |q| |x - p|; so the summaries give every query a score that k
 reach, and every group a score that it cannot exceed. A query is replicated only to the groups that
 may hold one of its k best; each group is solved locally, and the local winners are merged.
 
-Large groups (a very common vector) are split into blocks of about ``block_rows`` by a hash of the
-row, so no task gets an unbounded group. Pivots (at most ``max_pivots`` for each dimension) and
+Both sides of a group are split into blocks of about ``block_rows`` by a hash of the row: its vectors
+(a very common vector), and the queries that reach it, which are counted first. Every block of vectors
+meets every block of queries, so no task gets an unbounded group. The number of pivots grows with the
+square root of the rows, at most ``max_pivots`` and ``PIVOT_BYTES`` for each dimension; pivots and
 summaries (one per pivot) are the only data that go through the driver.
 
 Components are quantised as floor(scale * x) of the double value. Nulls and odd input: vectors that
@@ -27,6 +29,8 @@ from pyspark.sql.window import Window
 from addrflow.llm._io import stage_numbered
 
 EXACT = 2.0**52  # doubles hold integers exactly up to here
+PIVOT_BYTES = 8 << 20  # of the pivots of a dimension
+ENTRIES = 1 << 22  # of a matrix of bounds, at once
 SLACK = 1e-6  # bounds are widened by this share against rounding
 
 
@@ -58,7 +62,7 @@ def top_k(
     scale: float = 256.0,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
-    max_pivots: int = 64,
+    max_pivots: int = 1024,
     block_rows: int = 16384,
 ) -> DataFrame:
     """query_id, rank (from 1), id, score; ``is_query`` is a condition on the id column."""
@@ -77,20 +81,24 @@ def top_k(
 
     # The pivots: for each dimension, the vectors that a hash puts first.
     sizes = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    wanted = {d: max(1, min(max_pivots, int(n**0.5), PIVOT_BYTES // (8 * max(1, d)))) for d, n in sizes.items()}
     first = Window.partitionBy("dim").orderBy("h", "row")
     hashed = rows.withColumn("h", F.xxhash64("vec"))
+    slots = max(wanted.values(), default=1)
     chosen = (
-        hashed.groupBy("dim", F.pmod("h", F.lit(max_pivots)).alias("slot"))
-        .agg(F.min(F.struct("h", "row", "vec")).alias("v"))
-        .select("dim", "v.h", "v.row", "v.vec")
+        hashed.groupBy("dim", F.pmod("h", F.lit(slots)).alias("slot"))
+        .agg(F.min(F.struct("h", "row")).alias("v"))
+        .select("dim", "v.h", "v.row")
         .withColumn("nth", F.row_number().over(first))
-        .collect()  # max_pivots rows a dimension at most
     )
+    most = F.coalesce(*[F.when(F.col("dim") == d, F.lit(n)) for d, n in wanted.items()], F.lit(0))
+    kept = chosen.filter(F.col("nth") <= most).select("row", "nth")
     pivots: dict[int, np.ndarray] = {}
-    for d, n in sizes.items():
-        own = sorted((r["nth"], r["vec"]) for r in chosen if r["dim"] == d)
-        most = max(1, min(max_pivots, int(n**0.5)))
-        pivots[d] = np.floor(np.array([v for _, v in own[:most]], float).reshape(-1, d) * scale)
+    found: dict[int, list] = {}
+    for r in rows.join(kept, "row").select("dim", "nth", "vec").collect():  # PIVOT_BYTES a dimension at most
+        found.setdefault(r["dim"], []).append((r["nth"], r["vec"]))
+    for d, own in found.items():
+        pivots[d] = np.floor(np.array([v for _, v in sorted(own)], float).reshape(len(own), d) * scale)
 
     def assign(batches):
         for b in batches:
@@ -133,40 +141,69 @@ def top_k(
         blocks = -(-r["n"] // block_rows)
         summaries.setdefault(r["dim"], []).append((r["cell"], blocks, r["far"], near[r["dim"], r["cell"]]))
 
-    def replicate(batches):
+    def reached(part: pa.RecordBatch, d: int):
+        """(first query, queries, index of a summary) that may meet, for ranges of the queries."""
+        cells = summaries[d]
+        held, far = np.array([c for c, _, _, _ in cells]), np.array([s[2] for s in cells])
+        step = max(1, ENTRIES // (len(cells) * (k + 1)))
+        every = _matrix(part.column("x"), d)
+        for lo in range(0, len(every), step):
+            x = every[lo : lo + step]
+            norm = np.sqrt((x**2).sum(1))
+            at = x @ pivots[d][held].T
+            slack = SLACK * (1 + np.abs(at))
+            sure = np.concatenate([at[:, [j]] - norm[:, None] * np.array(s[3])[None, :] - slack[:, [j]] for j, s in enumerate(cells)], 1)
+            # One of the k + 1 may be the query itself.
+            least = -np.partition(-sure, k, 1)[:, k] if sure.shape[1] > k else np.full(len(x), -np.inf)
+            q, j = np.nonzero(at + norm[:, None] * far[None, :] + slack >= least[:, None])
+            yield lo + q, j
+
+    def reach_counts(batches):
+        """(dim, cell, n): the queries of a task that reach each group."""
+        counts: dict = {}
         for b in batches:
             dims = b.column("dim").to_numpy()
-            for d in np.unique(dims):
-                part = b.filter(pa.array(dims == d))
-                x = _matrix(part.column("x"), d)
-                norm = np.sqrt((x**2).sum(1))
-                cells = summaries[d]
-                at = x @ pivots[d][[c for c, _, _, _ in cells]].T
-                slack = SLACK * (1 + np.abs(at))
-                sure = np.concatenate([at[:, [j]] - norm[:, None] * np.array(s[3])[None, :] - slack[:, [j]] for j, s in enumerate(cells)], 1)
-                # One of the k + 1 may be the query itself.
-                least = -np.sort(-sure, 1)[:, k] if sure.shape[1] > k else np.full(len(x), -np.inf)
-                reach = at + norm[:, None] * np.array([s[2] for s in cells])[None, :] + slack
-                q, j = np.nonzero(reach >= least[:, None])
-                times = np.array([s[1] for s in cells])[j]
-                q, j = np.repeat(q, times), np.repeat(j, times)
-                block = np.concatenate([np.arange(t) for t in times]) if len(times) else np.zeros(0, int)
-                own = part.take(pa.array(q))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(q), d, np.int32)), pa.array(np.array([s[0] for s in cells], np.int32)[j]),
-                        pa.array(block.astype(np.int32)), own.column("row"), own.column("id"), own.column("x"),
-                    ],
-                    ["dim", "cell", "block", "row", "id", "x"],
-                )
+            for d in np.unique(dims).tolist():
+                for _, j in reached(b.filter(pa.array(dims == d)), d):
+                    counts[d] = counts.get(d, 0) + np.bincount(j, minlength=len(summaries[d]))
+        out = [(d, summaries[d][j][0], n) for d, each in counts.items() for j, n in enumerate(each.tolist()) if n]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64()), strict=True)], ["dim", "cell", "n"])
+
+    asked = placed.filter("q")
+    counted = asked.mapInArrow(reach_counts, "dim int, cell int, n long").groupBy("dim", "cell").agg(F.sum("n").alias("n"))
+    query_blocks = {(r["dim"], r["cell"]): -(-r["n"] // block_rows) for r in counted.collect()}  # one row a pivot
 
-    queries = placed.filter("q").mapInArrow(replicate, "dim int, cell int, block int, row long, id long, x binary")
+    def replicate(batches):
+        for b in batches:
+            dims = b.column("dim").to_numpy()
+            for d in np.unique(dims).tolist():
+                part, cells = b.filter(pa.array(dims == d)), summaries[d]
+                row = part.column("row").to_numpy()
+                ways = np.array([query_blocks.get((d, s[0]), 1) for s in cells])
+                for q, j in reached(part, d):
+                    times = np.array([s[1] for s in cells])[j]
+                    q, j = np.repeat(q, times), np.repeat(j, times)
+                    block = np.concatenate([np.arange(t) for t in times]) if len(times) else np.zeros(0, int)
+                    own = part.take(pa.array(q))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(q), d, np.int32)), pa.array(np.array([s[0] for s in cells], np.int32)[j]),
+                            pa.array(block.astype(np.int32)), pa.array((row[q] * 2654435761 % (1 << 32) % ways[j]).astype(np.int32)),
+                            own.column("row"), own.column("id"), own.column("x"),
+                        ],
+                        ["dim", "cell", "block", "queries", "row", "id", "x"],
+                    )
+
+    queries = asked.mapInArrow(replicate, "dim int, cell int, block int, queries int, row long, id long, x binary")
     n_blocks = table.sparkSession.createDataFrame(
-        [(d, s[0], s[1]) for d, cells in summaries.items() for s in cells] or [], "dim int, cell int, blocks int"
+        [(d, s[0], s[1], query_blocks[d, s[0]]) for d, cells in summaries.items() for s in cells if (d, s[0]) in query_blocks] or [],
+        "dim int, cell int, blocks int, ways int",
     )  # one row per pivot at most
     data = placed.join(F.broadcast(n_blocks), ["dim", "cell"]).select(
-        "dim", "cell", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"), "row", "id", "x"
-    )
+        "dim", "cell", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.expr("sequence(0, ways - 1)")).alias("queries"), "row", "id", "x",
+    )
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {n: [] for n in ("query_row", "query_id", "id", "row", "score")}
@@ -186,7 +223,7 @@ def top_k(
                         out[name].append(v)
         return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64()) for n, v in out.items()})
 
-    keys = ["dim", "cell", "block"]
+    keys = ["dim", "cell", "block", "queries"]
     local = (
         queries.groupBy(keys)
         .cogroup(data.groupBy(keys))

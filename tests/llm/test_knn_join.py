@@ -58,3 +58,29 @@ def test_clustered_vectors_need_few_replicas_and_stay_exact(spark):
 
 def test_empty_table(spark):
     assert K.top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_a_hot_cell_with_most_queries_stays_exact_and_its_groups_bounded(spark, monkeypatch):
+    """Nearly all vectors in one cell, and the queries that reach it: both sides in blocks."""
+    rng = random.Random(4)
+    rows = [(i, [1.0 + rng.gauss(0, 0.01) for _ in range(4)]) for i in range(600)]
+    rows += [(10_000 + i, [30.0 * rng.choice([-1, 1]) + rng.gauss(0, 1) for _ in range(4)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    is_query = F.col("vec_id") % 2 == 0
+    got = K.top_k(df, is_query, block_rows=40, max_pivots=2)
+    want = {}
+    ok = [(i, [math.floor(256 * F_(x)) for x in v]) for i, v in rows]
+    for i, v in ok:
+        if i % 2 == 0:
+            want[i] = [(j, s) for s, j in sorted((-sum(x * y for x, y in zip(v, w, strict=True)), j) for j, w in ok if j != i)[:5]]
+    found = {}
+    for r in sorted(got.collect(), key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(r.query_id, []).append((r.vec_id, -r.score))
+    assert found == want
+
+
+def test_vectors_without_components(spark):
+    """Dimension 0: every score is 0, ties go by id."""
+    df = spark.createDataFrame([(i, []) for i in range(0, 120, 10)], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in K.top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()]
+    assert got[:5] == [(0, n, 10 * n, 0) for n in range(1, 6)] and len(got) == 15
