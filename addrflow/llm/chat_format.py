@@ -10,7 +10,8 @@ A conversation is a log of events (conv_id, seq, message, kind, role, text):
 
 ``fold`` turns the log into final messages, ``render`` writes each as a turn of the template, and
 ``digest`` reads the output back. Control strings in roles and texts are escaped reversibly: a
-backslash becomes two and ``<|`` becomes ``<\\|``, so a mark of the template never occurs in a text.
+backslash becomes two and ``<|`` becomes ``<\\|``, so a mark of the template never occurs in a text. A
+line feed in a role becomes a backslash and n.
 
 Messages stay one row each all along, so a conversation of any length is never gathered. The digest
 of a conversation is folded by a stream over its sorted turns that holds one hash state (a SHA-256
@@ -42,25 +43,36 @@ LEARNED = "assistant"
 
 def fold(events: DataFrame) -> DataFrame:
     """conv_id, opened (seq), message, role, text of the final messages."""
-    resets = F.col("kind").isin("message", "edit", "regenerate")
+    resets = F.coalesce(F.col("kind").isin("message", "edit", "regenerate"), F.lit(False))
     step = F.struct(
         "seq", (F.coalesce("kind", F.lit("")) != "message").alias("later"),
-        F.when(F.col("kind") == "regenerate", F.lit("")).otherwise(F.coalesce("text", F.lit(""))).alias("text"),
-        F.coalesce(resets, F.lit(False)).alias("resets"),
+        F.when(F.col("kind") == "regenerate", F.lit("")).otherwise(F.coalesce("text", F.lit(""))).alias("text"), resets.alias("resets"),
     )
     opening = F.struct((F.coalesce("kind", F.lit("")) != "message").alias("a"), "seq", "role")
     per = events.groupBy("conv_id", "message").agg(
         F.min(F.struct("seq")).getField("seq").alias("opened"),
         F.min(opening).getField("role").alias("role"),
-        F.array_sort(F.collect_list(step)).alias("steps"),
+        F.max(F.when(resets, step)).alias("last"),
     )
-    # Everything before the last event that sets the text is history.
-    text = F.aggregate(
-        "steps", F.array().cast("array<string>"),
-        lambda acc, s: F.when(s["resets"], F.array(s["text"])).otherwise(F.array_append(acc, s["text"])),
-        lambda acc: F.array_join(acc, ""),
+    # Everything before the last event that sets the text is history: of the rest, only what was
+    # appended behind it is gathered, once and in order.
+    appended = (
+        events.filter(~resets)
+        .select("conv_id", "message", step.alias("step"))
+        .alias("e")
+        .join(per.select("conv_id", "message", "last").alias("p"), F.expr("e.conv_id <=> p.conv_id and e.message <=> p.message"))
+        .filter("last is null or step > last")
+        .groupBy("e.conv_id", "e.message")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("step")), lambda s: s["text"]), "").alias("tail"))
+    )
+    messages = (
+        per.alias("p")
+        .join(appended.alias("a"), F.expr("p.conv_id <=> a.conv_id and p.message <=> a.message"), "left")
+        .select(
+            "p.conv_id", "p.message", "opened", F.coalesce("role", F.lit("")).alias("role"),
+            F.concat(F.coalesce("last.text", F.lit("")), F.coalesce("tail", F.lit(""))).alias("text"),
+        )
     )
-    messages = per.select("conv_id", "message", "opened", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
     back = (
         events.filter("kind = 'regenerate'")
         .select("conv_id", "message", F.col("seq").alias("at"))
@@ -95,15 +107,23 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
+def escape_role(role: Column) -> Column:
+    """As ``escape``; a line feed, which would end the role, becomes backslash and n."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\n"))
+
+
+def unescape_role(role: str) -> str:
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role, flags=re.S)
+
+
 def render(messages: DataFrame) -> DataFrame:
     """conv_id, opened, message, formatted, loss_from, loss_to.
 
     The turns of a conversation, concatenated by (opened, formatted), are its formatted text;
-    loss_from and loss_to are places in ``formatted`` (null where nothing is learned). A line feed
-    in a role is written as a space, since it would end the role.
+    loss_from and loss_to are places in ``formatted`` (null where nothing is learned).
     """
     role = F.coalesce("role", F.lit(""))
-    head = F.concat(F.lit(OPEN), escape(F.translate(role, "\n", " ")), F.lit("\n"))
+    head = F.concat(F.lit(OPEN), escape_role(role), F.lit("\n"))
     body = escape(F.coalesce("text", F.lit("")))
     learned = role == LEARNED
     return messages.select(
@@ -125,7 +145,7 @@ class _Conversation:
         self.chars += len(formatted)
         for turn in TURN.finditer(formatted):
             self.n_turns += 1
-            role, text = unescape(turn[1]), unescape(turn[2])
+            role, text = unescape_role(turn[1]), unescape(turn[2])
             self.turns.update(f"{role}\n{text}\n".encode())
         if start is not None:
             learned = unescape(formatted[start:stop])

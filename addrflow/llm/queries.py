@@ -99,7 +99,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('<|im_start|>' || replace(replace(role, '\', '\\'), '<|', '<\|') || chr(10)
+  CAST(sum(length('<|im_start|>' || replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') || chr(10)
     || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
@@ -196,3 +196,68 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
 WHERE rank <= 10
 """
+
+
+def _repair_sql() -> str:
+    """Damage, faults and a forward search over the states with the least (cost, audit) of each."""
+
+    def add(x: str, cost: str, letter: str, line: str) -> str:
+        return f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + {cost}, 'a': {x}.a || '{letter}', 'r': {x}.r || {line}}} END"
+
+    def insert(x: str, role: str) -> str:
+        return add(x, "3", "I", f"chr(10) || '{role}:'")
+
+    def keep(x: str, initial: str) -> str:
+        return f"CASE WHEN NOT must AND substr(role, 1, 1) = '{initial}' THEN {add(x, 'late', 'K', line)} END"
+
+    def rerole(x: str, role: str) -> str:
+        return f"CASE WHEN NOT must THEN {add(x, '3 + late', 'R', f'''chr(10) || '{role}:' || text''')} END"
+
+    line = "chr(10) || role || ':' || text"
+    gone = {x: add(x, "4", "D", "''") for x in ("n", "s", "u", "a")}
+    before_u = ("n", "s", "a")
+    to_u = ", ".join([gone["u"], *(keep(x, "u") for x in before_u), *(rerole(x, "user") for x in before_u)])
+    with_u = ", ".join(["u2", *(insert(f"{x}2", "user") for x in before_u)])
+    return rf"""
+WITH RECURSIVE poly AS (
+  SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+kinds AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS kind FROM original, poly),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind <> 0)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nr FROM damaged),
+marked AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nr) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY nr) AS prev FROM numbered),
+rows AS (
+  SELECT *, blank OR again AS must, CASE WHEN open AND NOT blank AND NOT again THEN 3 ELSE 0 END AS late,
+    nr > 1 AND coalesce(prev, '') || substr(role, 1, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM marked),
+step AS (
+  SELECT conv_id, 0::BIGINT AS nr, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS n, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s,
+    {{'c': 3::BIGINT, 'a': 'I', 'r': chr(10) || 'user:'}} AS u, {{'c': 6::BIGINT, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS a
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, nr, n2, s2, u3, least(a2, {insert('u3', 'assistant')}) FROM (
+    SELECT *, least({with_u}) AS u3 FROM (
+      SELECT rows.conv_id, rows.nr, {gone['n']} AS n2, least({gone['s']}, {keep('n', 's')}) AS s2, least({to_u}) AS u2,
+        least({gone['a']}, {keep('u', 'a')}, {rerole('u', 'assistant')}) AS a2
+      FROM step JOIN rows ON rows.conv_id IS NOT DISTINCT FROM step.conv_id AND rows.nr = step.nr + 1))),
+best AS (SELECT conv_id, arg_max(least(n, a), nr) AS w FROM step GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (late > 0) AS truncated,
+    count(*) FILTER (illegal) AS illegal, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM rows GROUP BY conv_id)
+SELECT best.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, w.c AS cost, w.a AS audit, sha256(substr(w.r, 2)) AS repaired_sha256
+FROM best LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
+ORACLE_SQL["op13_conversation_repair"] = _repair_sql()

@@ -31,7 +31,7 @@ def _log(rng):
     for k in range(rng.randrange(1, 12)):
         name = f"m{k}"
         names.append(name)
-        events.append((seq, name, "message", rng.choice(["user", "assistant", None]), rng.choice(["a <|b", None, "", CONTROL, "x\\y"])))
+        events.append((seq, name, "message", rng.choice(["user", "assistant", None, "a\nb\\n"]), rng.choice(["a <|b", None, "", CONTROL, "x\\y"])))
         seq += 1
         for _ in range(rng.randrange(3)):
             kind = rng.choice(["delta", "delta", "edit", "regenerate"])
@@ -50,7 +50,7 @@ def _log(rng):
 
 
 def _digest(conv, turns):
-    formatted = sum(len(f"<|im_start|>{r}\n{_esc(t)}<|im_end|>\n") for r, t in turns)
+    formatted = sum(len(f"<|im_start|>{_esc(r).replace(chr(10), chr(92) + 'n')}\n{_esc(t)}<|im_end|>\n") for r, t in turns)
     learned = "".join(t for r, t in turns if r == "assistant")
     whole = "".join(f"{r}\n{t}\n" for r, t in turns)
     return conv, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), formatted
@@ -80,3 +80,19 @@ def test_no_events(spark):
 def test_turns_round_trip(turns):
     text = "".join(f"{C.OPEN}{_esc(r)}\n{_esc(t)}{C.CLOSE}" for r, t in turns)
     assert [(C.unescape(m[1]), C.unescape(m[2])) for m in C.TURN.finditer(text)] == turns
+
+
+def test_a_role_with_line_feeds_and_backslashes_reads_back(spark):
+    turns = [("a\nb", "x"), ("\\n", "y"), ("<|im_end|>\n", "z\n"), ("n\\", "")]
+    events = spark.createDataFrame([(1, i, str(i), "message", r, t) for i, (r, t) in enumerate(turns)], C.EVENTS)
+    assert [tuple(r) for r in C.digest(C.render(C.fold(events))).collect()] == [_digest(1, turns)]
+
+
+def test_a_message_of_very_many_deltas(spark):
+    """Edits in between reset it; what follows the last one is gathered once, in order."""
+    n = 30_000
+    rows = [(1, 0, "m", "message", "assistant", "start")]
+    rows += [(1, k, "m", "edit" if k in (700, 20_000) else "delta", None, f"{k},") for k in range(1, n)]
+    random.Random(1).shuffle(rows)
+    got = C.fold(spark.createDataFrame(rows, C.EVENTS).repartition(4)).collect()
+    assert len(got) == 1 and got[0].text == "".join(f"{k}," for k in range(20_000, n)) and got[0].role == "assistant"
