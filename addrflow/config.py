@@ -67,6 +67,10 @@ class JobConfig:
     recover_mobiles: bool = True
     sync_status: str = DEFAULT_SYNC_STATUS
     key_path: KeyPathFormat = field(default_factory=KeyPathFormat)
+    # Reduce the address and order history to what the window can meet before it is shuffled: the words
+    # of the Bloom filter (operators/reduce.py). None: no reduction. Worth it where the history is
+    # much larger than the window; it costs one more narrow scan of the window's shipments.
+    reduce_history_words: int | None = None
     # Optional explicit partition count before the row transform (None: leave it to AQE).
     transform_partitions: int | None = None
     # Format of timestamp columns rendered as text; None = Spark's own rendering

@@ -15,6 +15,13 @@ ZERO_PREFIXED = r"^0\p{Nd}{10}\z"  # 0 + ten digits (11 chars, all digits)
 PLUS_CC_PREFIXED = r"^\+91\p{Nd}{10}\z"  # +91 + ten digits
 CC_PREFIXED = r"^91\p{Nd}{10}\z"  # 91 + ten digits
 
+# Numbers in a free text. A token is a word with a letter, or a number: digits, spaces and hyphens, with
+# the word glued to its end, if any. Both engines read these alike: no lookaround, no repeated group
+# (which would recurse on a long list of numbers).
+NUMBER_TOKEN = r"[\p{L}\p{Nd}]*\p{L}[\p{L}\p{Nd}]*|\+?\p{Nd}[\p{Nd} -]*(?:\p{L}[\p{L}\p{Nd}]*)?"
+GLUED_WORD = r"\p{Nd}*\p{L}[\p{L}\p{Nd}]*\z"  # a token's part that belongs to a word
+NUMBER_BREAK = r"[ -][ -]+"  # two separators end a number
+
 
 def digit_count(c: Column) -> Column:
     """Number of Unicode decimal digits."""
@@ -56,3 +63,21 @@ def mobile_set(first: Column, second: Column, recover: bool = True) -> Column:
     if not recover:
         return F.array().cast("array<string>")
     return F.array_distinct(F.concat(recover_mobiles(first), recover_mobiles(second)))
+
+
+def number_runs(text: Column) -> Column:
+    """array<string>: the maximal number runs of a free text.
+
+    A run is digits with single spaces or hyphens between them (and a leading +). Neither side touches
+    another digit, nor a letter: codes such as ``a9876543210f`` hold no number. Runs are whole, so a longer
+    number never gives a shorter one.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(NUMBER_TOKEN), F.lit(0))
+    numbers = F.transform(tokens, lambda t: F.regexp_replace(t, GLUED_WORD, ""))
+    runs = F.flatten(F.transform(F.filter(numbers, lambda t: t != ""), lambda t: F.split(t, NUMBER_BREAK)))
+    return F.filter(runs, lambda r: r != "")
+
+
+def text_mobiles(text: Column) -> Column:
+    """array<string>: the mobiles of a free text, each number run recovered as a whole field."""
+    return F.array_distinct(F.flatten(F.transform(number_runs(text), recover_mobiles)))

@@ -9,10 +9,11 @@ from addrflow.config import JobConfig
 from addrflow.functions.email import email_set
 from addrflow.functions.phone import mobile_set
 from addrflow.functions.text import clean_field, compact, normalize_country, remove_control
+from addrflow.operators.counting import counts_by
 from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import is_cipher_row
 from addrflow.operators.lookup import with_pincode_check
-from addrflow.schema import CONTACT_FIELDS
+from addrflow.schema import CONTACT_FIELDS, ENCRYPTED_FIELDS
 
 _FIELD_CLEANUP = ("address_line1", "address_line2", "city", "district", "state_code")
 
@@ -25,8 +26,8 @@ def clean_rows(df: DataFrame) -> DataFrame:
     return df.withColumns(updates)
 
 
-def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
-    """One row per (mobile, e-mail) pair of a cleaned row.
+def explode_contacts(df: DataFrame, cfg: JobConfig, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (mobile, e-mail) pair of a cleaned row, with the columns ``keep`` behind the contact's.
 
     only e-mails -> mobile ''; only mobiles -> e-mail ''; both -> every pair; none -> no row.
     Pairs never leave their input row (at most two e-mails per row), so this needs no shuffle.
@@ -52,7 +53,7 @@ def explode_contacts(df: DataFrame, cfg: JobConfig) -> DataFrame:
             "record_created": F.lit(cfg.run_ts),
             "record_updated": F.lit(cfg.run_ts),
         }
-    ).select(*CONTACT_FIELDS)
+    ).select(*CONTACT_FIELDS, *keep)
 
 
 def contact_rows(
@@ -61,6 +62,7 @@ def contact_rows(
     cfg: JobConfig,
     key_export: DataFrame | None = None,
     watch: tuple[Observation, Observation] | None = None,
+    sources: int = 0,
 ) -> DataFrame:
     """Canonical shipment rows -> contact rows: pincode gate, (decryption), cleanup, explode.
 
@@ -70,11 +72,17 @@ def contact_rows(
     ``watch`` is filled by whatever action runs the result: the first observation gets ``rows_read``
     and ``rows_encrypted``, the second ``rows_valid`` (after the pincode gate) and
     ``values_undecrypted`` (ciphertext values of those rows that came out unreadable).
+
+    With ``sources`` the rows have a column ``source`` of at most so many values: it stays, and the
+    observations also hold ``read_by``, ``encrypted_by``, ``valid_by`` and ``undecrypted_by`` (rows by source
+    and number of unreadable values, see ``metrics.counts_by``), in the same pass.
     """
+    source = F.col("source")
     rows = df
     if watch:
         enc = F.count_if(is_cipher_row(F.col("mobile")))
-        rows = rows.observe(watch[0], F.count(F.lit(1)).alias("rows_read"), enc.alias("rows_encrypted"))
+        by = [counts_by(source, sources).alias("read_by"), counts_by(F.when(is_cipher_row(F.col("mobile")), source), sources).alias("encrypted_by")]
+        rows = rows.observe(watch[0], F.count(F.lit(1)).alias("rows_read"), enc.alias("rows_encrypted"), *(by if sources else []))
     if cfg.transform_partitions:
         rows = rows.repartition(cfg.transform_partitions)
     checked = with_pincode_check(rows, pincodes)
@@ -85,5 +93,7 @@ def contact_rows(
         failures = F.col("_undecrypted") if watch else failures
     if watch:
         lost = F.coalesce(F.sum(failures), F.lit(0)).alias("values_undecrypted")
-        kept = kept.observe(watch[1], F.count(F.lit(1)).alias("rows_valid"), lost).drop("_undecrypted")
-    return explode_contacts(clean_rows(kept), cfg)
+        unread = F.when(failures > 0, F.concat_ws("\t", failures.cast("string"), source))
+        by = [counts_by(source, sources).alias("valid_by"), counts_by(unread, len(ENCRYPTED_FIELDS) * sources).alias("undecrypted_by")] if sources else []
+        kept = kept.observe(watch[1], F.count(F.lit(1)).alias("rows_valid"), lost, *by).drop("_undecrypted")
+    return explode_contacts(clean_rows(kept), cfg, ("source",) if sources else ())

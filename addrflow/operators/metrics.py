@@ -10,6 +10,7 @@ from addrflow.functions.cipher import key_alias
 from addrflow.functions.email import email_set
 from addrflow.functions.phone import mobile_set
 from addrflow.operators.contacts import clean_rows
+from addrflow.operators.counting import counts_by
 from addrflow.operators.decrypt import decrypt_rows
 from addrflow.operators.filters import is_cipher_row
 from addrflow.operators.lookup import with_pincode_check
@@ -60,15 +61,19 @@ def stage_counts(rows: DataFrame, key_export: DataFrame, pincodes: DataFrame, cf
     return _long(agg)
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach row counters that are filled by whatever action runs ``df`` (no extra job)."""
+def observed(df: DataFrame, name: str, sources: int = 0) -> tuple[DataFrame, Observation]:
+    """Attach row counters that are filled by whatever action runs ``df`` (no extra job).
+
+    With ``sources``, the rows have a column ``source`` of at most so many values, and are counted by it too.
+    """
     obs = Observation(name)
-    return (
-        df.observe(
-            obs,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("contact_mobile") != "").alias("with_mobile"),
-            F.count_if(F.col("contact_email") != "").alias("with_email"),
-        ),
-        obs,
-    )
+    mobile, email = F.col("contact_mobile") != "", F.col("contact_email") != ""
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(mobile).alias("with_mobile"), F.count_if(email).alias("with_email")]
+    if sources:
+        s = F.col("source")
+        metrics += [
+            counts_by(s, sources).alias("rows_by"),
+            counts_by(F.when(mobile, s), sources).alias("with_mobile_by"),
+            counts_by(F.when(email, s), sources).alias("with_email_by"),
+        ]
+    return df.observe(obs, *metrics), obs

@@ -17,6 +17,8 @@
      "keys": {"path": "...", "format": "parquet"},
      "sink": {"url": "jdbc:...", "table": "...", "properties": {...}, "connections": 64},
      "stage_name": null,                    # a name: raw rows are staged before the transform
+     "ledger": null,                        # a name: a rerun under it appends only what is missing
+     "source_connections": null,            # most connections to one source at once
      "job": {"excluded_tenants": [...], "key_path": {"prefix": "...", ...}, ...}}   # JobConfig fields
 """
 
@@ -86,6 +88,7 @@ def run_from_config(spark: SparkSession, window: str, conf: dict) -> RunResult:
     return run_jdbc_job(
         spark, cfg, targets, key_export, pincodes, JdbcTarget(sink["url"], sink.get("properties", {})), sink["table"],
         stage_name=conf.get("stage_name"), sink_connections=sink.get("connections", 64),
+        ledger=conf.get("ledger"), source_connections=conf.get("source_connections"),
     )
 
 

@@ -7,7 +7,15 @@ Patterns are shared with the Spark functions (Java regex and RE2 read them alike
 from __future__ import annotations
 
 from addrflow.functions.email import EMAIL_RE2
-from addrflow.functions.phone import CC_PREFIXED, MOBILE_TEN, PLUS_CC_PREFIXED, ZERO_PREFIXED
+from addrflow.functions.phone import (
+    CC_PREFIXED,
+    GLUED_WORD,
+    MOBILE_TEN,
+    NUMBER_BREAK,
+    NUMBER_TOKEN,
+    PLUS_CC_PREFIXED,
+    ZERO_PREFIXED,
+)
 from addrflow.functions.pincode import PINCODE
 from addrflow.functions.text import CONTROL, JAVA_TRIM, TRAILING_COMMA, WHITESPACE
 
@@ -68,6 +76,11 @@ def recover_mobiles(x: str) -> str:
     return f"list_transform(list_filter({tens}, lambda t: t <> ''), lambda t: '+91' || t)"
 
 
+def number_runs(x: str) -> str:
+    tokens = f"list_transform(regexp_extract_all({x}, {lit(NUMBER_TOKEN)}), lambda t: regexp_replace(t, {lit(GLUED_WORD)}, ''))"
+    return f"list_filter(flatten(list_transform({tokens}, lambda t: string_split_regex(t, {lit(NUMBER_BREAK)}))), lambda r: r <> '')"
+
+
 def mobile_set(a: str, b: str, recover: bool = True) -> str:
     if not recover:
         return "CAST([] AS VARCHAR[])"

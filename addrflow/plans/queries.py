@@ -18,14 +18,19 @@ from addrflow.functions import phone as PH
 from addrflow.functions import pincode as PC
 from addrflow.functions import text as TX
 from addrflow.operators import registry as R
-from addrflow.operators.assemble import assemble_shipments
+from addrflow.operators.assemble import assemble_bucketed, assemble_shipments
 from addrflow.operators.contacts import contact_rows
 from addrflow.operators.decrypt import decrypt_rows, distinct_key_pairs, key_table
 from addrflow.operators.filters import canonical_rows, in_window, is_cipher_row, phone_kept, union_sources
 from addrflow.operators.lookup import pincode_lookup_set
 from addrflow.operators.metrics import id_bounds, stage_counts
 from addrflow.plans import oracle as O
+from addrflow.plans.job import tagged_contacts
+from addrflow.schema import SHIPMENT_SCHEMA
+from addrflow.session import staging_path
 from addrflow.sources import driver_tables as D
+from addrflow.sources.bucketed import stage_bucketed
+from addrflow.sources.files import BAD_LINE, footer_bounds, read_checked_csv
 
 RUN_TS = "2024-01-01T00:00:00"
 FROM_TS = "1996-01-01 00:00:00"
@@ -142,6 +147,30 @@ def q_shipment_assembly_no_district(spark: SparkSession, sf_dir: str) -> DataFra
     return assembled(spark, sf_dir, CFG, encrypted=False, with_district=False)
 
 
+# A week of the history: most addresses and orders belong to no shipment of the window.
+_WEEK = JobConfig(
+    from_ts="1997-03-03 00:00:00", till_ts="1997-03-10 00:00:00", run_ts=RUN_TS, excluded_tenants=("HOUSEHOLD",),
+    reduce_history_words=1 << 14,
+)
+
+
+def _assembly_sql(cfg: JobConfig) -> str:
+    return f"WITH {O.assembly_ctes(cfg)},\nasm AS ({O.assembly_select(cfg, False)})\nSELECT {O.SHIPMENT_COLS} FROM asm"
+
+
+@register("shipment_assembly_week", _assembly_sql(_WEEK))
+def q_shipment_assembly_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A short window: addresses and orders are reduced to its keys before the large joins."""
+    return assembled(spark, sf_dir, _WEEK, encrypted=False)
+
+
+@register("shipment_assembly_bucketed", _assembly_sql(CFG))
+def q_shipment_assembly_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assembly on copies of the source tables in buckets of the order id."""
+    staged = stage_bucketed(D.source_tables(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return assemble_bucketed(staged.tables(), CFG)
+
+
 @register("decrypted_rows", f"WITH {_asm_sql(True)}\nSELECT {O.SHIPMENT_COLS} FROM asm")
 def q_decrypted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decrypted(spark, sf_dir, CFG)
@@ -191,6 +220,34 @@ def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contact_rows(union_sources([a, b]), D.pincode_lookup(spark, sf_dir), CFG)
 
 
+@register(
+    "source_counts",
+    f"WITH {_asm_sql(False)},\n{_fixture_window_sql(CFG)},\n"
+    f"""one AS ({O.contacts_sql(f"(SELECT {O.SHIPMENT_COLS} FROM asm)", RUN_TS)}),
+two AS ({O.contacts_sql('rows', RUN_TS)}),
+named AS (SELECT 'servers/main' AS source, * FROM one UNION ALL SELECT 'closed/tenant' AS source, * FROM two)
+SELECT source, count(*) AS contact_rows, count(*) FILTER (contact_mobile <> '') AS with_mobile,
+  count(*) FILTER (contact_email <> '') AS with_email, count(DISTINCT shipping_package_code) AS shipments FROM named GROUP BY source""",
+)
+def q_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many sources in one plan, counted by the source of each row; one source is empty."""
+    main = assembled(spark, sf_dir, CFG, encrypted=True)
+    fixture = D.fixture_rows(fixture_in_window(spark, sf_dir, CFG))
+    empty = spark.createDataFrame([], SHIPMENT_SCHEMA)
+    sources = {"servers/main": main, "servers/empty": empty, "closed/tenant": fixture}
+    contacts = tagged_contacts(sources, D.key_export(spark, sf_dir), D.pincode_lookup(spark, sf_dir), CFG)
+    return contacts.groupBy("source").agg(
+        F.count("*").alias("contact_rows"),
+        F.count_if(F.col("contact_mobile") != "").alias("with_mobile"),
+        F.count_if(F.col("contact_email") != "").alias("with_email"),
+        F.count_distinct("shipping_package_code").alias("shipments"),
+    )
+
+
+_DEALT = JobConfig(from_ts=FROM_TS, till_ts=TILL_TS, run_ts=RUN_TS, transform_partitions=5)
+register("contact_pairs_repartitioned", f"WITH {_fixture_window_sql(_DEALT)}\n{O.contacts_sql('rows', RUN_TS)}")(_contact_pairs(_DEALT))
+
+
 # --- column functions over whole tables -------------------------------------------------------
 
 
@@ -280,23 +337,6 @@ def q_mobile_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Telephone-like parts of a free text: ten digits from 6 on, with the usual signs between them.
-_PHONE_PART = r"\(?[6-9][0-9]{2}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-
-
-@register(
-    "documents_mobiles",
-    f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, {O.lit(_PHONE_PART)})) AS part FROM documents),
-c AS (SELECT doc_id, {O.compact('part')} AS t FROM w)
-SELECT DISTINCT doc_id, mobile FROM c, unnest({O.recover_mobiles('t')}) AS u(mobile)""",
-)
-def q_documents_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = D.read_table(spark, sf_dir, "documents")
-    parts = d.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(_PHONE_PART), 0)).alias("part"))
-    found = PH.recover_mobiles(TX.compact(F.col("part")))
-    return parts.select("doc_id", F.explode(found).alias("mobile")).distinct()
-
-
 # Whitespace-delimited words: the phone candidates of a free text.
 _WORD = rf"{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}+"
 # A mobile of given columns as a whole field, in these forms by order key; the last is no mobile.
@@ -345,6 +385,35 @@ def q_whole_word_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.unionByName(fields).select("kind", "id", F.explode(found).alias("mobile")).distinct()
 
 
+# A note of an order: a mobile in one of the forms above, a longer number, and a code around a mobile.
+_NOTE_SQL = f"'Call ' || {_MOBILE_FORMS_SQL} || '. Ref. ' || t || '123456, part a' || t || 'f; 12-34 or  ' || t || '.'"
+
+
+@register(
+    "documents_mobiles",
+    f"""WITH o AS (SELECT o_orderkey, '7' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS t FROM orders),
+w AS (SELECT 'document' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'order', o_orderkey, {_NOTE_SQL} FROM o),
+r AS (SELECT kind, id, unnest({O.number_runs('text')}) AS run FROM w)
+SELECT DISTINCT kind, id, mobile FROM r, unnest({O.recover_mobiles('run')}) AS u(mobile)""",
+)
+def q_documents_mobiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mobiles of free texts: maximal number runs, each recovered whole; documents, and notes of the orders."""
+    d = D.read_table(spark, sf_dir, "documents")
+    ok = F.col("o_orderkey")
+    ten = F.concat(F.lit("7"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    form = F.lit(None).cast("string")
+    for i, (spark_fn, _sql) in enumerate(_MOBILE_FORMS):
+        form = F.when(ok % len(_MOBILE_FORMS) == i, spark_fn(ten)).otherwise(form)
+    note = F.concat(
+        F.lit("Call "), form, F.lit(". Ref. "), ten, F.lit("123456, part a"), ten, F.lit("f; 12-34 or  "), ten, F.lit(".")
+    )
+    orders = D.read_table(spark, sf_dir, "orders")
+    texts = d.select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("id"), "text").unionByName(
+        orders.select(F.lit("order").alias("kind"), ok.cast("long").alias("id"), note.alias("text"))
+    )
+    return texts.select("kind", "id", F.explode(PH.text_mobiles(F.col("text"))).alias("mobile"))
+
+
 # Whitespace-delimited words that contain '@': the e-mail candidates of a free text.
 _AT_WORD = rf"{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*@{TX.WHITESPACE[:1]}^{TX.WHITESPACE[1:]}*"
 
@@ -569,6 +638,32 @@ def q_id_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_bounds(D.address_detail(spark, sf_dir), "id")
 
 
+@register("id_bounds_from_footers", "SELECT min(o_orderkey) AS min_id, max(o_orderkey) AS max_id FROM orders")
+def q_id_bounds_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bounds from the files' statistics: no row is read."""
+    return footer_bounds(spark, f"{sf_dir}/orders.parquet", "o_orderkey")
+
+
+@register(
+    "pincode_file",
+    f"""WITH o AS (SELECT o_orderkey, {O.pincode_sql()} AS pin FROM orders),
+c AS (SELECT trim(pin, ' ' || chr(9)) AS pin FROM o),
+s AS (SELECT CASE WHEN coalesce(pin, '') = '' THEN 'empty' WHEN regexp_matches(pin, '^[0-9]+$') THEN 'read' ELSE 'malformed' END AS status, pin FROM c)
+SELECT status, CASE WHEN status = 'read' THEN CAST(pin AS INTEGER) END AS pincode, count(*) AS lines FROM s GROUP BY ALL""",
+)
+def q_pincode_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pincode CSV written from the orders and read back by a schema: lines by pincode, malformed ones apart."""
+    o = D.read_table(spark, sf_dir, "orders")
+    ok = F.col("o_orderkey")
+    path = staging_path(spark, "pincode-csv")
+    office = F.concat(F.lit('Post, "office" '), ok.cast("string"), F.lit("\n2nd line"))
+    o.select(D.pincode_expr(ok, F.col("o_custkey")).alias("Pincode"), office.alias("Office")).write.option("header", True).option("escape", '"').csv(path)
+    lines = read_checked_csv(spark, path, "Pincode int, Office string")
+    status = F.when(F.col(BAD_LINE).isNotNull(), "malformed").when(F.col("Pincode").isNull(), "empty").otherwise("read")
+    counted = lines.groupBy(status.alias("status"), F.when(status == "read", F.col("Pincode")).alias("pincode"))
+    return counted.agg(F.count("*").alias("lines"))
+
+
 @register(
     "stage_counts",
     f"""WITH {_asm_sql(True)},

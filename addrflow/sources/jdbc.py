@@ -5,14 +5,18 @@ Credentials are passed in by the caller (``JdbcTarget.properties``) and never lo
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from addrflow.config import JobConfig
 from addrflow.schema import OPTIONAL_FIELDS, SHIPMENT_SCHEMA, SOURCE_COLUMNS, SOURCE_JOINS
-from addrflow.session import drop_staged, stage_table, staging_path
+from addrflow.session import drop_staged, staging_path
+from addrflow.sources.ledger import ROUND_BYTES, append_once, file_sizes, rounds_by_bytes
+from addrflow.sources.splits import Part, equal_parts
 
 FETCH_SIZE = 50_000
 WRITE_BATCH = 50_000
@@ -81,6 +85,7 @@ def shipment_query(cfg: JobConfig, has_district: bool = True, url: str = "jdbc:m
         for f, (table, column) in SOURCE_COLUMNS.items()
     ]
     columns += [f"{_sql_text(cfg.sync_status)} AS sale_order_sync_status", "address_detail.id AS address_id"]
+    columns.append("shipping_package.sale_order_id AS order_id")
     joins = [f"JOIN {t} ON {t}.{c} = {other}.{oc}" for t, c, other, oc in SOURCE_JOINS]
     kept = [
         *_window("shipping_package.created", cfg, url),
@@ -149,30 +154,78 @@ def window_id_bounds(spark: SparkSession, target: JdbcTarget, cfg: JobConfig) ->
     return (row[0], row[1]) if row is not None else (None, None)
 
 
+def window_parts(spark: SparkSession, target: JdbcTarget, cfg: JobConfig, rows_per_part: int) -> list[Part]:
+    """Parts of the window's address ids with about equally many shipments, counted by the database."""
+    lo, hi = window_id_bounds(spark, target, cfg)
+    if lo is None:
+        return []
+    lo, hi, kept = int(lo), int(hi), " AND ".join(_window("created", cfg, target.url))
+
+    def count(width: int, ranges: list[tuple[int, int]]) -> dict[int, int]:
+        ids = " OR ".join(f"(shipping_address_id >= {a} AND shipping_address_id < {b})" for a, b in ranges)
+        cell = f"shipping_address_id - MOD(shipping_address_id - ({lo}), {width})"
+        sql = (
+            f"SELECT counted.cell AS cell, COUNT(*) AS n FROM (SELECT {cell} AS cell FROM shipping_package "
+            f"WHERE {kept} AND ({ids})) counted GROUP BY counted.cell"
+        )
+        return {int(r[0]): int(r[1]) for r in read_query(spark, target, sql).collect()}  # one row a cell
+
+    return equal_parts(count, lo, hi, rows_per_part)
+
+
+def read_parts(
+    spark: SparkSession,
+    target: JdbcTarget,
+    sql: str,
+    parts: list[Part],
+    fetch_size: int = FETCH_SIZE,
+    max_connections: int | None = None,
+) -> DataFrame:
+    """Push ``sql`` (with columns address_id and order_id) once for each part.
+
+    With ``max_connections`` as many tasks read the parts, each one after the other: a task opens a part's
+    connection when it has closed the one before, so the database never sees more of them.
+    """
+    properties = {**target.properties, "fetchsize": str(fetch_size)}
+    predicates = [p.predicate("address_id", "order_id") for p in parts]
+    df = spark.read.jdbc(target.url, f"({sql}) src", predicates=predicates, properties=properties)
+    return df.coalesce(max_connections) if max_connections and len(parts) > max_connections else df
+
+
 def read_shipments(
     spark: SparkSession,
     target: JdbcTarget,
     cfg: JobConfig,
     num_partitions: int | None = None,
     fetch_size: int = FETCH_SIZE,
-    ids_per_partition: int = 250_000,
+    ids_per_partition: int | None = None,
+    rows_per_partition: int = 250_000,
+    max_connections: int | None = None,
 ) -> DataFrame:
     """One database's shipments of the window as raw rows (lower-case column names).
 
-    A window without shipments gives an empty frame with the shipment schema (no query). The
-    read is split into address-id ranges; unless ``num_partitions`` is given their number grows
-    with the window's id range, so a source holding a large share of all rows gets as many tasks.
+    A window without shipments gives an empty frame with the shipment schema (no query). The read is
+    split into parts of about ``rows_per_partition`` shipments (``sources/splits.py``), however the ids are
+    spread, so a source holding a large share of all rows gets as many parts; ``max_connections`` bounds how
+    many are read at once. ``num_partitions`` or ``ids_per_partition`` ask for ranges of equal id span.
     """
-    lo, hi = window_id_bounds(spark, target, cfg)
-    if lo is None:
+    district = None
+    if num_partitions is None and ids_per_partition is None:
+        parts = window_parts(spark, target, cfg, rows_per_partition)
+        if parts:
+            district = has_column(spark, target, "address_detail", "district")
+            df = read_parts(spark, target, shipment_query(cfg, district, target.url), parts, fetch_size, max_connections)
+    else:
+        lo, hi = window_id_bounds(spark, target, cfg)
+        if lo is not None:
+            count = num_partitions or max(1, -(-(int(hi) - int(lo) + 1) // ids_per_partition))
+            district = has_column(spark, target, "address_detail", "district")
+            sql = shipment_query(cfg, district, target.url)
+            df = read_query(spark, target, sql, fetch_size, "address_id", (lo, hi), count)
+            df = df.coalesce(max_connections) if max_connections and count > max_connections else df
+    if district is None:
         return spark.createDataFrame([], SHIPMENT_SCHEMA)
-    if num_partitions is None:
-        num_partitions = max(1, -(-(int(hi) - int(lo) + 1) // ids_per_partition))
-    district = has_column(spark, target, "address_detail", "district")
-    df = read_query(
-        spark, target, shipment_query(cfg, district, target.url), fetch_size, "address_id", (lo, hi), num_partitions
-    )
-    return df.toDF(*[c.lower() for c in df.columns]).drop("address_id")
+    return df.toDF(*[c.lower() for c in df.columns]).drop("address_id", "order_id")
 
 
 def read_closed_databases(
@@ -217,6 +270,18 @@ def check_no_speculation(spark: SparkSession) -> None:
         raise ValueError("spark.speculation must be off for a JDBC append (speculative copies would both commit)")
 
 
+def writer(target: JdbcTarget, table: str, batch_size: int = WRITE_BATCH, isolation: str = "READ_COMMITTED", max_connections: int | None = None):
+    """A function that appends a frame to ``table``: one transaction a task, at most ``max_connections`` tasks."""
+
+    def write(part: DataFrame) -> None:
+        part = part.coalesce(max_connections) if max_connections else part
+        part.write.format("jdbc").options(**target.options()).option("dbtable", table).option(
+            "batchsize", str(batch_size)
+        ).option("isolationLevel", isolation).mode("append").save()
+
+    return write
+
+
 def append(
     df: DataFrame,
     target: JdbcTarget,
@@ -224,33 +289,74 @@ def append(
     batch_size: int = WRITE_BATCH,
     isolation: str = "READ_COMMITTED",
     max_connections: int | None = None,
+    round_bytes: int = ROUND_BYTES,
 ) -> None:
     """Batched INSERTs into ``table`` (append; re-running a window appends its rows again).
 
     Each partition is written in one transaction, so a task retried after an executor loss does
     not leave the rows of its failed attempt behind (``isolation="NONE"`` would).
 
-    With ``max_connections`` the rows are staged first, in as many files as they need, and appended
-    file by file, at most so many at once: the number and size of the transactions follow the rows,
+    With ``max_connections`` the rows are staged first, in as many files as they need, and appended in
+    rounds of about ``round_bytes``, each by at most so many tasks: the transactions follow the rows,
     and the database never sees more connections. The staged rows are deleted afterwards. A run that
-    fails between two rounds has appended the rounds before.
+    fails between two rounds has appended the rounds before; ``append_by_ledger`` goes on there.
     """
     spark = df.sparkSession
     check_no_speculation(spark)
-
-    def write(part: DataFrame) -> None:
-        part.write.format("jdbc").options(**target.options()).option("dbtable", table).option(
-            "batchsize", str(batch_size)
-        ).option("isolationLevel", isolation).mode("append").save()
-
+    write = writer(target, table, batch_size, isolation, max_connections)
     if not max_connections:
         write(df)
         return
     path = staging_path(spark, "sink")
     try:
-        files = sorted(stage_table(df, "sink", spark, path).inputFiles())
-        for i in range(0, len(files), max_connections):
-            part = spark.read.schema(df.schema).parquet(*files[i : i + max_connections])
-            write(part.coalesce(max_connections))
+        df.write.parquet(path)
+        append_files(spark, path, df.schema, write, round_bytes)
     finally:
         drop_staged(spark, path)
+
+
+def append_files(spark: SparkSession, path: str, schema, write, round_bytes: int = ROUND_BYTES) -> None:
+    """The staged rows under ``path``, round by round."""
+    staged = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    for files in rounds_by_bytes(file_sizes(staged), round_bytes):
+        write(spark.read.schema(schema).parquet(*files))
+
+
+#: Last characters by which a read-back of the sink is divided.
+DIGITS = "0123456789"
+
+
+def read_back(spark: SparkSession, target: JdbcTarget, table: str, where: Column, column: str) -> DataFrame:
+    """The sink's rows with ``where``, read in parts by the last digit of ``column`` (pushed as LIKE)."""
+    held = spark.read.format("jdbc").options(**target.options()).option("dbtable", table).option("fetchsize", str(FETCH_SIZE)).load()
+    ends = [F.col(column).endswith(d) for d in DIGITS]
+    rest = F.col(column).isNull() | ~functools.reduce(lambda a, b: a | b, ends)
+    return functools.reduce(DataFrame.unionAll, [held.filter(where & part) for part in [*ends, rest]])
+
+
+def append_by_ledger(
+    spark: SparkSession,
+    name: str,
+    make,
+    target: JdbcTarget,
+    table: str,
+    where: Column,
+    split_column: str,
+    max_connections: int = 64,
+    round_bytes: int = ROUND_BYTES,
+    batch_size: int = WRITE_BATCH,
+) -> int:
+    """``append`` that a rerun under the same ``name`` completes without a duplicate (``sources/ledger.py``).
+
+    ``make`` writes the rows as Parquet under the folder it is given; a rerun takes those of the first run.
+    ``where`` names the rows in ``table`` that this run alone can have written (such as its time stamp).
+    """
+    check_no_speculation(spark)
+
+    write = writer(target, table, batch_size, max_connections=max_connections)
+
+    def present(schema) -> DataFrame:
+        write(spark.createDataFrame([], schema))  # makes the table, if the first round never came so far
+        return read_back(spark, target, table, where, split_column)
+
+    return append_once(spark, name, make, write, present, round_bytes)
