@@ -222,7 +222,7 @@ def q_multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "source_counts",
-    f"WITH {_asm_sql(False)},\n{_fixture_window_sql(CFG)},\n"
+    f"WITH {_asm_sql(True)},\n{_fixture_window_sql(CFG)},\n"
     f"""one AS ({O.contacts_sql(f"(SELECT {O.SHIPMENT_COLS} FROM asm)", RUN_TS)}),
 two AS ({O.contacts_sql('rows', RUN_TS)}),
 named AS (SELECT 'servers/main' AS source, * FROM one UNION ALL SELECT 'closed/tenant' AS source, * FROM two)
