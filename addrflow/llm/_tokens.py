@@ -5,13 +5,15 @@ than white space, nor across the last space of a run that a character other than
 follows. So unless some space has white space before it and white space or the end behind it, a text
 may be cut before each of its spaces and every unit encoded alone. Other texts, and texts that hold
 a special token's string, are encoded whole. Units of printable Latin characters are cut into
-pre-tokens here, which the memo shares; other units are left to the tokenizer.
+pre-tokens here, which the memo shares; other units are left to the tokenizer. Units of more than
+``MEMO_CHARS`` characters (texts without spaces) are not kept.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,7 +22,11 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one
 WHOLE = re.compile(r" (?=\s|\Z)(?<=\s )")
 #: The byte-level pre-tokenizer's pattern (fixed value).
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A word of Latin letters and the marks behind it: two pre-tokens. (No apostrophe, which may open one.)
+WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+)([!-&(-/:-@\[-`{-~]+)").fullmatch
 MEMO_UNITS = 500_000  # two generations of so many units at most
+MEMO_CHARS = 256
+SPACE = "\u0120"  # how byte-level BPE shows a space
 
 
 class Units(dict):
@@ -34,6 +40,8 @@ class Units(dict):
         found = self.older.get(unit)
         if found is None:
             found = self.encode(self.lead + unit)
+            if len(unit) > MEMO_CHARS:
+                return found
         if len(self) >= MEMO_UNITS:
             self.older = dict(self)
             self.clear()
@@ -58,13 +66,21 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _pre_token(self, unit: str) -> bytes:
-        shown = unit.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        body = unit[1:] if unit[0] == " " else unit
+        if body.isascii() and body.isalnum():
+            shown = unit if body is unit else SPACE + body
+        else:
+            shown = unit.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _unit(self, unit: str) -> bytes:
-        body = unit[1:] if unit[:1] == " " else unit
+        body = unit[1:] if unit[0] == " " else unit
         if body.isalpha():
             return self._pre_token(unit)  # letters only, behind a space or not
+        found = WORD(body)
+        if found:
+            word, marks = found.groups()
+            return (self.first if body is unit else self.later)[word] + self.first[marks]
         if max(unit) < "\u0180" and body.replace("\n", "").isprintable():
             parts = self.cut(unit)
             if len(parts) == 1:

@@ -77,3 +77,38 @@ PARTS = [" ", "  ", "   ", "\n", "\n\n", "\t", " \n", "word", "Word,", "don't",
 @given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_size=14).map("".join))
 def test_units_encode_like_the_library(text):
     assert ENCODER.ids(text) == np.array(ids(text)[:-1], "<u4").tobytes()
+
+
+def _plain_best_fit(lengths, size):
+    """Number of bins: each item, longest first, into the fullest bin that takes it."""
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        fits = [k for k, room in enumerate(rooms) if room >= n]
+        if fits:
+            rooms[min(fits, key=lambda k: rooms[k])] -= n
+        else:
+            rooms.append(size - n)
+    return len(rooms)
+
+
+def test_number_of_sequences_is_that_of_best_fit(spark):
+    """One node packs as plain best-fit does; a tree of many nodes needs at most 3 % more."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    least = _plain_best_fit([p[3] for p in _pieces(rows, P.SIZE)], P.SIZE)
+    assert _check(P.pack(docs, PATH).collect(), rows, P.SIZE) == least
+    assert _check(P.pack(docs, PATH, items=40).collect(), rows, P.SIZE) <= 1.03 * least + 1
+
+
+@pytest.mark.parametrize("text", ["日本語" * 30_000, "ไทย" * 20_000, "x" * 100_000, "héé" * 20_000, "1" * 30_000, "a.b," * 20_000])
+def test_long_texts_without_spaces(text):
+    """Encoded like the library does, and not kept in the memo."""
+    enc = Encoder(PATH)
+    assert enc.ids("a " + text) == np.array(ids("a " + text)[:-1], "<u4").tobytes()
+    assert all(len(u) <= 256 for memo in (enc.first, enc.later) for u in memo)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="abzAZéÀÿſ.,;:!?()[]{}_-'\"~1", min_size=1, max_size=8), max_size=6).map(" ".join))
+def test_words_with_marks_encode_like_the_library(text):
+    assert ENCODER.ids(text) == np.array(ids(text)[:-1], "<u4").tobytes()
