@@ -31,14 +31,15 @@ from pyspark.sql.window import Window
 
 from addrflow.llm._io import stage, stage_numbered
 
-#: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
-WORD = r"[^\x20\x09-\x0D]+"
+#: UTF-8 bytes that count as a token where no counts are given.
+TOKEN_BYTES = 4
 GRID, ROUNDS, DIGITS = 16, 5, 6
 BLOCK_ROWS = 4096
 
 
-def words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+def tokens_of(text: Column) -> Column:
+    """The text's UTF-8 bytes by ``TOKEN_BYTES``, rounded up: a text without spaces counts like any other."""
+    return F.ceil(F.octet_length(F.coalesce(text, F.lit(""))) / TOKEN_BYTES).cast("long")
 
 
 def number(*parts: Column) -> Column:
@@ -90,14 +91,13 @@ def mix(
     """Columns: rec (the input row; id and source only if not ``with_text``), n_tokens, weight,
     epoch, block, place; a row for every reading of a document.
 
-    Tokens are those of ``tokens_col`` (null: none), or else the words of the text: runs of anything
-    but white space, so a text without spaces counts as one.
+    Tokens are those of ``tokens_col`` (null: none), or else ``tokens_of`` the text.
 
     Sorting a source's rows by (epoch, place) gives its training order: ``place`` holds the rank
     of the block in that epoch and the hash order within the block.
     """
     source = F.col(source_col)
-    tokens = words(F.col(text_col)) if tokens_col is None else F.coalesce(F.col(tokens_col).cast("long"), F.lit(0).cast("long"))
+    tokens = tokens_of(F.col(text_col)) if tokens_col is None else F.coalesce(F.col(tokens_col).cast("long"), F.lit(0).cast("long"))
     rec = F.struct("*") if with_text else F.struct(id_col, source_col)
     numbered = stage_numbered(
         docs.select(

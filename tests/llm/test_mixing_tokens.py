@@ -8,3 +8,11 @@ def test_shares_follow_the_given_token_counts(spark):
     got = M.mix(docs, tokens_col="tokens").select("rec.source", "n_tokens", "weight", "epoch").collect()
     assert {(r.source, r.n_tokens, r.weight, r.epoch) for r in got} == {("a", 50, 0.5, 0), ("b", 50, 0.5, 0)}
     assert len(got) == len(rows)
+
+
+def test_a_source_without_spaces_gets_its_share(spark):
+    """As many bytes in either source, one with a word a text: equal weights, no source read again."""
+    rows = [(i, "ab"[i % 2], "word " * 60 if i % 2 else "日" * 100) for i in range(200)]
+    got = M.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).select("rec.source", "n_tokens", "weight", "epoch").collect()
+    assert {(r.source, r.n_tokens, r.weight, r.epoch) for r in got} == {("a", 75, 0.5, 0), ("b", 75, 0.5, 0)}
+    assert len(got) == len(rows)
