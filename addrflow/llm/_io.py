@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from addrflow.session import ensure_checkpoint_dir
+from addrflow.session import drop_staged, ensure_checkpoint_dir
+
+#: The folders that ``stage`` has written and nobody has dropped.
+_FOLDERS: list[str] = []
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -17,11 +22,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     run id, so two runs never overwrite each other.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/addrflow-llm-{uuid.uuid4().hex}/{name}"
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/addrflow-llm-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}"
+    _FOLDERS.append(folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stages_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete what the operators stage inside the block, at its end (some of it are texts in the clear).
+
+    Frames that an operator returns read staged tables, so they are to be written inside the block.
+    """
+    before = len(_FOLDERS)
+    try:
+        yield
+    finally:
+        for folder in _FOLDERS[before:]:
+            drop_staged(spark, folder)
+        del _FOLDERS[before:]
+
+
 def stage_numbered(df: DataFrame, row_col: str, name: str) -> DataFrame:
     """Stage ``df`` with a unique row number; once written, the numbers no longer change."""
     return stage(df.withColumn(row_col, F.monotonically_increasing_id()), name)

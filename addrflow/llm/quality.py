@@ -176,7 +176,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rated = (
         labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
         .select(F.col(id_col).alias("id"), grade.cast("int").alias("grade"), F.xxhash64(F.col(id_col).cast("long")).alias("h"))
-        .orderBy("h")
+        .orderBy("h", "grade")
         .limit(MAX_RATED)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rated), "id")  # MAX_RATED rows
