@@ -1,24 +1,29 @@
-"""N-gram Jaccard join with signatures of single ranges (PartEnum with subsets of size one).
+"""N-gram Jaccard join with PartEnum signatures.
 
 A document's set holds the distinct 5-word shingles of its whole text, as 64-bit hashes; two
 documents link when 100 |A n B| >= 80 |A u B|. Then the symmetric difference is at most
 (|A| + |B|) / 9.
 
 Sizes are cut into bands in which the largest size is 5/4 of the smallest, so linked sets lie in
-the same or in neighbouring bands; a set takes part in the instances of its own and the next band.
-An instance for sizes up to r, where linked sets differ in at most k = 2r / 9 elements, cuts the
-hash domain into k + 1 + t ranges. Linked sets agree on all but k of them, so on t + 1 at least. A
-set's signatures are the hashes of its contents of each range. Empty ranges would be shared by
-many unlike sets; they are left out while fewer than t + 1 ranges are empty (then an agreed one
-is not), and kept otherwise. So linked sets share a signature whatever they hold.
+the same or in neighbouring bands; a set takes part in the instances of its own and the next band. In an
+instance for sizes up to r linked sets differ in at most k = 2r / 9 elements. The hash domain is cut
+into first-level partitions, k / 2 + 1 + t of them, so linked sets differ in at most one element in t + 1 of
+them at least. Each is cut into ``RANGES`` second-level ranges, and its signatures are the hashes of the
+set's contents in every subset of all ranges but one: where two sets differ in one element at most, they
+agree in one of those subsets. For small k one range a partition is the better choice (k + 1 + t partitions,
+of which t + 1 agree). Empty contents would be shared by many unlike sets; they are left out while at most
+t partitions have any (then one without is agreed on), and kept otherwise. So linked sets share a signature
+whatever they hold.
 
 Sets that are equal form one class from the start, found map-side. Sets with a common signature
 form a group, of which no pairs are listed: first each class is checked against the pivots of its
-groups, their smallest classes (against one, and against the others where that left them apart), and
-components are built. A group whose classes then lie in one component has nothing left to find. In the others, pairs from different components are compared by parity
-sketches, first the closest pair of a class and another component, then all that are left (each element flips one bit, so the distance of two sketches never exceeds the distance
-of the sets); what passes is checked on the sets themselves, and components are built again. So
-every linked pair is either checked or inside a component already.
+groups, their smallest classes, and components are built. A group whose classes then lie in one component has nothing left to find. In the
+others, the classes outside the largest component are compared with all others, in blocks of a bounded
+number of classes, by parity sketches: each element flips one bit, so the distance of two sketches never
+exceeds the distance of the sets, and seldom falls far below it. A task returns only pairs that join two
+components by its own pairs so far, fewer than it has classes. They are checked on the sets themselves, and
+components are built again. Groups with a pair that failed are looked at once more, without that pair, until
+none is left. So every linked pair is either checked or inside a component already.
 
 ``class_links`` lists the links between classes instead, all of them checked, and ``link_counts`` their
 number a class; ``link`` and ``one_of_each`` take the cheaper way above.
@@ -45,7 +50,11 @@ from addrflow.llm._text import M1, M2, M3, SPACE, U, buffers, mix, rounds, word_
 
 WORDS = 5
 ODD = np.array([M1, M2, M3, M1 ^ (M2 << U(1)), M2 ^ (M3 << U(1))], U) | U(1)
-SIG_BYTES = 6  # of a signature or class in the shuffle; a clash only adds a candidate
+SIG_BYTES = 6  # of a class in the shuffle; a clash only adds a candidate
+RANGES = 3  # second-level ranges of a partition
+SMALL = 8  # up to so many differing elements, one range a partition
+FEW = 12  # classes of a group that are compared one by one
+SKETCH = 4  # bits of a sketch for each element, at least
 #: The smallest size of each band.
 BANDS = [1]
 while BANDS[-1] < 1 << 40:
@@ -99,7 +108,7 @@ def _edges(n: int) -> np.ndarray:
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
-    """The signatures of a sorted set: one for each single range, no subsets of ranges."""
+    """The signatures of a sorted set: its contents in the enumerated subsets of ranges, hashed."""
     n, out = len(s), []
     if not n:
         return s
@@ -112,15 +121,17 @@ def signatures(s: np.ndarray) -> np.ndarray:
         k = 2 * most // 9
         if k == 0 or n == 1:
             continue  # equal sets only, which are one class already
-        spare = 6 + k // 10
-        parts = k + 1 + spare
-        cut = np.concatenate([[0], np.searchsorted(s, _edges(parts), "left"), [n]])
-        sums = total[cut[1:]] - total[cut[:-1]]
-        held = cut[1:] > cut[:-1]
-        where = np.arange(parts, dtype=np.int64).astype(U)
-        if parts - int(held.sum()) <= spare:
-            sums, where = sums[held], where[held]
-        out.append(mix(sums * M1 + where * M2 + np.array([b + 1], U) * M3))
+        first, ranges, spare = (k // 2 + 4 + k // 32, RANGES, 3 + k // 32) if k > SMALL else (k + 7, 1, 6)
+        cut = np.concatenate([[0], np.searchsorted(s, _edges(first * ranges), "left"), [n]])
+        sums = (total[cut[1:]] - total[cut[:-1]]).reshape(first, ranges)
+        held = np.diff(cut).reshape(first, ranges)
+        if ranges > 1:  # every subset of all ranges but one
+            sums, held = sums.sum(1, keepdims=True, dtype=U) - sums, held.sum(1, keepdims=True) - held
+        where = np.arange(first * ranges, dtype=np.int64).astype(U).reshape(first, ranges)
+        full = held > 0
+        if first - int(full.all(1).sum()) <= spare:
+            sums, where = sums[full], where[full]
+        out.append(mix(sums.ravel() * M1 + where.ravel() * M2 + np.array([b + 1], U) * M3))
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
@@ -134,6 +145,20 @@ def _unpack(x: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(U)
 
 
+def _gaps(sorted_: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers: planes of the low, middle and high byte of their gaps, then the gaps' top bytes.
+
+    Top bytes are nearly all zero, and Spark compresses what it shuffles.
+    """
+    gaps = np.diff(sorted_, prepend=U(0)).astype("<u4")
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_gaps(x: bytes) -> np.ndarray:
+    planes = np.frombuffer(x, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(U), dtype=U)
+
+
 LOW = U((1 << (8 * SIG_BYTES)) - 1)
 SHUFFLED = StructType(
     [StructField(n, t) for n, t in (("bucket", IntegerType()), ("a", BinaryType()), ("b", BinaryType()), ("row", LongType()), ("id", LongType()), ("n", LongType()))]
@@ -158,8 +183,9 @@ def _emit(buckets: int):
             s, o = np.concatenate(sigs), np.concatenate(owners)
             sigs.clear(), owners.clear()
             held = 0
-            to = ((s >> U(40)) % U(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
+            to = ((s >> U(32)) % U(buckets)).astype(np.int64)
+            s = s & U(0xFFFFFFFF)  # in its bucket
+            order = np.lexsort((s, to))
             s, o, to = s[order], o[order], to[order]
             names, at = np.unique(to, return_index=True)
             at = np.append(at, len(to))
@@ -167,7 +193,7 @@ def _emit(buckets: int):
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(names.astype(np.int32)),
-                    pa.array([_pack(s[at[i] : at[i + 1]]) for i in range(n)], pa.binary()),
+                    pa.array([_gaps(s[at[i] : at[i + 1]]) for i in range(n)], pa.binary()),
                     pa.array([_pack(o[at[i] : at[i + 1]]) for i in range(n)], pa.binary()),
                     none, none, none,
                 ],
@@ -204,20 +230,11 @@ def _emit(buckets: int):
     return run
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents pass; of the signatures of a partition, the groups (a: the sorted classes)."""
-    sigs, owners = [], []
-    for b in batches:
-        docs = np.array(b.column("n").is_valid())
-        if docs.any():
-            yield b.filter(pa.array(docs))
-        for a, o in zip(b.column("a").filter(pa.array(~docs)).to_pylist(), b.column("b").filter(pa.array(~docs)).to_pylist(), strict=True):
-            sigs.append(_unpack(a))
-            owners.append(_unpack(o))
-    if not sigs:
-        return
+def _shared(sigs: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch | None:
+    """(key, x, pivot) for every class x of a signature that several classes share; pivot: the smallest.
+
+    Signatures of the same classes give one key."""
     s, o = np.concatenate(sigs), np.concatenate(owners)
-    del sigs, owners
     order = np.argsort(s)
     s = s[order]
     twice = np.zeros(len(s), bool)
@@ -230,35 +247,47 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fresh = np.ones(len(s), bool)
     fresh[1:] = (s[1:] != s[:-1]) | (o[1:] != o[:-1])
     s, o = s[fresh], o[fresh]
-    at = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, int)
+    if not len(s):
+        return None
+    at = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
     size = np.diff(np.append(at, len(s)))
-    found: set = set()
-    for i, c in zip(at[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-        found.add(o[i : i + c].tobytes())
-        if len(found) >= 4096:
-            yield _groups(found)
-            found.clear()
-    if found:
-        yield _groups(found)
-
-
-def _groups(found: set) -> pa.RecordBatch:
-    n = len(found)
+    # Groups of the same classes are one group: their key is the hash of what they hold.
+    content = mix(np.add.reduceat(mix(o + M1), at) + size.astype(U))
+    _, first = np.unique(content, return_index=True)
+    once = np.zeros(len(at), bool)
+    once[first] = True
+    kept = np.repeat(once & (size > 1), size)
+    pivot = np.repeat(o[at], size)[kept]
+    s, o = np.repeat(content, size)[kept], o[kept]
+    n = len(s)
+    if not n:
+        return None
+    none = pa.nulls(n, pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([0] * n, pa.int32()), pa.array(list(found), pa.binary()), pa.nulls(n, pa.binary()), *[pa.nulls(n, pa.int64())] * 3],
-        schema=SHUFFLED_ARROW,
+        [pa.array(np.zeros(n, np.int32)), none, none, pa.array(s.view(np.int64)), pa.array(o.view(np.int64)), pa.array(-1 - pivot.view(np.int64))], schema=SHUFFLED_ARROW
     )
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(grp, x, pivot) of each group's classes."""
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: documents pass; of a bucket's signatures, those that classes share.
+
+    The latter as rows (row: key, id: class, n: -1 - pivot). One bucket is held at a time.
+    """
+    now, sigs, owners = None, [], []
     for b in batches:
-        held = [np.frombuffer(a, "<u8").astype(np.int64) for a in b.column("a").to_pylist()]
-        if held:
-            sizes = [len(x) for x in held]
-            grp = np.repeat(b.column("grp").to_numpy(), sizes)
-            pivot = np.repeat([x[0] for x in held], sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(grp), pa.array(np.concatenate(held)), pa.array(pivot)], ["grp", "x", "pivot"])
+        docs = np.array(b.column("n").is_valid())
+        if docs.any():
+            yield b.filter(pa.array(docs))
+        rest = b.filter(pa.array(~docs))
+        for bucket, a, o in zip(*(rest.column(c).to_pylist() for c in ("bucket", "a", "b")), strict=True):
+            if bucket != now:
+                if sigs and (found := _shared(sigs, owners)):
+                    yield found
+                now, sigs, owners = bucket, [], []
+            sigs.append(_from_gaps(a))
+            owners.append(_unpack(o))
+    if sigs and (found := _shared(sigs, owners)):
+        yield found
 
 
 def _slots(ids: pa.Array) -> np.ndarray:
@@ -307,7 +336,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
 
 def _sketch(s: np.ndarray) -> np.ndarray:
     """A bit for each value of the low bits of a hash, flipped by every element with that value."""
-    bits = max(64, 1 << (len(s) - 1).bit_length())
+    bits = SKETCH * max(64, 1 << (len(s) - 1).bit_length())
     return np.packbits(np.bincount((s & U(bits - 1)).astype(np.int64), minlength=bits) % 2 == 1)
 
 
@@ -348,55 +377,135 @@ def _labelled(names: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return stage(found.withColumn("label", F.coalesce("label", "node")), name)
 
 
-def _across(nearest: bool):
-    """Pairs of a group's nodes from different components that the sketches can't tell apart.
+class _Parts:
+    """Components of the labels of a block, by its own pairs."""
 
-    With ``nearest``, of each node's pairs with one component the closest only.
-    """
+    def __init__(self):
+        self.up: dict = {}
 
-    def run(t: pa.Table) -> pa.Table:
-        node, n = t.column("node").to_pylist(), t.column("n").to_numpy()
-        _, label = np.unique(np.array([x.hex() for x in t.column("label").to_pylist()]), return_inverse=True)
-        sketches = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
-        width = min(map(len, sketches))
-        folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
-        common = np.bincount(label).argmax()
-        out = []
-        for i in np.flatnonzero(label != common):
-            other = np.flatnonzero((label != label[i]) & ((label == common) | (label > label[i])) & (5 * n >= 4 * n[i]) & (4 * n <= 5 * n[i]))
-            if len(other):
-                apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
-                near = 9 * apart <= n[other] + n[i]
-                other, apart = other[near], apart[near]
-                if nearest:
-                    order = np.lexsort((other, apart, label[other]))
-                    other = other[order]
-                    other = other[np.append(True, label[other][1:] != label[other][:-1])[: len(other)]]
-                out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other.tolist()]
-        a, b = zip(*out, strict=True) if out else ((), ())
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+    def top(self, x):
+        while (y := self.up.get(x, x)) != x:
+            x = y
+        return x
 
-    return run
+    def join(self, x, y) -> bool:
+        x, y = self.top(x), self.top(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _distance(x: bytes, y: bytes) -> int:
+    """Of two sketches, the longer one folded to the other's length."""
+    if len(x) > len(y):
+        x, y = y, x
+    n, size = int.from_bytes(x), 8 * len(x)
+    other = int.from_bytes(y)
+    while other:
+        n ^= other & ((1 << size) - 1)
+        other >>= size
+    return n.bit_count()
 
 
-def _crossing(groups: DataFrame, labels: DataFrame, nearest: bool) -> DataFrame:
-    """The pairs of ``_across`` in the groups that lie in several components."""
-    named = groups.join(labels.select("x", "label"), "x")
-    mixed = named.groupBy("grp").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    rest = groups.select("grp", "x").join(mixed.select("grp"), "grp", "left_semi").join(labels, "x")
-    found = rest.select("grp", "node", "n", "sketch", "label").groupBy("grp").applyInArrow(_across(nearest), "a binary, b binary")
+def spanning(left: list[bool], right: list[bool], node: list[bytes], n: list[int], label: list[bytes], sketch: list[bytes], failed: list[list[bytes] | None]) -> list[tuple[bytes, bytes]]:
+    """Pairs of a left and a right node that the sketches can't tell apart, no more than join the labels.
+
+    Nearest pairs first for each left node; none of the pairs (node, one of its failed).
+    """
+    gone = {(min(x, y), max(x, y)) for x, ys in zip(node, failed, strict=True) for y in ys or ()}
+    parts, out = _Parts(), []
+    if len(node) <= FEW:  # most groups
+        for i in range(len(node)):
+            if not left[i]:
+                continue
+            near = []
+            for j in range(len(node)):
+                if right[j] and label[i] != label[j] and not (j < i and left[j] and right[i]) and 4 * n[i] <= 5 * n[j] and 4 * n[j] <= 5 * n[i]:
+                    apart = _distance(sketch[i], sketch[j])
+                    if 9 * apart <= n[i] + n[j]:
+                        near.append((apart, j))
+            for _, j in sorted(near):
+                pair = (min(node[i], node[j]), max(node[i], node[j]))
+                if pair not in gone and parts.join(label[i], label[j]):
+                    out.append(pair)
+        return out
+    names: dict[bytes, int] = {}
+    number = np.array([names.setdefault(x, len(names)) for x in label])
+    sizes, is_left, is_right, place = np.array(n), np.array(left), np.array(right), np.arange(len(node))
+    sketches = [np.frombuffer(x, np.uint8) for x in sketch]
+    width = min(map(len, sketches))
+    folded = np.array([x if len(x) == width else np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
+    tops = number.copy()
+    for i in np.flatnonzero(is_left):
+        fits = is_right & (tops != tops[i]) & (5 * sizes >= 4 * sizes[i]) & (4 * sizes <= 5 * sizes[i])
+        other = np.flatnonzero(fits & ~(is_left & is_right[i] & (place < i)))
+        if not len(other):
+            continue
+        apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
+        near = 9 * apart <= sizes[other] + sizes[i]
+        found = False
+        for j in other[near][np.argsort(apart[near], kind="stable")].tolist():
+            pair = (min(node[i], node[j]), max(node[i], node[j]))
+            if pair not in gone and parts.join(int(number[i]), int(number[j])):
+                out.append(pair)
+                found = True
+        if found:
+            tops = np.array([parts.top(x) for x in number.tolist()])
+    return out
+
+
+GROUP = ["key", "i", "j"]
+TASK_ROWS = [*GROUP, "left", "right", "node", "n", "label", "sketch", "failed"]
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group -> the pairs of ``spanning``; a partition's equal pairs once."""
+    seen: set = set()
+    held: list[tuple] = []
+
+    def pairs() -> list[tuple[bytes, bytes]]:
+        left, right, node, n, label, sketch, failed = zip(*(r[3:] for r in held), strict=True)
+        found = [p for p in spanning(left, right, node, n, label, sketch, failed) if p not in seen]
+        if len(seen) > 1 << 18:
+            seen.clear()
+        seen.update(found)
+        return found
+
+    def out(found: list) -> pa.RecordBatch:
+        a, b = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    for b in batches:
+        for r in zip(*(b.column(c).to_pylist() for c in TASK_ROWS), strict=True):
+            if held and held[0][:3] != r[:3]:
+                if found := pairs():
+                    yield out(found)
+                held = []
+            held.append(r)
+    if held and (found := pairs()):
+        yield out(found)
+
+
+def _open_pairs(groups: DataFrame, names: DataFrame, labels: DataFrame, failed: DataFrame, block_rows: int) -> DataFrame:
+    """Pairs that may join components, of the groups that lie in several."""
+    short = labels.select("x", "node", "label")
+    tasks = in_blocks(groups.join(short, "x").select("key", "node", "label"), "node", block_rows)
+    wrong = failed.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("failed"))
+    features = names.select("node", "n", "sketch").join(wrong, "node", "left")
+    rows = tasks.join(features, "node").select(*TASK_ROWS)
+    found = rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_spans, "a binary, b binary")
     return stage(found.distinct(), "across")
 
 
 def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The documents' classes (row, id, n, node, sketch), the groups (grp, x, pivot), and the classes in them."""
+    """The documents' classes (row, id, n, node, sketch), the groups (key, x, pivot), and the classes in them."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = docs.select("row", "id", "text").mapInArrow(_emit(buckets), SHUFFLED)
-    gathered = stage_numbered(signed.repartition("bucket").mapInArrow(_gather, SHUFFLED), "grp", "signatures")
-    feats = gathered.filter("n is not null").select("row", "id", "n", F.col("a").alias("node"), F.col("b").alias("sketch"))
-    alike = stage_numbered(gathered.filter("n is null").select("a").distinct(), "grp", "alike")  # many signatures, one group
-    groups = stage(alike.select("grp", "a").mapInArrow(_members, "grp long, x long, pivot long"), "groups")
+    gathered = stage(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_gather, SHUFFLED), "signatures")
+    feats = gathered.filter("n >= 0").select("row", "id", "n", F.col("a").alias("node"), F.col("b").alias("sketch"))
+    keyed = gathered.filter("n < 0").select(F.col("row").alias("key"), F.col("id").alias("x"), (-1 - F.col("n")).alias("pivot"))
+    groups = stage(keyed.distinct(), "groups")
 
     # The classes that share a signature with another.
     short = F.conv(F.hex(F.substring("node", 9 - SIG_BYTES, SIG_BYTES)), 16, 10).cast("long")
@@ -405,36 +514,82 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return feats, groups, names
 
 
-def link_numbered(docs: DataFrame) -> DataFrame:
+def link_numbered(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` has row (unique or null), id, text; returns row, id, n, node, label of every row."""
     feats, groups, names = _grouped(docs)
 
-    # First the pairs of a class and the pivot of a group: each class with one of them, then, where
-    # that left them in different components, with the others.
+    short = names.select("x", "node")
+    # First each class with the pivots of its groups.
     one = names.select(F.col("node").alias("a"), "x", "n", "sketch")
     other = names.select(F.col("node").alias("b"), F.col("x").alias("pivot"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
     pairs = groups.filter("x <> pivot").select("x", "pivot").distinct().join(one, "x").join(other, "pivot")
     near = pairs.filter("5 * n >= 4 * n2 and 5 * n2 >= 4 * n").select("a", "b", (F.col("n") + F.col("n2")).alias("n"), "sketch", "sketch2")
-    star = stage(near.mapInArrow(_close, "a binary, b binary"), "star")
-    sets = _sets_of(docs, _wanted(star, names), "star_sets")
-    tried = star.groupBy("a").agg(F.min("b").alias("b"))
-    links = _verified(tried, sets, "links1")
-    labels = _labelled(names, links, "labels1")
-    left = star.join(tried, ["a", "b"], "left_anti")
-    links = _verified(_apart(left, labels), sets, "links2")
-    labels = _labelled(names, links.unionByName(_stars(labels)), "labels2")
-
-    # Then the groups that still lie in several components: each class with the nearest of another
-    # component, and at last whatever is left.
-    near = _crossing(groups, labels, True)
-    links = _verified(near, _sets_of(docs, _wanted(near, names), "near_sets"), "links3")
-    labels = _labelled(names, links.unionByName(_stars(labels)), "labels3")
-    across = _crossing(groups, labels, False).join(near, ["a", "b"], "left_anti")
-    links = _verified(across, _sets_of(docs, _wanted(across, names), "across_sets"), "links4")
-    final = components(links.unionByName(_stars(labels)))
+    star = stage(_ordered(near.mapInArrow(_close, "a binary, b binary")).distinct(), "star")
+    links = _verified(star, _sets_of(docs, _wanted(star, names), "star_sets"), "links")
+    labels = _labelled(short, links, "labels")
+
+    # Then the groups that still lie in several components. A task's pairs join what it found alike, so a
+    # group needs another look only if one of its pairs fails on the sets.
+    failed = star.join(links, ["a", "b"], "left_anti")
+    open_groups = groups
+    while not (pairs := _open_pairs(open_groups, names, labels, failed, block_rows)).isEmpty():
+        links = _verified(pairs, _sets_of(docs, _wanted(pairs, names), "open_sets"), "open_links")
+        labels = _joined(labels, links)
+        wrong = stage(pairs.join(links, ["a", "b"], "left_anti"), "wrong")
+        if wrong.isEmpty():
+            break
+        failed = failed.unionByName(wrong)
+        open_groups = stage(_holding(wrong, groups, short), "open_groups")
+    final = labels.select("node", "label")
     return feats.join(final, "node", "left").select("row", "id", "n", "node", F.coalesce("label", "node").alias("label"))
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: components of the labels that these connect."""
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
+    other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
+    apart = links.join(one, "a").join(other, "b").select(F.col("l1").alias("a"), F.col("l2").alias("b"))
+    merged = components(apart).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    return stage(labels.join(merged, "label", "left").select("x", "node", F.coalesce("top", "label").alias("label")), "labels")
+
+
+def _holding(pairs: DataFrame, groups: DataFrame, short: DataFrame) -> DataFrame:
+    """The groups that hold both nodes of a pair."""
+    one = short.select(F.col("node").alias("a"), "x")
+    other = short.select(F.col("node").alias("b"), F.col("x").alias("y"))
+    ends = pairs.join(one, "a").join(other, "b").select("x", "y")
+    first = groups.select("key", "x").join(ends, "x").select("key", F.col("y").alias("x"))
+    return groups.join(first.join(groups.select("key", "x"), ["key", "x"]).select("key").distinct(), "key", "left_semi")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def in_blocks(members: DataFrame, member: str, block: int) -> DataFrame:
+    """Members (key, ``member``, label) of the groups in several components, dealt in pairs of blocks (i, j).
+
+    Rows outside the largest component of a group are block i of the left side; all are block j of the right.
+    """
+    parts = members.groupBy("key", "label").agg(F.count("*").alias("k"))
+    largest = F.max(F.struct("k", "label")).alias("most")
+    several = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("k").alias("k"), largest).filter("parts > 1")
+    sides = several.select(
+        "key", F.col("most.label").alias("common"),
+        F.ceil((F.col("k") - F.col("most.k")) / block).cast("int").alias("lefts"), F.ceil(F.col("k") / block).cast("int").alias("rights"),
+    )
+    dealt = members.join(sides, "key").select(
+        "key", member, "label", "lefts", "rights", (F.col("label") != F.col("common")).alias("apart"),
+        F.expr(f"int(pmod(xxhash64({member}, 1), lefts))").alias("i0"), F.expr(f"int(pmod(xxhash64({member}, 2), rights))").alias("j0"),
+    )
+    down = F.expr("transform(sequence(0, lefts - 1), v -> named_struct('i', v, 'j', j0))")
+    across = F.expr("transform(sequence(0, rights - 1), v -> named_struct('i', i0, 'j', v))")
+    to = F.explode(F.when(F.col("apart"), F.array_distinct(F.concat(down, across))).otherwise(down)).alias("to")
+    return dealt.select("key", member, "label", "apart", "i0", "j0", to).select(
+        "key", member, "label", "to.i", "to.j", (F.col("apart") & (F.col("i0") == F.col("to.i"))).alias("left"), (F.col("j0") == F.col("to.j")).alias("right")
+    )
+
+
 def _between(t: pa.Table) -> pa.Table:
     """Pairs of nodes of one block, or of one block and another, that the sketches can't tell apart."""
     node, n, part = t.column("node").to_pylist(), t.column("n").to_numpy(), t.column("part").to_numpy()
@@ -460,12 +615,12 @@ def class_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     plain = docs.select(F.lit(None).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     feats, groups, names = _grouped(plain)
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    dealt = groups.join(sizes, "grp").withColumn("part", F.pmod(F.xxhash64("x", F.lit(1)), F.col("blocks")).cast("int"))
+    sizes = groups.groupBy("key").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    dealt = groups.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("x", F.lit(1)), F.col("blocks")).cast("int"))
     each = dealt.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = each.select("grp", "x", "part", F.least("part", "to").alias("lo"), F.greatest("part", "to").alias("hi"))
+    blocks = each.select("key", "x", "part", F.least("part", "to").alias("lo"), F.greatest("part", "to").alias("hi"))
     listed = blocks.join(names.select("x", "node", "n", "sketch"), "x")
-    found = listed.select("grp", "lo", "hi", "part", "node", "n", "sketch").groupBy("grp", "lo", "hi")
+    found = listed.select("key", "lo", "hi", "part", "node", "n", "sketch").groupBy("key", "lo", "hi")
     near = stage(found.applyInArrow(_between, "a binary, b binary").distinct(), "near")
     pairs = _verified(near, _sets_of(plain, _wanted(near, names), "sets"), "class_links")
     rows = stage(feats.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("rows")), "rows")
@@ -485,24 +640,12 @@ def link_counts(links: DataFrame) -> DataFrame:
     return one.unionByName(other).groupBy("node", "id", "rows").agg(F.sum("k").alias("links"))
 
 
-def _stars(labels: DataFrame) -> DataFrame:
-    """The components so far as links."""
-    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-
-
 def _wanted(pairs: DataFrame, names: DataFrame) -> DataFrame:
     """node and id of the nodes of the pairs."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     return nodes.join(names.select("node", "id"), "node")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose nodes lie in different components."""
-    one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
-    other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
-    return pairs.join(one, "a").join(other, "b").filter("l1 <> l2").select("a", "b")
-
-
 def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
     plain = docs.select(F.lit(None).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
