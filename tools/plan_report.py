@@ -2,7 +2,7 @@
 
 usage: python tools/plan_report.py [sf_dir] > PLANS.md
 Two shapes per query: as planned at ``sf_dir``, and "at scale", with Spark's own size-estimate
-broadcasts turned off (the size-checked broadcasts of the library stay), which is what big inputs get.
+broadcasts turned off, which is what big inputs get.
 """
 
 from __future__ import annotations
