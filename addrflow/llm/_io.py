@@ -13,19 +13,27 @@ from addrflow.session import drop_staged, ensure_checkpoint_dir
 
 #: The folders that ``stage`` has written and nobody has dropped.
 _FOLDERS: list[str] = []
+#: Spark's setting to delete a query's shuffle files when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared checkpoint folder and read it back.
 
     A written table cuts the lineage and survives lost executors. The folder name holds a fresh
-    run id, so two runs never overwrite each other.
+    run id, so two runs never overwrite each other. Nothing reads the shuffles behind it again, so
+    their files go once it is written, not when the driver happens to collect its garbage.
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/addrflow-llm-{uuid.uuid4().hex}"
     path = f"{folder}/{name}"
     _FOLDERS.append(folder)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -529,21 +529,26 @@ def link_numbered(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     labels = _labelled(short, links, "labels")
 
     # Then the groups that still lie in several components. A task's pairs join what it found alike, so a
-    # group needs another look only if one of its pairs fails on the sets.
+    # group needs another look only if one of its pairs fails on the sets and is joined by nothing else.
     failed = star.join(links, ["a", "b"], "left_anti")
     open_groups = groups
     while not (pairs := _open_pairs(open_groups, names, labels, failed, block_rows)).isEmpty():
         links = _verified(pairs, _sets_of(docs, _wanted(pairs, names), "open_sets"), "open_links")
         labels = _joined(labels, links)
         wrong = stage(pairs.join(links, ["a", "b"], "left_anti"), "wrong")
-        if wrong.isEmpty():
-            break
         failed = failed.unionByName(wrong)
-        open_groups = stage(_holding(wrong, groups, short), "open_groups")
+        open_groups = stage(_holding(_apart(wrong, labels), open_groups, short), "open_groups")
     final = labels.select("node", "label")
     return feats.join(final, "node", "left").select("row", "id", "n", "node", F.coalesce("label", "node").alias("label"))
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different components."""
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
+    other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
+    return pairs.join(one, "a").join(other, "b").filter("l1 <> l2").select("a", "b")
+
+
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` after more links: components of the labels that these connect."""
     one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
