@@ -88,6 +88,12 @@ class Encoder:
             return b"".join([self.later[x[1:]] if x[0] == " " and len(x) > 1 else self.first[x] for x in parts])
         return self._whole(unit)
 
+    def forget(self) -> None:
+        """Empty the memo: worker processes live on after a task, and other work needs their memory."""
+        for memo in (self.first, self.later):
+            memo.clear()
+            memo.older = {}
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
@@ -107,7 +113,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file; its memo serves all tasks of the process."""
+    """One encoder per worker process and file; a task empties its memo when it ends (``forget``)."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

@@ -40,24 +40,30 @@ def tokenise(docs: DataFrame, path: str, id_col: str, text_col: str, size: int =
     """One row per piece: id, piece, start, length, crc."""
     end = np.array([end_id], "<u4").tobytes()
 
+    def cut(enc, b: pa.RecordBatch) -> pa.RecordBatch:
+        ids, piece, start, length, crc = [], [], [], [], []
+        for doc, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            found = enc.ids(text or "") + end
+            n = len(found) // 4
+            at = 0
+            stop = n % size or size
+            k = 0
+            while at < n:
+                ids.append(doc), piece.append(k), start.append(at), length.append(stop - at)
+                crc.append(zlib.crc32(found[4 * at : 4 * stop]))
+                at, stop, k = stop, stop + size, k + 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+            ["id", "piece", "start", "length", "crc"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
-            ids, piece, start, length, crc = [], [], [], [], []
-            for doc, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                found = enc.ids(text or "") + end
-                n = len(found) // 4
-                at = 0
-                stop = n % size or size
-                k = 0
-                while at < n:
-                    ids.append(doc), piece.append(k), start.append(at), length.append(stop - at)
-                    crc.append(zlib.crc32(found[4 * at : 4 * stop]))
-                    at, stop, k = stop, stop + size, k + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                ["id", "piece", "start", "length", "crc"],
-            )
+        try:
+            for b in batches:
+                yield cut(enc, b)
+        finally:
+            enc.forget()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
