@@ -31,15 +31,18 @@ from pyspark.sql.window import Window
 
 from addrflow.llm._io import stage, stage_numbered
 
-#: UTF-8 bytes that count as a token where no counts are given.
-TOKEN_BYTES = 4
+#: Letters that are written without spaces: Thai, Lao, Burmese, Khmer, kana, ideographs.
+UNSPACED = r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{20000}-\x{3FFFF}"
+#: A token where no counts are given: one such letter, or a word (a run of anything but space, tab,
+#: line feed, vertical tab, form feed, carriage return); a longer one counts by 64 characters.
+TOKEN = rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]{{1,64}}"
 GRID, ROUNDS, DIGITS = 16, 5, 6
 BLOCK_ROWS = 4096
 
 
 def tokens_of(text: Column) -> Column:
-    """The text's UTF-8 bytes by ``TOKEN_BYTES``, rounded up: a text without spaces counts like any other."""
-    return F.ceil(F.octet_length(F.coalesce(text, F.lit(""))) / TOKEN_BYTES).cast("long")
+    """The tokens of the whole text, found one by one; a text without spaces has more than one, too."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(TOKEN)).cast("long")
 
 
 def number(*parts: Column) -> Column:
