@@ -36,7 +36,7 @@ from addrflow.llm._text import M1, M2, U, buffers, rounds
 WIDTH, GRAM = 50, 24
 REACH = WIDTH - GRAM + 1  # substrings of a window
 RUN = 64  # windows of a run at most
-CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 4 << 20
+CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 2 << 20
 LAST = np.iinfo(np.int64).max  # stands for a null id
 END = 0xFF  # never a byte of UTF-8
 STEPS = (*range(0, WIDTH - 8, 8), WIDTH - 8)  # places of the eight-byte words that cover a window
@@ -364,7 +364,9 @@ def _cut(t: pa.Table, ranges: pa.Table) -> pa.Table:
     mark = np.zeros(size + 1, np.int32)
     np.add.at(mark, offsets[doc] - base + start, 1)
     np.add.at(mark, offsets[doc] - base + stop, -1)
-    gone = np.cumsum(mark[:size]) > 0
+    np.cumsum(mark, out=mark)  # a wider sum would be the largest array by far
+    gone = mark[:size] > 0
+    del mark
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     heads = offsets[:-1][offsets[:-1] < base + size] - base
