@@ -22,8 +22,10 @@ others, the classes outside the largest component are compared with all others,
 number of classes, by parity sketches: each element flips one bit, so the distance of two sketches never
 exceeds the distance of the sets, and seldom falls far below it. A task returns only pairs that join two
 components by its own pairs so far, fewer than it has classes. They are checked on the sets themselves, and
-components are built again. Groups with a pair that failed are looked at once more, without that pair, until
-none is left. So every linked pair is either checked or inside a component already.
+components are built again. A pair that failed may have hidden others, of which each end lies in a component
+that such pairs connect: the components that failed pairs connect are compared as one group, without the pairs
+that failed, until none is left. There a class also returns its nearest pairs that join nothing new, more in
+each round, so that the rounds are few. So every linked pair is either checked or inside a component already.
 
 ``class_links`` lists the links between classes instead, all of them checked, and ``link_counts`` their
 number a class; ``link`` and ``one_of_each`` take the cheaper way above.
@@ -54,7 +56,7 @@ SIG_BYTES = 6  # of a class in the shuffle; a clash only adds a candidate
 RANGES = 3  # second-level ranges of a partition
 SMALL = 8  # up to so many differing elements, one range a partition
 FEW = 12  # classes of a group that are compared one by one
-SKETCH = 4  # bits of a sketch for each element, at least
+SKETCH = 2  # bits of a sketch for each element, at least
 #: The smallest size of each band.
 BANDS = [1]
 while BANDS[-1] < 1 << 40:
@@ -167,6 +169,8 @@ SHUFFLED_ARROW = pa.schema([("bucket", pa.int32()), ("a", pa.binary()), ("b", pa
 FILTER_BITS = 1 << 23
 FLUSH = 1 << 19  # signatures that a task holds at most
 BLOCK_ROWS = 512  # classes of a group that are compared in one block
+WIDE_ROWS = 4096  # the same for components that failed pairs connect
+MORE = 8  # so many times the spare pairs of a class in each round
 
 
 def _emit(buckets: int):
@@ -407,10 +411,11 @@ def _distance(x: bytes, y: bytes) -> int:
     return n.bit_count()
 
 
-def spanning(left: list[bool], right: list[bool], node: list[bytes], n: list[int], label: list[bytes], sketch: list[bytes], failed: list[list[bytes] | None]) -> list[tuple[bytes, bytes]]:
+def spanning(left: list[bool], right: list[bool], node: list[bytes], n: list[int], label: list[bytes], sketch: list[bytes], failed: list[list[bytes] | None], spare: int = 0) -> list[tuple[bytes, bytes]]:
     """Pairs of a left and a right node that the sketches can't tell apart, no more than join the labels.
 
-    Nearest pairs first for each left node; none of the pairs (node, one of its failed).
+    Nearest pairs first for each left node; none of the pairs (node, one of its failed). For each left node
+    ``spare`` pairs more, of different labels that the pairs before have joined.
     """
     gone = {(min(x, y), max(x, y)) for x, ys in zip(node, failed, strict=True) for y in ys or ()}
     parts, out = _Parts(), []
@@ -424,9 +429,15 @@ def spanning(left: list[bool], right: list[bool], node: list[bytes], n: list[int
                     apart = _distance(sketch[i], sketch[j])
                     if 9 * apart <= n[i] + n[j]:
                         near.append((apart, j))
+            extra = spare
             for _, j in sorted(near):
                 pair = (min(node[i], node[j]), max(node[i], node[j]))
-                if pair not in gone and parts.join(label[i], label[j]):
+                if pair in gone:
+                    continue
+                if parts.join(label[i], label[j]):
+                    out.append(pair)
+                elif extra:
+                    extra -= 1
                     out.append(pair)
         return out
     names: dict[bytes, int] = {}
@@ -437,19 +448,24 @@ def spanning(left: list[bool], right: list[bool], node: list[bytes], n: list[int
     folded = np.array([x if len(x) == width else np.bitwise_xor.reduce(x.reshape(-1, width), 0) for x in sketches])
     tops = number.copy()
     for i in np.flatnonzero(is_left):
-        fits = is_right & (tops != tops[i]) & (5 * sizes >= 4 * sizes[i]) & (4 * sizes <= 5 * sizes[i])
+        fits = is_right & ((number != number[i]) if spare else (tops != tops[i])) & (5 * sizes >= 4 * sizes[i]) & (4 * sizes <= 5 * sizes[i])
         other = np.flatnonzero(fits & ~(is_left & is_right[i] & (place < i)))
         if not len(other):
             continue
         apart = np.bitwise_count(folded[other] ^ folded[i]).sum(1, dtype=np.int64)
         near = 9 * apart <= sizes[other] + sizes[i]
-        found = False
+        found, extra = False, spare
         for j in other[near][np.argsort(apart[near], kind="stable")].tolist():
             pair = (min(node[i], node[j]), max(node[i], node[j]))
-            if pair not in gone and parts.join(int(number[i]), int(number[j])):
+            if pair in gone:
+                continue
+            if parts.join(int(number[i]), int(number[j])):
                 out.append(pair)
                 found = True
-        if found:
+            elif extra:
+                extra -= 1
+                out.append(pair)
+        if found and not spare:
             tops = np.array([parts.top(x) for x in number.tolist()])
     return out
 
@@ -458,42 +474,45 @@ GROUP = ["key", "i", "j"]
 TASK_ROWS = [*GROUP, "left", "right", "node", "n", "label", "sketch", "failed"]
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans(spare: int):
     """Rows sorted by group -> the pairs of ``spanning``; a partition's equal pairs once."""
-    seen: set = set()
-    held: list[tuple] = []
 
-    def pairs() -> list[tuple[bytes, bytes]]:
-        left, right, node, n, label, sketch, failed = zip(*(r[3:] for r in held), strict=True)
-        found = [p for p in spanning(left, right, node, n, label, sketch, failed) if p not in seen]
-        if len(seen) > 1 << 18:
-            seen.clear()
-        seen.update(found)
-        return found
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        held: list[tuple] = []
 
-    def out(found: list) -> pa.RecordBatch:
-        a, b = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        def pairs() -> list[tuple[bytes, bytes]]:
+            left, right, node, n, label, sketch, failed = zip(*(r[3:] for r in held), strict=True)
+            found = [p for p in spanning(left, right, node, n, label, sketch, failed, spare) if p not in seen]
+            if len(seen) > 1 << 18:
+                seen.clear()
+            seen.update(found)
+            return found
 
-    for b in batches:
-        for r in zip(*(b.column(c).to_pylist() for c in TASK_ROWS), strict=True):
-            if held and held[0][:3] != r[:3]:
-                if found := pairs():
-                    yield out(found)
-                held = []
-            held.append(r)
-    if held and (found := pairs()):
-        yield out(found)
-
-
-def _open_pairs(groups: DataFrame, names: DataFrame, labels: DataFrame, failed: DataFrame, block_rows: int) -> DataFrame:
-    """Pairs that may join components, of the groups that lie in several."""
-    short = labels.select("x", "node", "label")
-    tasks = in_blocks(groups.join(short, "x").select("key", "node", "label"), "node", block_rows)
+        def out(found: list) -> pa.RecordBatch:
+            a, b = zip(*found, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+        for b in batches:
+            for r in zip(*(b.column(c).to_pylist() for c in TASK_ROWS), strict=True):
+                if held and held[0][:3] != r[:3]:
+                    if found := pairs():
+                        yield out(found)
+                    held = []
+                held.append(r)
+        if held and (found := pairs()):
+            yield out(found)
+
+    return run
+
+
+def _open_pairs(members: DataFrame, names: DataFrame, failed: DataFrame, block_rows: int, spare: int = 0) -> DataFrame:
+    """Pairs that may join components, of the groups (key, node, label) that lie in several."""
+    tasks = in_blocks(members, "node", block_rows)
     wrong = failed.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("failed"))
     features = names.select("node", "n", "sketch").join(wrong, "node", "left")
     rows = tasks.join(features, "node").select(*TASK_ROWS)
-    found = rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_spans, "a binary, b binary")
+    found = rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(_spans(spare), "a binary, b binary")
     return stage(found.distinct(), "across")
 
 
@@ -514,7 +533,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return feats, groups, names
 
 
-def link_numbered(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def link_numbered(docs: DataFrame, block_rows: int = BLOCK_ROWS, wide_rows: int = WIDE_ROWS) -> DataFrame:
     """``docs`` has row (unique or null), id, text; returns row, id, n, node, label of every row."""
     feats, groups, names = _grouped(docs)
 
@@ -528,43 +547,40 @@ def link_numbered(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     links = _verified(star, _sets_of(docs, _wanted(star, names), "star_sets"), "links")
     labels = _labelled(short, links, "labels")
 
-    # Then the groups that still lie in several components. A task's pairs join what it found alike, so a
-    # group needs another look only if one of its pairs fails on the sets and is joined by nothing else.
+    # Then the groups that still lie in several components. A task's pairs join what it found alike, so what it
+    # left out lies in one component, or its ends lie in components that failed pairs connect.
     failed = star.join(links, ["a", "b"], "left_anti")
-    open_groups = groups
-    while not (pairs := _open_pairs(open_groups, names, labels, failed, block_rows)).isEmpty():
+    members, spare = groups.join(labels, "x").select("key", "node", "label"), 0
+    while not (pairs := _open_pairs(members, names, failed, block_rows if not spare else wide_rows, spare)).isEmpty():
         links = _verified(pairs, _sets_of(docs, _wanted(pairs, names), "open_sets"), "open_links")
         labels = _joined(labels, links)
         wrong = stage(pairs.join(links, ["a", "b"], "left_anti"), "wrong")
         failed = failed.unionByName(wrong)
-        open_groups = stage(_holding(_apart(wrong, labels), open_groups, short), "open_groups")
+        members = stage(_connected(wrong, labels), "connected")
+        if members.isEmpty():
+            break
+        spare = MORE * max(1, spare)
     final = labels.select("node", "label")
     return feats.join(final, "node", "left").select("row", "id", "n", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose nodes lie in different components."""
+def _label_pairs(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels (a, b) of the pairs' nodes."""
     one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
     other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
-    return pairs.join(one, "a").join(other, "b").filter("l1 <> l2").select("a", "b")
+    return pairs.join(one, "a").join(other, "b").select(F.col("l1").alias("a"), F.col("l2").alias("b"))
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """``labels`` after more links: components of the labels that these connect."""
-    one = labels.select(F.col("node").alias("a"), F.col("label").alias("l1"))
-    other = labels.select(F.col("node").alias("b"), F.col("label").alias("l2"))
-    apart = links.join(one, "a").join(other, "b").select(F.col("l1").alias("a"), F.col("l2").alias("b"))
-    merged = components(apart).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    merged = components(_label_pairs(links, labels)).select(F.col("node").alias("label"), F.col("label").alias("top"))
     return stage(labels.join(merged, "label", "left").select("x", "node", F.coalesce("top", "label").alias("label")), "labels")
 
 
-def _holding(pairs: DataFrame, groups: DataFrame, short: DataFrame) -> DataFrame:
-    """The groups that hold both nodes of a pair."""
-    one = short.select(F.col("node").alias("a"), "x")
-    other = short.select(F.col("node").alias("b"), F.col("x").alias("y"))
-    ends = pairs.join(one, "a").join(other, "b").select("x", "y")
-    first = groups.select("key", "x").join(ends, "x").select("key", F.col("y").alias("x"))
-    return groups.join(first.join(groups.select("key", "x"), ["key", "x"]).select("key").distinct(), "key", "left_semi")
+def _connected(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members (key, node, label) of the components that the pairs connect with others."""
+    key = components(_label_pairs(pairs, labels)).select(F.col("node").alias("label"), F.col("label").alias("key"))
+    return labels.join(key, "label").select("key", "node", "label")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -666,11 +682,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without all but one row (the smallest id) of each component."""
     numbered = stage_numbered(
-        docs.select(F.struct("*").alias("rec"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).select("rec", "id", "text"),
+        docs.select(F.struct("*").alias("rec"), F.col(id_col).cast("long").alias("id")),
         "row",
         "documents",
     )
-    linked = stage(link_numbered(numbered.select("row", "id", "text")), "linked")
+    linked = stage(link_numbered(numbered.select("row", "id", F.col("rec").getField(text_col).alias("text"))), "linked")
     first = F.min(F.struct(F.col("id").isNull(), "id", "row"))
     stays = linked.filter("label is not null").groupBy("label").agg(first.alias("f")).select(F.col("f.row").alias("row"))
     gone = linked.filter("label is not null").join(stays, "row", "left_anti").select("row")
