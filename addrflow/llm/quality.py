@@ -9,9 +9,10 @@ from the thresholds; documents with a tail probability of at least ``KEEP`` are
 
 The model is fitted on at most ``MAX_RATED`` rated documents (those whose ids a hash puts first);
 everything else, all texts and all documents, is scored whole. Features of the sample are made on
-the executors, the fit runs in one task on the sample alone, and the model (features that occur in
-at least ``MIN_DOCS`` documents of the sample, are graded unlike the rest by ``SIGMAS`` standard
-deviations and keep a weight) goes to the tasks that score.
+the executors and dealt to ``SLICES`` ranges of keys; a group each finds the features that occur in
+at least ``MIN_DOCS`` documents of the sample and are graded unlike the rest by ``SIGMAS`` standard
+deviations. Only those go on to the fit, which runs in one task on the sample alone. The model
+(features that keep a weight) goes to the tasks that score.
 
 Nulls and odd input: a null or empty text has no words and is scored from its shape features.
 Ratings with a null in any column are left out; a document rated twice counts twice. Without
@@ -37,6 +38,8 @@ SIGMAS = 4.0
 KEEP = 0.5
 GRADES = 3
 HASH_BITS = 48
+#: Ranges of keys, and documents in a batch of their features: both bound the memory of a worker.
+SLICES, PART = 16, 1_000
 STEPS, BATCH, RATE, SPARSE = 6000, 64, 1.0, 1e-3
 
 PREFIXES = (4, 6)  # bytes
@@ -92,30 +95,50 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(grades: np.ndarray, rows: list[np.ndarray], sigmas: float = SIGMAS) -> Model:
-    """Proximal AdaGrad on the ordinal likelihood; rows are processed in a fixed shuffled order.
+def _held(keys: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``wide`` its place among the sorted keys, and whether it is one of them."""
+    if not len(keys):
+        return np.zeros(len(wide), np.int64), np.zeros(len(wide), bool)
+    place = np.minimum(np.searchsorted(keys, wide), len(keys) - 1)
+    return place, keys[place] == wide
 
-    ``sigmas`` is the evidence that a feature needs, whatever the number of ratings.
+
+def telling(grades: np.ndarray, wide: np.ndarray, lengths: np.ndarray, sigmas: float = SIGMAS) -> np.ndarray:
+    """The sorted keys in enough documents that are graded unlike the rest, by so many standard deviations.
+
+    ``wide`` holds the keys of all documents in turn, ``lengths`` how many each of them has.
     """
-    wide = np.concatenate(rows) if rows else np.zeros(0, U)
     keys, docs = np.unique(wide, return_counts=True)
     keys, docs = keys[docs >= MIN_DOCS], docs[docs >= MIN_DOCS]
+    unlike = np.zeros(len(keys), bool)
     if len(keys):
-        # Only features whose documents are graded unlike the rest, by so many standard deviations.
-        telling = np.zeros(len(keys), bool)
-        place = np.minimum(np.searchsorted(keys, wide), len(keys) - 1)
-        found = keys[place] == wide
-        grade = np.repeat(grades, [len(r) for r in rows])
+        place, found = _held(keys, wide)
+        grade = np.repeat(grades, lengths)
         for k in range(1, GRADES):
             base = np.clip((grades >= k).mean(), 1e-3, 1 - 1e-3)
             high = np.bincount(place[found & (grade >= k)], minlength=len(keys))
-            telling |= np.abs(high - docs * base) >= sigmas * np.sqrt(docs * base * (1 - base))
-        keys = keys[telling]
+            unlike |= np.abs(high - docs * base) >= sigmas * np.sqrt(docs * base * (1 - base))
+    return keys[unlike]
+
+
+def fit(grades: np.ndarray, rows: list[np.ndarray], sigmas: float = SIGMAS) -> Model:
+    """The model of documents with these grades and keys.
+
+    ``sigmas`` is the evidence that a feature needs, whatever the number of ratings.
+    """
+    wide = np.concatenate(rows) if rows else np.zeros(0, U)
+    keys = telling(grades, wide, np.array([len(r) for r in rows], np.int64), sigmas)
+    return learn(grades, keys, [place[held] for place, held in (_held(keys, r) for r in rows)])
+
+
+def learn(grades: np.ndarray, keys: np.ndarray, at: list[np.ndarray]) -> Model:
+    """Proximal AdaGrad on the ordinal likelihood; documents are processed in a fixed shuffled order.
+
+    ``at`` holds the places of each document's features among the keys.
+    """
     if not len(keys) or len(np.unique(grades)) < 2:
         only = int(grades[0]) if len(grades) else GRADES - 1
         return Model(np.zeros(0, U), np.zeros(0), np.where(np.arange(1, GRADES) <= only, -50.0, 50.0))
-    at = [np.searchsorted(keys, r) for r in rows]
-    at = [a[(a < len(keys)) & (keys[np.minimum(a, len(keys) - 1)] == r)] for a, r in zip(at, rows, strict=True)]
     share = np.array([(grades >= k).mean() for k in range(1, GRADES)]).clip(1e-3, 1 - 1e-3)
     thresholds = np.log((1 - share) / share)  # of the score 0
     for k in range(1, GRADES - 1):
@@ -125,8 +148,8 @@ def fit(grades: np.ndarray, rows: list[np.ndarray], sigmas: float = SIGMAS) -> M
     rng = np.random.default_rng(7)
     rare = np.bincount(grades, minlength=GRADES)
     rare = np.sqrt(rare.max() / np.maximum(1, rare))  # rarer grades weigh more
-    for _ in range(max(8, -(-STEPS * BATCH // len(rows)))):
-        order = rng.permutation(len(rows))
+    for _ in range(max(8, -(-STEPS * BATCH // len(at)))):
+        order = rng.permutation(len(at))
         for lo in range(0, len(order), BATCH):
             batch = order[lo : lo + BATCH]
             cols = np.concatenate([at[i] for i in batch])
@@ -155,16 +178,86 @@ def fit(grades: np.ndarray, rows: list[np.ndarray], sigmas: float = SIGMAS) -> M
     return Model(keys[kept], w[kept], thresholds)
 
 
+#: Where the ranges of keys end: hashes are even from 1 << HASH_BITS on, shape features lie below.
+ENDS = (U(1 << HASH_BITS) + np.arange(1, SLICES, dtype=U) * U((1 << HASH_BITS) // SLICES)).astype(U)
+PICKED = "doc long, h long, grade int, slice int, keys binary"
+
+
+def _binary(wide: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Keys as a binary column, so many in each row."""
+    offsets = np.concatenate([[0], np.cumsum(8 * lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(wide.astype("<u8").tobytes())])
+
+
+def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all rows in turn, and how many each of them has."""
+    data, offsets = buffers(column)
+    return data[offsets[0] : offsets[-1]].view("<u8").astype(U, copy=False), np.diff(offsets) // 8
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        keys = [x.astype("<u8").tobytes() for x in features(b.column("text"))]
-        yield pa.RecordBatch.from_arrays([b.column("h"), b.column("grade"), pa.array(keys, pa.binary())], ["h", "grade", "keys"])
+    """A row for every document and range of keys, also where it has none."""
+    for whole in batches:
+        for lo in range(0, len(whole), PART):
+            b = whole.slice(lo, PART)
+            found = list(features(b.column("text")))
+            lengths = [np.diff(np.concatenate([[0], np.searchsorted(x, ENDS), [len(x)]])) for x in found]
+            each = np.repeat(np.arange(len(b)), SLICES)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[b.column(n).take(pa.array(each)) for n in ("doc", "h", "grade")],
+                    pa.array(np.tile(np.arange(SLICES, dtype=np.int32), len(b))),
+                    _binary(np.concatenate(found), np.concatenate(lengths)),
+                ],
+                ["doc", "h", "grade", "slice", "keys"],
+            )
+
+
+def _pick(t: pa.Table) -> pa.Table:
+    """The rows of a range with the telling keys alone; all documents go on with the first range."""
+    t = t.combine_chunks()
+    wide, lengths = _keys(t["keys"].chunk(0))
+    _, held = _held(telling(t["grade"].to_numpy(), wide, lengths), wide)
+    ends = np.cumsum(lengths)
+    kept = np.diff(np.concatenate([[0], np.cumsum(held)])[np.concatenate([[0], ends])])
+    some = (kept > 0) | (t["slice"].to_numpy() == 0)
+    return t.set_column(4, "keys", _binary(wide[held], kept)).filter(pa.array(some))
+
+
+def _sample(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Grades, all keys, and each document's places among them; how the documents were dealt changes nothing.
+
+    Takes the batches out of ``held``, so keys and places are not in memory together.
+    """
+    keys = np.zeros(0, U)
+    for b in held:
+        keys = np.union1d(keys, _keys(b.column("keys"))[0])
+    columns, places, sizes = [], [], []
+    while held:
+        b = held.pop()
+        wide, lengths = _keys(b.column("keys"))
+        places.append(np.searchsorted(keys, wide).astype(np.int32))
+        sizes.append(lengths)
+        columns.append([b.column(n).to_numpy().astype(np.int64) for n in ("doc", "h", "grade", "slice")])
+        del b, wide
+    pa.default_memory_pool().release_unused()
+    doc, h, grade, part = (np.concatenate(c) for c in zip(*columns, strict=True))
+    place, ends = np.concatenate(places), np.cumsum(np.concatenate(sizes))
+    del places
+    starts = np.concatenate([[0], ends[:-1]])
+    order = np.lexsort((part, doc))
+    first = np.flatnonzero(part[order] == 0)
+    at = [np.concatenate([place[starts[i] : ends[i]] for i in g]) for g in np.split(order, first[1:])]
+    h, grade = h[order[first]], grade[order[first]]
+    order = sorted(range(len(at)), key=lambda i: (h[i], grade[i], at[i].tobytes()))
+    return grade[order], keys, [at[i] for i in order]
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [r for b in batches for r in zip(*(b.column(n).to_pylist() for n in ("h", "grade", "keys")), strict=True)]
-    rows.sort()
-    model = fit(np.array([r[1] for r in rows], np.int64), [np.frombuffer(r[2], "<u8").astype(U) for r in rows])
+    held = [b for b in batches if len(b)]
+    if not held:
+        return
+    model = learn(*_sample(held))
     yield pa.RecordBatch.from_arrays(
         [pa.array([x.tobytes()], pa.binary()) for x in (model.keys.astype("<u8"), model.weights, model.thresholds)], ["keys", "weights", "thresholds"]
     )
@@ -180,8 +273,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .limit(MAX_RATED)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rated), "id")  # MAX_RATED rows
-    found = texts.select("h", "grade", "text").mapInArrow(_rows, "h long, grade int, keys binary")
-    one = found.repartition(1).mapInArrow(_fit, "keys binary, weights binary, thresholds binary").first()
+    found = texts.select(F.monotonically_increasing_id().alias("doc"), "h", "grade", "text").mapInArrow(_rows, PICKED)
+    picked = found.groupBy("slice").applyInArrow(_pick, PICKED)
+    one = picked.repartition(1).mapInArrow(_fit, "keys binary, weights binary, thresholds binary").first()
     if one is None:
         return fit(np.zeros(0, np.int64), [])
     return Model(np.frombuffer(one["keys"], "<u8").astype(U), np.frombuffer(one["weights"], float), np.frombuffer(one["thresholds"], float))
